@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, license_scan, line_dedup, packing, quality, simhash, token_counts
+from . import decontamination, language_id, license_scan, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 BPE_JSON, BPE_RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,13 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
+    least = F.array_min(F.transform("hits", lambda h: h["edits"]))
+    return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size(items).alias("n_items"), items.alias("item_ids"), least.alias("least_edits"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -59,5 +66,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op4_simhash, op5_packing, op8_line_dedup, op9_language_id, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op4_simhash, op5_packing, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)}
 ORACLES: dict[str, str] = {}
