@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, exact_substrings, language_id, license_scan, line_dedup, packing, quality, simhash, token_counts
+from . import decontamination, embeddings, exact_substrings, language_id, license_scan, line_dedup, packing, quality, simhash, token_counts
 from .common import table
 
 BPE_JSON, BPE_RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -42,6 +42,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
@@ -72,5 +76,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_suffix_dedup, op4_simhash, op5_packing, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_suffix_dedup, op4_simhash, op5_packing, op6_embedding_dedup, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)}
 ORACLES: dict[str, str] = {}
