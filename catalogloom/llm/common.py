@@ -60,3 +60,31 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], s
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
+
+
+def with_columns(df: DataFrame, text_col: str, fn: Callable[[list], dict], schema: dict[str, str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with further columns made from its text column; ``fn`` gets a batch's texts (null: empty).
+
+    A new name that ``df`` has already gets underscores; the names used are returned too.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in schema:
+        while name.lower() in taken:
+            name += "_"
+        names.append(name)
+        taken.add(name.lower())
+    new = StructType([StructField(n, _parse_datatype_string(t)) for n, t in zip(names, schema.values(), strict=True)])
+    out = StructType([*df.schema.fields, *new.fields])
+    arrow = to_arrow_schema(new)
+
+    def run(batches):
+        for b in batches:
+            made = fn([t or "" for t in b.column(text_col).to_pylist()])
+            fresh = [pa.array(made[k], type=f.type) for k, f in zip(schema, arrow, strict=True)]
+            yield pa.RecordBatch.from_arrays([*b.columns, *fresh], names=[*b.schema.names, *names])
+
+    return df.mapInArrow(run, out), names

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts
+from .common import with_columns
 
 Q, STRETCH = 10, 200_000
 HIT = "struct<item_id:long,start:long,end:long,edits:int>"
@@ -139,27 +139,33 @@ class Index:
         return [(i, *v) for i, v in out.items()]
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 100, stride: int = 25, edits: float = 0.08, min_chars: int = 50, block_bytes: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """(doc_id, text, hits) of every row; hits: each benchmark item found, with the place of its best region among the normal form's characters."""
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 100, stride: int = 25, edits: float = 0.08, min_chars: int = 50, block_bytes: int = 8 << 20, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, str]:
+    """``docs`` with the hits of each row, and the name of that column.
+
+    Hits: each benchmark item found, with the place of its best region among the normal form's characters.
+    """
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null and item_id is not null")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, math.ceil(total / block_bytes))
-    rows = texts(docs, id_col, text_col).withColumn("hits", F.array().cast(f"array<{HIT}>"))
+    rows, made = docs, []
     for block in range(n_blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()
-        shared = docs.sparkSession.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in part if r["item_id"] is not None))
+        shared = docs.sparkSession.sparkContext.broadcast(sorted((r["item_id"], r["text"]) for r in part))
 
-        def fn(batch, kept={}, shared=shared):  # noqa: B006  one index for each task and block
+        def fn(texts, kept={}, shared=shared):  # noqa: B006  one index for each task and block
             index = kept.get("index") or kept.setdefault("index", Index.build(shared.value, window, stride, edits, min_chars))
             out = []
-            for text, hits in zip(batch.column("text").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+            for text in texts:
                 x, best = normal(text), {}
                 for lo in range(0, max(1, len(x)), STRETCH):
                     for i, start, end, n in index.hits(x[lo : lo + STRETCH + 2 * window]):
                         if i not in best or n < best[i][2]:
                             best[i] = (lo + start, lo + end, n)
-                out.append([*hits, *({"item_id": index.items[i], "start": s, "end": e, "edits": n} for i, (s, e, n) in best.items())])
-            yield {"doc_id": batch.column("doc_id"), "text": batch.column("text"), "hits": out}
-
-        rows = map_batches(rows, fn, f"doc_id long, text string, hits array<{HIT}>")
-    return rows
+                out.append([{"item_id": index.items[i], "start": s, "end": e, "edits": n} for i, (s, e, n) in best.items()])
+            return {"hits": out}
+
+        rows, (name,) = with_columns(rows, text_col, fn, {"hits": f"array<{HIT}>"})
+        made.append(name)
+    if len(made) > 1:
+        rows = rows.withColumn(made[0], F.concat(*made)).drop(*made[1:])
+    return rows, made[0]

@@ -19,6 +19,7 @@ without an id come first in the order. Very long lines are compared whole.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -136,19 +137,28 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return equal.unionByName(verified)
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16) -> DataFrame:
-    """(doc_id, row, text, n_lines, n_removed) of every row of ``df``; text without the lines that go."""
-    gone = duplicate_lines(df, id_col, text_col, min_chars).groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"))
-
-    def clean(batch):
-        out = {k: [] for k in ("doc_id", "row", "text", "n_lines", "n_removed")}
-        for d, row, text, gone in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "text", "gone")), strict=True):
-            have = text.split("\n")
-            drop = set(gone or ())
-            kept = text if not drop else "\n".join(x for i, x in enumerate(have) if i not in drop)
-            for k, v in zip(out, (None if d == NO_ID else d, row, kept, len(have) if text else 0, len(drop)), strict=True):
-                out[k].append(v)
-        yield out
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16) -> tuple[DataFrame, str]:
+    """``df`` with its text column less the lines that go, and the name of a column with the places of those lines (null: none).
 
-    joined = _rows(df, id_col, text_col).join(gone, ["doc_id", "row"], "left").select("doc_id", "row", "text", "gone")
-    return map_batches(joined, clean, "doc_id long, row long, text string, n_lines long, n_removed long")
+    A row whose lines all stay keeps its text as it is, null included.
+    """
+    gone = duplicate_lines(df, id_col, text_col, min_chars).groupBy("doc_id", "row").agg(F.collect_set("line").alias("gone"))
+    taken = {c.lower() for c in df.columns}
+    name = next(n for n in (f"gone{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
+    gone = gone.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("gone").alias(name))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("__row", F.xxhash64(text))
+    joined = keyed.join(gone, ["__id", "__row"], "left").drop("__id", "__row")
+
+    def keep(batches):
+        for b in batches:
+            out = []
+            for text, places in zip(b.column(text_col).to_pylist(), b.column(name).to_pylist(), strict=True):
+                if places is not None:
+                    places = set(places)
+                    text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in places)
+                out.append(text)
+            at = b.schema.get_field_index(text_col)
+            yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
+
+    return joined.mapInArrow(keep, joined.schema), name

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, texts
+from .common import with_columns
 
 TOKEN = r"\w+|[^\w\s]"
 
@@ -99,17 +99,18 @@ def sample_labels(labels: DataFrame, train_rows: int = 4_000, id_col: str = "doc
     return rows
 
 
-def score(df: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row, repeated rows each time."""
+def score(df: DataFrame, weights: np.ndarray, text_col: str = "text", name: str = "score") -> tuple[DataFrame, str]:
+    """``df`` with the score of each row, and the name of that column; repeated rows get it each time."""
     shared = df.sparkSession.sparkContext.broadcast(weights.astype(np.float32))
 
-    def fn(batch, kept={}):  # noqa: B006  one token table for each task
+    def fn(texts, kept={}):  # noqa: B006  one token table for each task
         w = shared.value
         make = kept.setdefault("make", Features((len(w) - 1).bit_length() - 1))
         out = []
-        for text in batch.column("text").to_pylist():
+        for text in texts:
             at, x = make(text)
             out.append(1 / (1 + np.exp(-np.clip(float(w[at] @ x) + 0.2 * float(w[-1]), -35, 35))))
-        yield {"doc_id": batch.column("doc_id"), "score": out}
+        return {name: out}
 
-    return map_batches(texts(df, id_col, text_col), fn, "doc_id long, score double")
+    found, (column,) = with_columns(df, text_col, fn, {name: "double"})
+    return found, column

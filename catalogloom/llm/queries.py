@@ -14,6 +14,10 @@ from .common import table
 BPE_JSON, BPE_RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Documents with a lower score are rejected.
+QUALITY_AT = 0.3
+
+
 def remainder():
     """crc32 of the id as text, mod 5; a row without an id has that of the empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5))
@@ -47,15 +51,19 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    items = F.array_sort(F.array_distinct(F.transform("hits", lambda h: h["item_id"])))
-    least = F.array_min(F.transform("hits", lambda h: h["edits"]))
-    return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size(items).alias("n_items"), items.alias("item_ids"), least.alias("least_edits"))
+    found, hits = decontamination.find_hits(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform(hits, lambda h: h["item_id"])))
+    least = F.array_min(F.transform(hits, lambda h: h["edits"]))
+    return found.select("doc_id", (F.size(hits) > 0).alias("contaminated"), F.size(items).alias("n_items"), items.alias("item_ids"), least.alias("least_edits"))
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found, gone = line_dedup.line_dedup(docs)
+    text = F.coalesce("text", F.lit(""))
+    removed = F.coalesce(F.size(gone), F.lit(0)).cast("long")
+    kept_lines = F.when(text == "", 0).otherwise(F.size(F.split(text, "\n", -1))).cast("long")
+    return found.select("doc_id", kept_lines.alias("n_kept_lines"), removed.alias("n_removed"), F.sha2(text, 256).alias("kept_sha256"))
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,8 +80,8 @@ def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    found = quality.score(docs, quality_weights(spark, docs, sf_dir))
-    return found.select("doc_id", (remainder() == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    found, score = quality.score(docs.select("doc_id", "text"), quality_weights(spark, docs, sf_dir))
+    return found.select("doc_id", (remainder() == 0).alias("held_out"), score, (F.col(score) >= QUALITY_AT).cast("int").alias("predicted"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_suffix_dedup, op4_simhash, op5_packing, op6_embedding_dedup, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)}
