@@ -1 +1,6 @@
-"""catalogloom plans."""
+"""The query catalogue: each query over the driver's tables, with its oracle where SQL has one."""
+
+from . import catalogue_a, catalogue_b  # noqa: F401  they register
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
