@@ -31,6 +31,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: the lineage ends there."""
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/catalogloom/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of what is written now
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

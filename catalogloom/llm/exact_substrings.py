@@ -7,15 +7,18 @@ Positions are ranked by the strings that start there, at doubling lengths; a pos
 leaves, and the rest goes on to the next length until ``length`` is reached. A rank is a 128-bit fingerprint
 of the string, so that positions with equal strings sort together wherever they are, and the rank at twice the
 length is that of the pair (rank here, rank one length on). Ranking every position of a corpus would multiply
-its size; so the first level ranks sampled positions: of the strings of ``length / 4`` bytes within each
+its size; so the first level ranks sampled positions: of the strings of ``2 / 5 * length`` bytes within each
 window of ``length`` bytes, the one with the least hash stands for the window (equal windows choose alike).
 
 1. Sampled positions are sorted by their string's rank; those that no other position shares leave, with all
    windows that they stand for.
 2. The rest is reranked by the whole span of those windows. Spans that occur again are repeated as they are:
    copies are settled here, a row for each sampled position, whatever the size of their group.
-3. What is left (the borders of repeated passages, and one span of each group that may meet them) is expanded
-   to its window starts, ranked by pairs at offset ``length / 2``; the windows that share a rank are repeated.
+3. What is left (the borders of repeated passages, and one span of each group that may meet them) is ranked in
+   blocks of ``STEP`` neighbouring window starts: if the string that they span together is shared, all are
+   repeated; if not even the string that they have in common is, none is.
+4. Only the blocks that this leaves open are expanded to their window starts, ranked by pairs (rank here, rank
+   half a length on); the windows that share a rank are repeated.
 
 Groups are only counted and joined, never gathered. Null and empty texts give no bytes. Rows with the same id
 are kept apart by a hash of their text; rows that repeat both count as two copies of the text.
@@ -24,17 +27,15 @@ are kept apart by a hash of their text; rows that repeat both count as two copie
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
 
 from .common import cut, map_batches
 
 NO_ID = -(1 << 63)
 STRETCH = 1 << 19
-ANCHORS = "doc_id long, row long, h long, c1 long, c2 long, first int, last int"
+STEP = 8
 U = np.uint64
 
 
@@ -100,7 +101,7 @@ def _stretches(docs: list[bytes], length: int):
 
 
 def _anchors(docs: list[bytes], length: int, k: int):
-    """Per stretch: (text, span start, span end) arrays and the ranks h, c1, c2 of the sampled string and of the span."""
+    """Per stretch: (text, span start, span end) arrays the ranks h and c of the sampled string and of the span, and how far on the string is."""
     w = length - k + 1
     for b, parts in _stretches(docs, length):
         roll = Rolling(b)
@@ -117,10 +118,9 @@ def _anchors(docs: list[bytes], length: int, k: int):
         first, last = starts[edge], np.append(starts[edge[1:] - 1], starts[-1])
         own, anchor = owner[first], chosen[first]
         shape = ((anchor - first).astype(np.uint64) << U(32)) | (last - first).astype(np.uint64)
-        c1 = _mix(roll.of(first, last + length, 0) ^ _mix(shape))
-        c2 = _mix(roll.of(first, last + length, 1) + _mix(shape + U(1)))
+        c = _mix(roll.of(first, last + length, 1) + _mix(shape + U(1)))
         text, shift = np.array([p[0] for p in parts])[own], np.array([p[1] - p[2] for p in parts])[own]
-        yield text, first + shift, last + shift, h[anchor], c1, c2
+        yield text, first + shift, last + shift, h[anchor], c, anchor - first
 
 
 def _columns(batch, *names):
@@ -128,60 +128,133 @@ def _columns(batch, *names):
 
 
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, row, z): the text compressed, as it is shuffled twice; row tells rows of one id apart."""
     rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.withColumn("row", F.xxhash64("text"))
+    rows = rows.withColumn("row", F.hash("text"))
 
+    def pack(batch):
+        press = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+        yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "z": [press(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]}
 
-def repeated_spans(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, row, start, end): spans of bytes to remove; they may overlap."""
-    if length < 8:
-        raise ValueError("length is at least 8")
-    docs, k = _rows(df, id_col, text_col), max(2, length // 4)
+    return map_batches(rows, pack, "doc_id long, row int, z binary")
+
+
+def _unpacked(batch) -> list[bytes]:
+    open_ = zstandard.ZstdDecompressor().decompress
+    return [open_(z) for z in batch.column("z").to_pylist()]
+
+
+def _pieces(batch, length: int, k: int):
+    """Flat window starts of the contexts in a batch, some thousand rows at a time.
+
+    (rolling hashes, row, place of the start in the run, place in its text, distance to the sampled string)
+    """
+    per = max(1, STRETCH // (2 * length))
+    for lo in range(0, batch.num_rows, per):
+        part = batch.slice(lo, per)
+        contexts = part.column("ctx").to_pylist()
+        base = np.concatenate([[0], np.cumsum([len(c) for c in contexts])[:-1]]).astype(np.int64)
+        first, ahead, n = (part.column(c).to_numpy().astype(np.int64) for c in ("first", "ahead", "n"))
+        row = np.repeat(np.arange(len(n)), n)
+        j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        yield part, Rolling(np.frombuffer(b"".join(contexts), np.uint8)), row, base[row] + j, first[row] + j, ahead[row] - j
+
+
+def _take(part, name: str, at: np.ndarray):
+    return part.column(name).to_numpy(zero_copy_only=False)[at]
+
+
+def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
+    """(doc_id, row, start, end): spans of bytes to remove; they may overlap. ``docs``: see ``_rows``."""
+    if not 8 <= length < 1 << 16:
+        raise ValueError("length is at least 8 and below 65536")
+    k = max(2, 2 * length // 5)
 
     def sample(batch):
-        ids, rows, texts = _columns(batch, "doc_id", "row", "text")
-        ids, rows = np.array(ids, np.int64), np.array(rows, np.int64)
-        for text, first, last, h, c1, c2 in _anchors([t.encode("utf-8", "surrogatepass") for t in texts], length, k):
-            yield {"doc_id": ids[text], "row": rows[text], "h": h.view(np.int64), "c1": c1.view(np.int64), "c2": c2.view(np.int64), "first": first.astype(np.int32), "last": last.astype(np.int32)}
+        ids, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+        for text, first, last, h, c, ahead in _anchors(_unpacked(batch), length, k):
+            span = first << 32 | ahead << 16 | last - first + 1
+            yield {"doc_id": ids[text], "row": rows[text], "h": h.view(np.int64), "c": c.view(np.int64), "span": span}
 
-    def only_ranks(batch):
-        for *_, h, _c1, _c2 in _anchors([t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()], length, k):
+    def ranks(batch):
+        for *_, h, _c, _a in _anchors(_unpacked(batch), length, k):
             yield {"h": h.view(np.int64)}
 
     # Level 1: sampled positions by rank; unique ones leave.
-    shared = map_batches(docs.select("text"), only_ranks, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    left = cut(map_batches(docs, sample, ANCHORS).join(shared, "h"))
+    shared = map_batches(docs.select("z"), ranks, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    left = cut(map_batches(docs, sample, "doc_id long, row int, h long, c long, span long").join(shared, "h"))
 
     # Level 2: whole spans. A span that occurs again is repeated.
-    spans = left.groupBy("h", "c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "first", "last")).alias("one"))
-    spans = cut(spans)
-    settled = left.join(spans.where("n > 1").select("h", "c1", "c2"), ["h", "c1", "c2"]).select("doc_id", "row", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    spans = cut(left.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "span")).alias("one")))
+    first = F.shiftright("span", 32)
+    size = F.col("span").bitwiseAND(F.lit(0xFFFF))
+    settled = left.join(spans.where("n > 1").select("h", "c"), ["h", "c"]).select("doc_id", "row", first.alias("start"), (first + size - 1 + length).alias("end"))
 
-    # Level 3: borders, and one span of each repeated group that shares their sampled string.
+    # Borders, and one span of each repeated group that shares their sampled string, with their bytes.
     open_ = spans.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("h")
-    wanted = spans.join(open_, "h").select("one.*", (F.col("n") == 1).alias("border")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("first", "last", "border")).alias("spans"))
-    half = length // 2
-    pairs_schema = to_arrow_schema(_parse_datatype_string("doc_id long, row long, at int, border boolean, r1 long, r2 long"))
-
-    def expand(batches):
-        for batch in batches:
-            for d, row, text, found in zip(*_columns(batch, "doc_id", "row", "text", "spans"), strict=True):
-                b = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                for s in found:
-                    roll = Rolling(b[s["first"] : s["last"] + length])
-                    at = np.arange(s["last"] - s["first"] + 1)
-                    here, on = [roll.of(at, at + half, w) for w in (0, 1)], [roll.of(at + half, at + length, w) for w in (0, 1)]
-                    r = [_mix(_mix(here[w]) * U(3) + _mix(on[w] + U(w))) for w in (0, 1)]
-                    n = len(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, type=f.type) for x, f in zip((np.full(n, d), np.full(n, row), at + s["first"], np.full(n, s["border"]), r[0].view(np.int64), r[1].view(np.int64)), pairs_schema, strict=True)], schema=pairs_schema
-                    )
-
-    once = docs.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", "text", "spans")
-    windows = cut(once.mapInArrow(expand, "doc_id long, row long, at int, border boolean, r1 long, r2 long"))
-    again = windows.groupBy("r1", "r2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r1", "r2")
-    met = windows.where("border").join(again, ["r1", "r2"]).select("doc_id", "row", F.col("at").alias("start"), (F.col("at") + length).alias("end"))
-    return settled.unionByName(met)
+    wanted = spans.join(open_, "h").select("one.*", "h", (F.col("n") == 1).alias("border")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("span", "h", "border")).alias("spans"))
+
+    def contexts(batch):
+        out = {c: [] for c in ("doc_id", "row", "h", "border", "first", "ahead", "n", "ctx")}
+        for d, row, b, found in zip(*_columns(batch, "doc_id", "row"), _unpacked(batch), batch.column("spans").to_pylist(), strict=True):
+            for x in found:
+                at, ahead, n = x["span"] >> 32, x["span"] >> 16 & 0xFFFF, x["span"] & 0xFFFF
+                for c, v in zip(out, (d, row, x["h"], x["border"], at, ahead, n, b[at : at + n - 1 + length]), strict=True):
+                    out[c].append(v)
+        yield out
+
+    once = docs.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", "z", "spans")
+    context = cut(map_batches(once, contexts, "doc_id long, row int, h long, border boolean, first long, ahead int, n int, ctx binary"))
+
+    # Level 3: blocks of neighbouring starts.
+    def blocks(batch):
+        for part, roll, row, place, start, ahead in _pieces(batch, length, k):
+            block = ahead // STEP
+            lo = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (block[1:] != block[:-1])]))
+            hi = np.append(lo[1:], len(row)) - 1
+            least, most = block[lo] * STEP, np.minimum(block[lo] * STEP + STEP - 1, length - k)
+            anchor = place[lo] + ahead[lo]
+            core = _mix(roll.of(anchor - least, anchor - most + length, 0) ^ _mix(block[lo].astype(np.uint64)))
+            shape = (ahead[hi].astype(np.uint64) << U(20)) | (ahead[lo].astype(np.uint64) << U(1)) | U(1)
+            whole = _mix(roll.of(place[lo], place[hi] + length, 1) + _mix(shape << U(8)))
+            both = np.concatenate([lo, lo])
+            n = len(lo)
+            yield {
+                "doc_id": _take(part, "doc_id", row[both]),
+                "row": _take(part, "row", row[both]),
+                "h": _take(part, "h", row[both]),
+                "border": _take(part, "border", row[both]),
+                "block": block[both].astype(np.int32),
+                "whole": np.repeat([False, True], n),
+                "key": np.concatenate([core, whole]).view(np.int64),
+                "start": start[both],
+                "stop": np.concatenate([start[hi], start[hi]]),
+            }
+
+    level3 = map_batches(context, blocks, "doc_id long, row int, h long, border boolean, block int, whole boolean, key long, start long, stop long")
+    again = level3.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key")
+    told = level3.where("border").join(again, ["h", "key"]).groupBy("doc_id", "row", "h", "block", "start", "stop").agg(F.max("whole").alias("whole"))
+    told = cut(told)
+    by_block = told.where("whole").select("doc_id", "row", "start", (F.col("stop") + length).alias("end"))
+
+    # Level 4: single starts of the blocks left open.
+    undecided = told.where("not whole").select("h", "block").distinct().groupBy("h").agg(F.collect_set("block").alias("blocks"))
+
+    def starts(batch):
+        for part, roll, row, place, start, ahead in _pieces(batch, length, k):
+            todo = part.column("blocks").to_pylist()
+            wanted = np.concatenate([[r * (1 << 20) + b for b in bs] for r, bs in enumerate(todo)]).astype(np.int64)
+            keep = np.flatnonzero(np.isin(row * (1 << 20) + ahead // STEP, wanted))
+            row, place = row[keep], place[keep]
+            half = length // 2
+            rank = _mix(_mix(roll.of(place, place + half, 0)) * U(3) + _mix(roll.of(place + half, place + length, 1)))
+            yield {c: _take(part, c, row) for c in ("doc_id", "row", "h", "border")} | {"key": rank.view(np.int64), "start": start[keep]}
+
+    level4 = map_batches(context.join(undecided, "h"), starts, "doc_id long, row int, h long, border boolean, key long, start long")
+    level4 = cut(level4)
+    again = level4.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key")
+    by_start = level4.where("border").join(again, ["h", "key"]).select("doc_id", "row", "start", (F.col("start") + length).alias("end"))
+    return settled.unionByName(by_block).unionByName(by_start)
 
 
 def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -196,12 +269,12 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: the maximal removed runs and the bytes that stay."""
-    spans = repeated_spans(df, length, id_col, text_col).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    docs = _rows(df, id_col, text_col)
+    spans = repeated_spans(docs, length).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def apply(batch):
         out = {c: [] for c in ("doc_id", "n_bytes", "spans", "kept")}
-        for d, text, found in zip(*_columns(batch, "doc_id", "text", "spans"), strict=True):
-            b = text.encode("utf-8", "surrogatepass")
+        for d, b, found in zip(batch.column("doc_id").to_pylist(), _unpacked(batch), batch.column("spans").to_pylist(), strict=True):
             runs = merge([(s["start"], s["end"]) for s in found or ()])
             edges = [0, *(x for r in runs for x in r), len(b)]
             kept = b"".join(b[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
@@ -209,5 +282,5 @@ def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", tex
                 out[c].append(v)
         yield out
 
-    joined = _rows(df, id_col, text_col).join(spans, ["doc_id", "row"], "left").select("doc_id", "text", "spans")
+    joined = docs.join(spans, ["doc_id", "row"], "left").select("doc_id", "z", "spans")
     return map_batches(joined, apply, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
