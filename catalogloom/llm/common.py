@@ -48,15 +48,15 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str) -> DataFrame:
-    """Apply ``fn`` to each Arrow batch; ``fn`` yields dicts of columns in the order of ``schema``."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, rows: int = 10_000) -> DataFrame:
+    """Apply ``fn`` to each Arrow batch, at most ``rows`` at once; ``fn`` yields dicts of columns in the order of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for b in batches:
+        for b in (b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows)):
             for columns in fn(b):
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 

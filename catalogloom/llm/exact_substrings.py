@@ -34,7 +34,9 @@ from pyspark.sql import functions as F
 from .common import cut, map_batches
 
 NO_ID = -(1 << 63)
-STRETCH = 1 << 19
+STRETCH = 1 << 18
+#: Texts that a task holds as Python values at once.
+TEXTS = 256
 STEP = 8
 U = np.uint64
 
@@ -52,9 +54,12 @@ def _powers(base: U, n: int) -> np.ndarray:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x = x ^ (x >> U(30))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
 
 
 class Rolling:
@@ -66,20 +71,36 @@ class Rolling:
         if not self.kept:
             t1, t2, b1, i1, b2, i2 = _tables()
             self.kept |= {"t": (t1, t2), "p": (_powers(b1, STRETCH * 2), _powers(b2, STRETCH * 2)), "i": (_powers(i1, STRETCH * 2), _powers(i2, STRETCH * 2))}
-        self.sums = [np.concatenate([[U(0)], np.cumsum(t[b] * p[: len(b)])]) for t, p in zip(self.kept["t"], self.kept["p"], strict=True)]
+        self.bytes, self.sums = b, [None, None]
+
+    def sum(self, which: int) -> np.ndarray:
+        if self.sums[which] is None:
+            part = self.kept["t"][which][self.bytes]
+            part *= self.kept["p"][which][: len(part)]
+            out = np.zeros(len(part) + 1, np.uint64)
+            np.cumsum(part, out=out[1:])
+            self.sums[which] = out
+        return self.sums[which]
+
+    def every(self, k: int, which: int) -> np.ndarray:
+        """Fingerprints of all strings of ``k`` bytes."""
+        sums = self.sum(which)
+        out = sums[k:] - sums[:-k]
+        out *= self.kept["i"][which][: len(out)]
+        return out
 
     def of(self, i: np.ndarray, j: np.ndarray, which: int) -> np.ndarray:
-        return (self.sums[which][j] - self.sums[which][i]) * self.kept["i"][which][i]
+        sums = self.sum(which)
+        return (sums[j] - sums[i]) * self.kept["i"][which][i]
 
 
 def _least(key: np.ndarray, w: int) -> np.ndarray:
-    """The least of each ``w`` keys in a row, by running minima of blocks from both sides."""
-    n = len(key) - w + 1
-    pad = -len(key) % w
-    blocks = np.concatenate([key, np.full(pad, ~U(0))]).reshape(-1, w)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[w - 1 : w - 1 + n])
+    """The least of each ``w`` keys in a row, by doubling the width."""
+    least, width = key, 1
+    while 2 * width <= w:
+        least = np.minimum(least[:-width], least[width:])
+        width *= 2
+    return np.minimum(least[: len(key) - w + 1], least[w - width :]) if width < w else least
 
 
 def _stretches(docs: list[bytes], length: int):
@@ -101,13 +122,13 @@ def _stretches(docs: list[bytes], length: int):
 
 
 def _anchors(docs: list[bytes], length: int, k: int):
-    """Per stretch: (text, span start, span end) arrays the ranks h and c of the sampled string and of the span, and how far on the string is."""
+    """Per stretch: arrays of the text, the span's start and end, the rank of the sampled string, how far on it is, and a function for the span's rank."""
     w = length - k + 1
     for b, parts in _stretches(docs, length):
         roll = Rolling(b)
-        at = np.arange(len(b) - k + 1)
-        h = _mix(roll.of(at, at + k, 0))
-        key = (h & ~U((1 << 20) - 1)) | at.astype(np.uint64)
+        h = _mix(roll.every(k, 0))
+        key = h & ~U((1 << 20) - 1)
+        key |= np.arange(len(h), dtype=np.uint64)
         chosen = (_least(key, w) & U((1 << 20) - 1)).astype(np.int64)  # of the window that starts at each place
         begin, size = np.array([p[2] for p in parts]), np.array([p[3] for p in parts])
         owner = np.repeat(np.arange(len(parts)), size)[: len(chosen)]
@@ -117,10 +138,13 @@ def _anchors(docs: list[bytes], length: int, k: int):
         edge = np.flatnonzero(new)
         first, last = starts[edge], np.append(starts[edge[1:] - 1], starts[-1])
         own, anchor = owner[first], chosen[first]
-        shape = ((anchor - first).astype(np.uint64) << U(32)) | (last - first).astype(np.uint64)
-        c = _mix(roll.of(first, last + length, 1) + _mix(shape + U(1)))
+
+        def spans(roll=roll, first=first, last=last, anchor=anchor):
+            shape = ((anchor - first).astype(np.uint64) << U(32)) | (last - first).astype(np.uint64)
+            return _mix(roll.of(first, last + length, 1) + _mix(shape + U(1)))
+
         text, shift = np.array([p[0] for p in parts])[own], np.array([p[1] - p[2] for p in parts])[own]
-        yield text, first + shift, last + shift, h[anchor], c, anchor - first
+        yield text, first + shift, last + shift, h[anchor], anchor - first, spans
 
 
 def _columns(batch, *names):
@@ -136,7 +160,7 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
         press = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
         yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "z": [press(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]}
 
-    return map_batches(rows, pack, "doc_id long, row int, z binary")
+    return map_batches(rows, pack, "doc_id long, row int, z binary", TEXTS)
 
 
 def _unpacked(batch) -> list[bytes]:
@@ -172,17 +196,17 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
 
     def sample(batch):
         ids, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
-        for text, first, last, h, c, ahead in _anchors(_unpacked(batch), length, k):
+        for text, first, last, h, ahead, spans in _anchors(_unpacked(batch), length, k):
             span = first << 32 | ahead << 16 | last - first + 1
-            yield {"doc_id": ids[text], "row": rows[text], "h": h.view(np.int64), "c": c.view(np.int64), "span": span}
+            yield {"doc_id": ids[text], "row": rows[text], "h": h.view(np.int64), "c": spans().view(np.int64), "span": span}
 
     def ranks(batch):
-        for *_, h, _c, _a in _anchors(_unpacked(batch), length, k):
+        for *_, h, _, _ in _anchors(_unpacked(batch), length, k):
             yield {"h": h.view(np.int64)}
 
     # Level 1: sampled positions by rank; unique ones leave.
-    shared = map_batches(docs.select("z"), ranks, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
-    left = cut(map_batches(docs, sample, "doc_id long, row int, h long, c long, span long").join(shared, "h"))
+    shared = map_batches(docs.select("z"), ranks, "h long", TEXTS).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    left = cut(map_batches(docs, sample, "doc_id long, row int, h long, c long, span long", TEXTS).join(shared, "h"))
 
     # Level 2: whole spans. A span that occurs again is repeated.
     spans = cut(left.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "span")).alias("one")))
@@ -204,7 +228,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
         yield out
 
     once = docs.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", "z", "spans")
-    context = cut(map_batches(once, contexts, "doc_id long, row int, h long, border boolean, first long, ahead int, n int, ctx binary"))
+    context = cut(map_batches(once, contexts, "doc_id long, row int, h long, border boolean, first long, ahead int, n int, ctx binary", TEXTS))
 
     # Level 3: blocks of neighbouring starts.
     def blocks(batch):
@@ -283,4 +307,4 @@ def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", tex
         yield out
 
     joined = docs.join(spans, ["doc_id", "row"], "left").select("doc_id", "z", "spans")
-    return map_batches(joined, apply, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return map_batches(joined, apply, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", TEXTS)

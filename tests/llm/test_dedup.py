@@ -53,7 +53,7 @@ def test_substrings_of_long_texts(frame, prose, monkeypatch):
     monkeypatch.setattr(exact_substrings, "STRETCH", 4096)
     texts = [prose(1, 3000).encode(), (prose(2, 1500) + prose(1, 500)).encode()]
     spans = defaultdict(list)
-    for text, first, last, h, c, ahead in exact_substrings._anchors(texts, 100, 40):
+    for text, first, last, _, ahead, _ in exact_substrings._anchors(texts, 100, 40):
         spans_ok = (last - first < 61).all() and (ahead >= 0).all()
         assert spans_ok
         for d, a, z in zip(text, first, last, strict=True):
