@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,17 @@ def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def pressed(texts: list) -> list[bytes | None]:
+    """Texts compressed, for a shuffle; null stays."""
+    press = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
+    return [None if t is None else press(t.encode("utf-8", "surrogatepass")) for t in texts]
+
+
+def unpressed(column: list) -> list[bytes | None]:
+    open_ = zstandard.ZstdDecompressor().decompress
+    return [None if z is None else open_(z) for z in column]
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, rows: int = 10_000) -> DataFrame:
     """Apply ``fn`` to each Arrow batch, at most ``rows`` at once; ``fn`` yields dicts of columns in the order of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema

@@ -27,11 +27,10 @@ are kept apart by a hash of their text; rows that repeat both count as two copie
 from __future__ import annotations
 
 import numpy as np
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches
+from .common import cut, map_batches, pressed, unpressed
 
 NO_ID = -(1 << 63)
 STRETCH = 1 << 18
@@ -157,15 +156,13 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = rows.withColumn("row", F.hash("text"))
 
     def pack(batch):
-        press = zstandard.ZstdCompressor(level=3, write_checksum=False).compress
-        yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "z": [press(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]}
+        yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "z": pressed(batch.column("text").to_pylist())}
 
     return map_batches(rows, pack, "doc_id long, row int, z binary", TEXTS)
 
 
 def _unpacked(batch) -> list[bytes]:
-    open_ = zstandard.ZstdDecompressor().decompress
-    return [open_(z) for z in batch.column("z").to_pylist()]
+    return unpressed(batch.column("z").to_pylist())
 
 
 def _pieces(batch, length: int, k: int):

@@ -18,13 +18,16 @@ without an id come first in the order. Very long lines are compared whole.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import cut, map_batches
+from .common import cut, map_batches, pressed, unpressed
 
 BLOCKS, NO_ID = 8, -(1 << 63)
 
@@ -77,25 +80,39 @@ def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.withColumn("row", F.xxhash64("text"))
 
 
+def _packed(df: DataFrame, text_col: str) -> DataFrame:
+    """``df`` with its text column compressed, as texts are shuffled."""
+
+    def run(batches):
+        for b in batches:
+            at = b.schema.get_field_index(text_col)
+            yield b.set_column(at, pa.field(b.schema.names[at], pa.binary()), pa.array(pressed(b.column(at).to_pylist()), pa.binary()))
+
+    return df.mapInArrow(run, StructType([StructField(f.name, BinaryType()) if f.name == text_col else f for f in df.schema]))
+
+
 def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 16) -> DataFrame:
     """(doc_id, row, line): the lines that go, by document, hash of its text and place from 0."""
     docs = _rows(df, id_col, text_col)
 
-    def lines(batch):
-        out = {k: [] for k in ("doc_id", "row", "line", "h1", "h2", "keys")}
+    def lines(batch, halves=False):
+        out = {k: [] for k in ("doc_id", "row", "line", "h1", "h2", *["keys"] * halves)}
         for d, text, row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "row")), strict=True):
             for i, line in enumerate(map(normal, text.split("\n"))):
                 if line:
-                    for k, v in zip(out, (d, row, i, *_whole(line), half_keys(line) if len(line) >= min_chars - 1 else []), strict=True):
+                    keys = [half_keys(line) if len(line) >= min_chars - 1 else []] * halves
+                    for k, v in zip(out, (d, row, i, *_whole(line), *keys), strict=True):
                         out[k].append(v)
         yield out
 
-    all_ = map_batches(docs, lines, "doc_id long, row long, line int, h1 long, h2 long, keys array<long>")
+    schema = "doc_id long, row long, line int, h1 long, h2 long"
+    all_ = map_batches(docs, lines, schema)
+    keyed = map_batches(docs, partial(lines, halves=True), f"{schema}, keys array<long>")
     place = F.struct("doc_id", "line", "row")
-    kinds = cut(all_.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")))
+    kinds = cut(keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")))
 
     again = kinds.where("n > 1").select("h1", "h2", "first")
-    equal = all_.drop("keys").join(again, ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "row", "line")
+    equal = all_.join(again, ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "row", "line")
 
     # Lines that share a half with another one, with their text.
     keyed = kinds.select("first", F.explode("keys").alias("key"))
@@ -104,8 +121,8 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def pick(batch):
         out = {k: [] for k in ("doc_id", "row", "line", "text", "keys")}
-        for d, row, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "lines", "text")), strict=True):
-            have = text.split("\n")
+        for d, row, wanted, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "lines")), unpressed(batch.column("text").to_pylist()), strict=True):
+            have = text.decode("utf-8", "surrogatepass").split("\n")
             for i in wanted:
                 line = normal(have[i])
                 keys = [{"key": k, "lo": lo, "hi": hi} for k, lo, hi in block_keys(line)]
@@ -113,7 +130,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     out[k].append(v)
         yield out
 
-    once = docs.join(near, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
+    once = _packed(docs, "text").join(near, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
     picked = cut(map_batches(once.select("doc_id", "row", "lines", "text"), pick, "doc_id long, row long, line int, text string, keys array<struct<key:long,lo:int,hi:int>>"))
 
     blocks = picked.select("doc_id", "row", "line", F.explode("keys").alias("k")).select("doc_id", "row", "line", "k.*")
@@ -148,17 +165,19 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     gone = gone.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), F.col("gone").alias(name))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     keyed = df.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("__row", F.xxhash64(text))
-    joined = keyed.join(gone, ["__id", "__row"], "left").drop("__id", "__row")
+    joined = _packed(keyed, text_col).join(gone, ["__id", "__row"], "left").drop("__id", "__row")
+    out = StructType([*df.schema, joined.schema[name]])
 
     def keep(batches):
         for b in batches:
-            out = []
-            for text, places in zip(b.column(text_col).to_pylist(), b.column(name).to_pylist(), strict=True):
+            texts = []
+            for z, places in zip(unpressed(b.column(text_col).to_pylist()), b.column(name).to_pylist(), strict=True):
+                text = None if z is None else z.decode("utf-8", "surrogatepass")
                 if places is not None:
                     places = set(places)
                     text = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in places)
-                out.append(text)
+                texts.append(text)
             at = b.schema.get_field_index(text_col)
-            yield b.set_column(at, b.schema.field(at), pa.array(out, b.schema.field(at).type))
+            yield b.set_column(at, pa.field(b.schema.names[at], pa.string()), pa.array(texts, pa.string()))
 
-    return joined.mapInArrow(keep, joined.schema), name
+    return joined.mapInArrow(keep, out), name
