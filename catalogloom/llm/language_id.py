@@ -91,7 +91,7 @@ def fit(train: DataFrame, train_rows: int = 20_000, text_col: str = "text", lang
                 counts[lang] = counts.get(lang, 0) + np.bincount(at, n, minlength=BUCKETS)
         for lang, n in counts.items():
             at = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at])], names=["lang", "bucket", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.float64())], names=["lang", "bucket", "n"])
 
     found = rows.select("text", "lang").mapInArrow(run, "lang string, bucket int, n double").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     tables = {}
