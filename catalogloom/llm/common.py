@@ -60,6 +60,11 @@ def unpressed(column: list) -> list[bytes | None]:
     return [None if z is None else open_(z) for z in column]
 
 
+def sliced(batches, rows: int):
+    """Batches of at most ``rows`` rows, so that few of them are Python values at once."""
+    return (b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows))
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, rows: int = 10_000) -> DataFrame:
     """Apply ``fn`` to each Arrow batch, at most ``rows`` at once; ``fn`` yields dicts of columns in the order of ``schema``."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -68,7 +73,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], s
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches):
-        for b in (b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows)):
+        for b in sliced(batches, rows):
             for columns in fn(b):
                 yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
 

@@ -18,8 +18,6 @@ without an id come first in the order. Very long lines are compared whole.
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -27,9 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import cut, map_batches, pressed, unpressed
+from .common import cut, map_batches, pressed, sliced, unpressed
 
 BLOCKS, NO_ID = 8, -(1 << 63)
+#: Texts that a task holds as Python values at once.
+TEXTS = 1000
 
 
 def normal(line: str) -> str:
@@ -48,8 +48,12 @@ def _whole(line: str) -> tuple[int, int]:
 
 def half_keys(line: str) -> list[int]:
     """Hashes of the first and last halves; lines one edit apart share one."""
-    n = len(line)
-    return [_hash(side, h, part) for h in {n // 2, (n - 1) // 2} for side, part in (("p", line[:h]), ("s", line[n - h :]))]
+    n, out = len(line), []
+    for h in {n // 2, (n - 1) // 2}:
+        for seed, part in ((2 * h, line[:h]), (2 * h + 1, line[n - h :])):
+            x = xxhash.xxh3_64_intdigest(part.encode("utf-8", "surrogatepass"), seed)
+            out.append(x - (1 << 64) if x >> 63 else x)
+    return out
 
 
 def block_keys(line: str) -> list[tuple[int, int, int]]:
@@ -84,7 +88,7 @@ def _packed(df: DataFrame, text_col: str) -> DataFrame:
     """``df`` with its text column compressed, as texts are shuffled."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches, TEXTS):
             at = b.schema.get_field_index(text_col)
             yield b.set_column(at, pa.field(b.schema.names[at], pa.binary()), pa.array(pressed(b.column(at).to_pylist()), pa.binary()))
 
@@ -95,24 +99,21 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, row, line): the lines that go, by document, hash of its text and place from 0."""
     docs = _rows(df, id_col, text_col)
 
-    def lines(batch, halves=False):
-        out = {k: [] for k in ("doc_id", "row", "line", "h1", "h2", *["keys"] * halves)}
+    def lines(batch):
+        out = {k: [] for k in ("doc_id", "row", "line", "h1", "h2", "keys")}
         for d, text, row in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "row")), strict=True):
             for i, line in enumerate(map(normal, text.split("\n"))):
                 if line:
-                    keys = [half_keys(line) if len(line) >= min_chars - 1 else []] * halves
-                    for k, v in zip(out, (d, row, i, *_whole(line), *keys), strict=True):
+                    for k, v in zip(out, (d, row, i, *_whole(line), half_keys(line) if len(line) >= min_chars - 1 else []), strict=True):
                         out[k].append(v)
         yield out
 
-    schema = "doc_id long, row long, line int, h1 long, h2 long"
-    all_ = map_batches(docs, lines, schema)
-    keyed = map_batches(docs, partial(lines, halves=True), f"{schema}, keys array<long>")
+    all_ = cut(map_batches(docs, lines, "doc_id long, row long, line int, h1 long, h2 long, keys array<long>", TEXTS))
     place = F.struct("doc_id", "line", "row")
-    kinds = cut(keyed.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")))
+    kinds = cut(all_.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"), F.first("keys").alias("keys")))
 
     again = kinds.where("n > 1").select("h1", "h2", "first")
-    equal = all_.join(again, ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "row", "line")
+    equal = all_.drop("keys").join(again, ["h1", "h2"]).where(place != F.col("first")).select("doc_id", "row", "line")
 
     # Lines that share a half with another one, with their text.
     keyed = kinds.select("first", F.explode("keys").alias("key"))
@@ -131,7 +132,7 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         yield out
 
     once = _packed(docs, "text").join(near, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
-    picked = cut(map_batches(once.select("doc_id", "row", "lines", "text"), pick, "doc_id long, row long, line int, text string, keys array<struct<key:long,lo:int,hi:int>>"))
+    picked = cut(map_batches(once.select("doc_id", "row", "lines", "text"), pick, "doc_id long, row long, line int, text string, keys array<struct<key:long,lo:int,hi:int>>", TEXTS))
 
     blocks = picked.select("doc_id", "row", "line", F.explode("keys").alias("k")).select("doc_id", "row", "line", "k.*")
     meet = blocks.groupBy("key").agg(F.count_distinct("doc_id", "row", "line").alias("n")).where("n > 1").select("key")
@@ -169,7 +170,7 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
     out = StructType([*df.schema, joined.schema[name]])
 
     def keep(batches):
-        for b in batches:
+        for b in sliced(batches, TEXTS):
             texts = []
             for z, places in zip(unpressed(b.column(text_col).to_pylist()), b.column(name).to_pylist(), strict=True):
                 text = None if z is None else z.decode("utf-8", "surrogatepass")
