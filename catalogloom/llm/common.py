@@ -28,11 +28,17 @@ def shared_dir(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of queries that are over (it follows the driver's garbage collection)."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it again: the lineage ends there."""
+    release(df.sparkSession)
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/catalogloom/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()  # lets Spark's cleaner remove the shuffle files of what is written now
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

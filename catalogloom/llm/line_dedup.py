@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from .common import cut, map_batches, pressed, sliced, unpressed
+from .common import cut, map_batches, pressed, release, sliced, unpressed
 
 BLOCKS, NO_ID = 8, -(1 << 63)
 #: Texts that a task holds as Python values at once.
@@ -181,4 +181,5 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", mi
             at = b.schema.get_field_index(text_col)
             yield b.set_column(at, pa.field(b.schema.names[at], pa.string()), pa.array(texts, pa.string()))
 
+    release(df.sparkSession)
     return joined.mapInArrow(keep, out), name
