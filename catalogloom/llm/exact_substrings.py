@@ -20,7 +20,8 @@ window of ``length`` bytes, the one with the least hash stands for the window (e
 4. Only the blocks that this leaves open are expanded to their window starts, ranked by pairs (rank here, rank
    half a length on); the windows that share a rank are repeated.
 
-Groups are only counted and joined, never gathered. Null and empty texts give no bytes. Rows with the same id
+Groups are only counted and joined, never gathered. What is counted is written before it is joined, so that each
+side of a join is a plain exchange, of which Spark splits a partition that a common rank makes large. Null and empty texts give no bytes. Rows with the same id
 are kept apart by a hash of their text; rows that repeat both count as two copies of the text.
 """
 
@@ -202,7 +203,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             yield {"h": h.view(np.int64)}
 
     # Level 1: sampled positions by rank; unique ones leave.
-    shared = map_batches(docs.select("z"), ranks, "h long", TEXTS).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
+    shared = cut(map_batches(docs.select("z"), ranks, "h long", TEXTS).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
     left = cut(map_batches(docs, sample, "doc_id long, row int, h long, c long, span long", TEXTS).join(shared, "h"))
 
     # Level 2: whole spans. A span that occurs again is repeated.
@@ -212,7 +213,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
     settled = left.join(spans.where("n > 1").select("h", "c"), ["h", "c"]).select("doc_id", "row", first.alias("start"), (first + size - 1 + length).alias("end"))
 
     # Borders, and one span of each repeated group that shares their sampled string, with their bytes.
-    open_ = spans.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("h")
+    open_ = cut(spans.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("h"))
     wanted = spans.join(open_, "h").select("one.*", "h", (F.col("n") == 1).alias("border")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("span", "h", "border")).alias("spans"))
 
     def contexts(batch):
@@ -253,7 +254,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             }
 
     level3 = map_batches(context, blocks, "doc_id long, row int, h long, border boolean, block int, whole boolean, key long, start long, stop long")
-    again = level3.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key")
+    again = cut(level3.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key"))
     told = level3.where("border").join(again, ["h", "key"]).groupBy("doc_id", "row", "h", "block", "start", "stop").agg(F.max("whole").alias("whole"))
     told = cut(told)
     by_block = told.where("whole").select("doc_id", "row", "start", (F.col("stop") + length).alias("end"))
@@ -273,7 +274,7 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
 
     level4 = map_batches(context.join(undecided, "h"), starts, "doc_id long, row int, h long, border boolean, key long, start long")
     level4 = cut(level4)
-    again = level4.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key")
+    again = cut(level4.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key"))
     by_start = level4.where("border").join(again, ["h", "key"]).select("doc_id", "row", "start", (F.col("start") + length).alias("end"))
     return settled.unionByName(by_block).unionByName(by_start)
 
