@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from .common import with_columns
 
 Q, STRETCH = 10, 200_000
+#: Odd factors that mix the hashes of neighbouring runs.
+MIX = [np.uint64(0x9E3779B97F4A7C15 * k & (1 << 64) - 1) for k in (1, 3, 5, 7)]
 HIT = "struct<item_id:long,start:long,end:long,edits:int>"
 
 
@@ -36,12 +38,11 @@ def normal(text: str) -> np.ndarray:
 
 def grams(x: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each run of Q characters."""
-    m = np.uint64(0x9E3779B97F4A7C15)
     one = (x.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD6E8FEB86659FD93)
-    two = one[:-1] * m + one[1:]
-    four = two[:-2] * (m * np.uint64(3)) + two[2:]
-    eight = four[:-4] * (m * np.uint64(5)) + four[4:]
-    ten = eight[: len(x) - Q + 1] * (m * np.uint64(7)) + two[8 : 8 + len(x) - Q + 1]
+    two = one[:-1] * MIX[0] + one[1:]
+    four = two[:-2] * MIX[1] + two[2:]
+    eight = four[:-4] * MIX[2] + four[4:]
+    ten = eight[: len(x) - Q + 1] * MIX[3] + two[8 : 8 + len(x) - Q + 1]
     return ten ^ (ten >> np.uint64(29))
 
 
