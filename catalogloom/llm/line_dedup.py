@@ -8,9 +8,11 @@ be the reason why another goes. Lines of white space alone stay.
 Equal lines are reduced to one row by 128-bit hashes first. A line can be one edit from another only if it
 shares its first or last half with it, and then all but one of ``BLOCKS`` runs; lines that share neither
 are left out at no loss. Each remaining line emits every variant with one character deleted in the runs
-concerned, as hashed keys; equal keys meet in a group, of which the earliest line stays and is the witness
-of the others, verified by edit distance. Groups are aggregated, never expanded into pairs, so a line that
-a third of all documents hold costs a row each.
+concerned, as hashed keys; equal keys meet in a group. In a group of lines that differ at one place the
+earliest is the witness of the others. In a group of a line and longer ones that give it by a deletion, that
+line is the witness of the longer ones and the earliest of these is its own; two longer ones can be two edits
+apart and are not compared. Witnesses are verified by edit distance. Groups are aggregated, never expanded
+into pairs, so a line that a third of all documents hold costs a row each.
 
 Null texts are empty and give no lines. Rows that repeat a whole row count as the same document. Rows
 without an id come first in the order. Very long lines are compared whole.
@@ -28,6 +30,8 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 from .common import cut, map_batches, pressed, release, sliced, unpressed
 
 BLOCKS, NO_ID = 8, -(1 << 63)
+#: What a key is of its line.
+ITSELF, SHORTER, SAME = 0, 1, 2
 #: Texts that a task holds as Python values at once.
 TEXTS = 1000
 
@@ -66,16 +70,16 @@ def block_keys(line: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def variants(line: str, lo: int, hi: int) -> list[int]:
-    """Keys of the line itself and of it without character i, lo <= i < hi.
+def variants(line: str, lo: int, hi: int) -> list[tuple[int, int]]:
+    """(key, kind) of the line itself (``ITSELF``) and of it without character i, lo <= i < hi.
 
-    Two kinds of key: the variant alone meets a shorter line; the variant with its place meets a line of
-    the same length that differs there.
+    The variant alone (``SHORTER``) meets a shorter line; the variant with its place (``SAME``) meets a line
+    of the same length that differs there.
     """
-    out = [_hash("v", line)]
+    out = [(_hash("v", line), ITSELF)]
     for i in range(lo, min(hi, len(line))):
         rest = line[:i] + line[i + 1 :]
-        out += [_hash("v", rest), _hash("s", i, rest)]
+        out += [(_hash("v", rest), SHORTER), (_hash("s", i, rest), SAME)]
     return out
 
 
@@ -142,13 +146,15 @@ def duplicate_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for d, row, i, text, spans in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "row", "line", "text", "runs")), strict=True):
             keys = list({k for s in spans for k in variants(text, s["lo"], s["hi"])})
             n = len(keys)
-            yield {"doc_id": np.full(n, d), "row": np.full(n, row), "line": np.full(n, i, np.int32), "key": keys}
+            yield {"doc_id": np.full(n, d), "row": np.full(n, row), "line": np.full(n, i, np.int32), "key": [k for k, _ in keys], "kind": np.array([k for _, k in keys], np.int8)}
 
     long_enough = picked.drop("keys").where(F.char_length("text") >= min_chars)
     wide = long_enough.join(runs, ["doc_id", "row", "line"]).select("doc_id", "row", "line", "text", "runs")
-    keys = map_batches(wide, emit, "doc_id long, row long, line int, key long")
-    best = keys.groupBy("key").agg(F.min(place).alias("w"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = keys.join(best, "key").where(place > F.col("w")).select("doc_id", "row", "line", "w").distinct()
+    keys = map_batches(wide, emit, "doc_id long, row long, line int, key long, kind byte")
+    firsts = (F.min(F.when(c, place)).alias(w) for c, w in ((F.col("kind") != SHORTER, "own"), (F.col("kind") == SHORTER, "longer")))
+    best = keys.groupBy("key").agg(*firsts, F.count(F.lit(1)).alias("n")).where("n > 1 and own is not null").drop("n")
+    other = F.when(F.col("kind") == ITSELF, F.col("longer")).otherwise(F.col("own"))
+    later = keys.join(best, "key").withColumn("w", other).where(place > F.col("w")).select("doc_id", "row", "line", "w").distinct()
     witness = long_enough.select(place.alias("w"), F.col("text").alias("other"))
     pairs = later.join(long_enough, ["doc_id", "row", "line"]).join(witness, "w")
     verified = pairs.where(F.levenshtein("text", "other", 1) >= 0).select("doc_id", "row", "line").distinct()

@@ -149,6 +149,29 @@ def test_lines(frame, prose):
     assert got[1] is None and found.columns == [*frame(rows).columns, gone]
 
 
+@pytest.mark.parametrize("order", [(0, 1, 2), (1, 0, 2), (0, 2, 1), (2, 0, 1)])
+def test_lines_that_meet_in_a_shorter_one(frame, order):
+    short = "the quick brown fox jumps"
+    texts = ["x" + short, short, short + "x"]
+    rows = [(k + 1, texts[i]) for k, i in enumerate(order)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(frame(rows))[0].collect()}
+    assert got == dict(zip([d for d, _ in rows], brute_lines(rows, 16), strict=True))
+
+
+def test_lines_of_families(frame, prose):
+    r = random.Random(6)
+
+    def edited(x, n):
+        for _ in range(n):
+            i = r.randrange(len(x))
+            x = x[:i] + r.choice(["", "q", "q" + x[i]]) + x[i + 1 :]
+        return x
+
+    rows = [(i, "\n".join(edited(prose(40 + r.randrange(6), 5), r.randrange(4)) for _ in range(4))) for i in range(60)]
+    got = {d["doc_id"]: d["text"] for d in line_dedup.line_dedup(frame(rows))[0].collect()}
+    assert got == dict(zip([d for d, _ in rows], brute_lines(rows, 16), strict=True))
+
+
 def test_lines_of_repeated_rows_and_no_ids(frame, spark):
     found, _ = line_dedup.line_dedup(frame([(1, "same line here today"), (1, "same line here today"), (None, "same line here today")]))
     assert sorted(r["text"] for r in found.collect()) == ["", "", "same line here today"]
