@@ -53,9 +53,15 @@ def systematic(df: DataFrame, spread: str, key: str, n: int, start: float = 0.5)
 
 
 def deal(df: DataFrame, stratum: str, key: str, packages: int, seed: str) -> DataFrame:
-    """Package 1..packages per row of a sample, dealt in turn through the strata."""
-    w = Window.orderBy(stratum, hash_order(seed, key), key)
-    return df.withColumn("package", (F.row_number().over(w) - 1) % packages + 1)
+    """Package 1..packages per row of a sample, dealt in turn through the strata in hash order."""
+    rows = df.withColumn("_h", hash_order(seed, key)).withColumn("_b", F.substring("_h", 1, 2))
+    counts = rows.groupBy(F.col(stratum).alias("_s"), F.col("_b").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per stratum and bucket of the hash: the window without partitions orders these alone.
+    before = F.sum("_n").over(Window.orderBy("_s", "_c").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_s", "_c", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = rows.join(F.broadcast(starts), F.col(stratum).eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_c")))
+    within = F.row_number().over(Window.partitionBy(stratum, "_b").orderBy("_h", key)) - 1
+    return placed.withColumn("package", (F.col("_before") + within) % packages + 1).drop("_h", "_b", "_s", "_c", "_before")
 
 
 def wilson(p: Column, n: Column, z: float = Z) -> Column:

@@ -93,6 +93,15 @@ def rollup_present_counts(spark, sf):
     return rollups.present_counts(t(spark, sf, "customer"), orders, "c_custkey", "o_custkey", "o_orderpriority", PRIORITIES)
 
 
+@query(
+    """WITH c AS (SELECT o_custkey, o_orderpriority p, count(*) n FROM orders GROUP BY 1, 2),
+    r AS (SELECT o_custkey, string_agg(p, '|' ORDER BY p) present, '{' || string_agg('"' || p || '": ' || n, ', ' ORDER BY p) || '}' counts, sum(n) total FROM c GROUP BY 1)
+    SELECT c_custkey, coalesce(present, '') AS present, coalesce(counts, '') AS counts, CAST(coalesce(total, 0) AS BIGINT) AS total FROM customer LEFT JOIN r ON c_custkey = o_custkey"""
+)
+def rollup_present_counts_all(spark, sf):
+    return rollups.present_counts(t(spark, sf, "customer"), t(spark, sf, "orders"), "c_custkey", "o_custkey", "o_orderpriority", PRIORITIES)
+
+
 @query(
     """SELECT md5(text) AS key, arg_min(doc_id, doc_id) AS doc_id, arg_min(lang, doc_id) AS lang, min(n_chars) AS n_chars, string_agg(DISTINCT source, '|' ORDER BY source) AS aliases, count(*) AS n_merged FROM documents GROUP BY 1"""
 )

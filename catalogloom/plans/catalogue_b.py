@@ -133,6 +133,14 @@ def nested_export(spark, sf):
     return facets.export(t(spark, sf, "customer"), orders, "c_custkey", "o_custkey", ["o_orderkey", "o_orderpriority"], "o_orderkey")
 
 
+@query(
+    """SELECT c_custkey, CAST(count(o_orderkey) AS BIGINT) AS n, CASE WHEN count(o_orderkey) = 0 THEN '[]' ELSE '[' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}', ',' ORDER BY o_orderkey) || ']' END AS children
+    FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1"""
+)
+def nested_export_all(spark, sf):
+    return facets.export(t(spark, sf, "customer"), t(spark, sf, "orders"), "c_custkey", "o_custkey", ["o_orderkey", "o_orderpriority"], "o_orderkey")
+
+
 @query(
     """SELECT doc_id, CASE WHEN s LIKE '%cc by-nc 4.0%' THEN 'CC-BY-NC-4.0' WHEN s LIKE '%cc by 4.0%' THEN 'CC-BY-4.0' WHEN s LIKE '%cc by-sa 4.0%' THEN 'CC-BY-SA-4.0' WHEN s LIKE '%cc by-sa 3.0%' THEN 'CC-BY-SA-3.0' ELSE '' END AS spdx
     FROM (SELECT doc_id, lower(text) AS s FROM documents) WHERE regexp_matches(s, 'cc by[- ]')"""
@@ -302,6 +310,11 @@ def deal_packages(spark, sf):
     return statistics.deal(sheet, "c_mktsegment", "c_custkey", 7, "deal").select("c_custkey", F.col("package").cast("long").alias("package"))
 
 
+@query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_mktsegment, md5('deal:' || c_custkey), c_custkey) - 1) % 7 + 1 AS BIGINT) AS package FROM customer")
+def deal_packages_all(spark, sf):
+    return statistics.deal(t(spark, sf, "customer"), "c_mktsegment", "c_custkey", 7, "deal").select("c_custkey", F.col("package").cast("long").alias("package"))
+
+
 @query("WITH o AS (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS i, count(*) OVER () AS n FROM customer) SELECT c_custkey FROM o, range(50) AS r(k) WHERE i = CAST(floor(0.5 * n / 50.0 + k * (n / 50.0)) AS BIGINT)")
 def systematic_sample(spark, sf):
     return statistics.systematic(t(spark, sf, "customer"), "c_acctbal", "c_custkey", 50).select("c_custkey")

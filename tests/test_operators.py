@@ -168,3 +168,12 @@ def test_stream_merges_into_latest(spark, tmp_path):
     last = max(int(p.name.split("=")[1]) for p in (tmp_path / "state").glob("batch=*"))
     got = {r["k"]: r["v"] for r in spark.read.schema(schema).parquet(f"{tmp_path}/state/batch={last}").collect()}
     assert got == {"a": 2, "b": 3}
+
+
+def test_deal_takes_turns_in_hash_order(spark):
+    import hashlib
+
+    rows = [(i, None if i % 11 == 0 else "abc"[min(i % 5, 2)]) for i in range(700)]
+    got = {r["k"]: r["package"] for r in statistics.deal(spark.createDataFrame(rows, "k long, s string").repartition(5), "s", "k", 7, "seed").collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", hashlib.md5(f"seed:{r[0]}".encode()).hexdigest(), r[0]))
+    assert got == {k: i % 7 + 1 for i, (k, _) in enumerate(order)}
