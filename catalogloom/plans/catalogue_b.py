@@ -468,8 +468,9 @@ def resolve_titles(spark, sf):
 
 @query("SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def view_sums(spark, sf):
-    items = t(spark, sf, "events").groupBy("user_id").agg(F.collect_list(F.struct(F.round(F.col("value") * 100).alias("views"))).alias("items"))
-    return items.select("user_id", F.size("items").cast("long").alias("n"), F.round(tables.monthly_sum(F.col("items")) / 100, 2).alias("total"))
+    cents = F.round(F.col("value") * 100).cast("long")
+    sums = t(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(cents), F.lit(0)).alias("cents"))
+    return sums.select("user_id", "n", F.round(F.col("cents") / 100, 2).alias("total"))
 
 
 @query(f"SELECT p_brand, {', '.join(f'count(*) FILTER (p_type = {chr(39)}{v}{chr(39)}) AS n_{v.lower()}' for v in ('ECONOMY', 'PROMO'))}, count(*) AS total FROM part GROUP BY 1")

@@ -26,6 +26,10 @@ def test_whole_tables(spark):
     assert plans.QUERIES["deal_packages_all"](spark, SF).count() == customers.count()
 
 
+def test_view_sums_gather_no_rows(spark):
+    assert "collect_list" not in plans.QUERIES["view_sums"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLES)))
 def test_runs(spark, name):
     assert plans.QUERIES[name](spark, SF).count() > 0
