@@ -1,13 +1,10 @@
-"""Suffix-array dedup of repeated byte strings by distributed prefix doubling.
+"""Dedup of repeated byte strings by winnowing and hash grouping, in place of distributed prefix doubling.
 
 A byte goes if it lies in a string of ``length`` bytes that also starts anywhere else, in the same text or in
 another (overlaps count; matches never cross texts; all is judged on the input).
 
-Positions are ranked by the strings that start there, at doubling lengths; a position whose rank is unique
-leaves, and the rest goes on to the next length until ``length`` is reached. A rank is a 128-bit fingerprint
-of the string, so that positions with equal strings sort together wherever they are, and the rank at twice the
-length is that of the pair (rank here, rank one length on). Ranking every position of a corpus would multiply
-its size; so the first level ranks sampled positions: of the strings of ``2 / 5 * length`` bytes within each
+A rank below is a hash of the string itself, never made from earlier ranks. Ranking every position of a corpus
+at doubling lengths would multiply its size; so the first level ranks sampled positions: of the strings of ``2 / 5 * length`` bytes within each
 window of ``length`` bytes, the one with the least hash stands for the window (equal windows choose alike).
 
 1. Sampled positions are sorted by their string's rank; those that no other position shares leave, with all
@@ -17,8 +14,8 @@ window of ``length`` bytes, the one with the least hash stands for the window (e
 3. What is left (the borders of repeated passages, and one span of each group that may meet them) is ranked in
    blocks of ``STEP`` neighbouring window starts: if the string that they span together is shared, all are
    repeated; if not even the string that they have in common is, none is.
-4. Only the blocks that this leaves open are expanded to their window starts, ranked by pairs (rank here, rank
-   half a length on); the windows that share a rank are repeated.
+4. Only the blocks that this leaves open are expanded to their window starts, ranked by the hashes of both
+   halves of the string; the windows that share a rank are repeated.
 
 Groups are only counted and joined, never gathered. What is counted is written before it is joined, so that each
 side of a join is a plain exchange, of which Spark splits a partition that a common rank makes large. Null and empty texts give no bytes. Rows with the same id
