@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    A temporary folder is used only where the session names none, as in local tests.
+    A local session that names none, as in tests, gets a temporary folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None)
+    if named is None and sc.getCheckpointDir() is None and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="catalogloom-"))
     return named or sc.getCheckpointDir()
@@ -38,7 +42,6 @@ def cut(df: DataFrame) -> DataFrame:
     release(df.sparkSession)
     path = f"{shared_dir(df.sparkSession).rstrip('/')}/catalogloom/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -66,9 +69,19 @@ def unpressed(column: list) -> list[bytes | None]:
     return [None if z is None else open_(z) for z in column]
 
 
-def sliced(batches, rows: int):
-    """Batches of at most ``rows`` rows, so that few of them are Python values at once."""
-    return (b.slice(lo, rows) for b in batches for lo in range(0, b.num_rows, rows))
+def sliced(batches, rows: int = 10_000, size: int = 4 << 20):
+    """Batches of at most ``rows`` rows and about ``size`` bytes of text (one row at least), so that few are Python values at once."""
+    for b in batches:
+        length = np.zeros(b.num_rows, np.int64)
+        for c in b.columns:
+            if pa.types.is_string(c.type) or pa.types.is_binary(c.type):
+                length += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+        upto, lo = np.cumsum(length), 0
+        while lo < b.num_rows:
+            full = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + size, "right"))
+            hi = min(b.num_rows, lo + rows, max(lo + 1, full))
+            yield b.slice(lo, hi - lo)
+            lo = hi
 
 
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[dict]], schema: str, rows: int = 10_000) -> DataFrame:
@@ -106,7 +119,7 @@ def with_columns(df: DataFrame, text_col: str, fn: Callable[[list], dict], schem
     arrow = to_arrow_schema(new)
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             made = fn([t or "" for t in b.column(text_col).to_pylist()])
             fresh = [pa.array(made[k], type=f.type) for k, f in zip(schema, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays([*b.columns, *fresh], names=[*b.schema.names, *names])

@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
+from .common import sliced
+
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 GPT_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -195,7 +197,7 @@ def pack(
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-        for batch in batches:
+        for batch in sliced(batches):
             for i, (doc_id, text, prompt) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True)):
                 ids = coder.ids(text) + end
                 bins.add([doc_id, ids, len(ids) // 4, max(0, prompt)])

@@ -98,7 +98,8 @@ def test_spanning_links_of_dense_and_sparse_prints():
     base = r.integers(0, 1 << 63, 6, dtype=np.uint64)
     close = [b ^ np.uint64(sum(1 << int(k) for k in r.choice(64, n, replace=False))) for b in base for n in (0, 1, 2, 2, 3, 4, 6) for _ in range(6)]
     x = np.unique(np.array(close, np.uint64))
-    root = simhash.spanning_links(x)
+    x = x[np.argsort(simhash.gray_rank(x))]
+    root = simhash.spanning_links(x, slice_=3)
     want = brute_components(list(range(len(x))), [int(v) for v in x])
     assert root.tolist() == want
 
@@ -106,9 +107,9 @@ def test_spanning_links_of_dense_and_sparse_prints():
 def test_large_nodes_are_split(spark):
     r = np.random.default_rng(4)
     base = 0x0123456789ABCDEF
-    x = sorted({base ^ sum(1 << int(k) for k in r.choice(64, int(r.integers(0, 9)), replace=False)) for _ in range(300)})
+    x = sorted({base ^ sum(1 << int(k) for k in r.choice(64, int(r.integers(0, 9)), replace=False)) for _ in range(200)})
     df = spark.createDataFrame([(simhash.signed(v),) for v in x], "fp long")
-    got = {row["fp"]: row["component"] for row in simhash.link_components(df, cap=16).collect()}
+    got = {row["fp"]: row["component"] for row in simhash.link_components(df, cap=60).collect()}
     want = brute_components(list(range(len(x))), x)
     groups, mine = defaultdict(set), defaultdict(set)
     for k, v in enumerate(x):
@@ -117,6 +118,16 @@ def test_large_nodes_are_split(spark):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, mine.values()))
 
 
+def test_one_row_of_each_group_stays(frame, prose):
+    a, b, c = prose(7, 120), prose(8, 120), prose(9, 120)
+    rows = [(1, a), (None, a), (None, b), (None, variant(b, 1, 1)), (7, c), (7, a), (7, c), (8, c), (9, prose(10, 50)), (None, "alone")]
+    kept = simhash.one_of_each(frame(rows)).collect()
+    mine = sorted((str(r["doc_id"]), r["text"]) for r in kept)
+    assert len(kept) == 5 and {("1", a), ("7", c), ("9", prose(10, 50)), ("None", "alone")} < set(mine)
+    assert sum(d == "None" and t in (b, variant(b, 1, 1)) for d, t in mine) == 1
+    assert simhash.one_of_each(frame(rows).where("doc_id > 90")).count() == 0
+
+
 # Lines
 
 
