@@ -28,11 +28,8 @@ def distinct_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of SimHash near-duplicates; rows that repeat it go."""
-    groups = simhash.near_duplicates(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["__id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    """One document of each group of SimHash near-duplicates: the one with the smallest id."""
+    return simhash.one_of_each(docs).select(*docs.columns)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
