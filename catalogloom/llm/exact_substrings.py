@@ -1,14 +1,16 @@
-"""Dedup of repeated byte strings by winnowing and hash grouping, in place of distributed prefix doubling.
+"""Dedup of repeated byte strings: winnowing and hash ranks, with distributed prefix doubling beside it.
 
 A byte goes if it lies in a string of ``length`` bytes that also starts anywhere else, in the same text or in
 another (overlaps count; matches never cross texts; all is judged on the input).
 
-A rank below is a hash of the string itself, never made from earlier ranks. Ranking every position of a corpus
-at doubling lengths would multiply its size; so the first level ranks sampled positions: of the strings of ``2 / 5 * length`` bytes within each
-window of ``length`` bytes, the one with the least hash stands for the window (equal windows choose alike).
+``doubled_starts`` is prefix doubling as it is named: Spark sorts the pairs of ranks at each position and at a
+growing offset, ranks the pairs anew, and drops positions whose rank is unique, until the strings are ``length``
+bytes long. It takes a row per byte and round, which no limit on shuffles allows on a whole corpus; so
+``repeated_spans`` does the work by ranks that are hashes of the strings themselves:
 
-1. Sampled positions are sorted by their string's rank; those that no other position shares leave, with all
-   windows that they stand for.
+1. Of the strings of ``2 / 5 * length`` bytes within each window of ``length`` bytes, the one with the least hash
+   stands for the window (equal windows choose alike). Sampled positions are grouped by their string's rank;
+   those that no other position shares leave, with all windows that they stand for.
 2. The rest is reranked by the whole span of those windows. Spans that occur again are repeated as they are:
    copies are settled here, a row for each sampled position, whatever the size of their group.
 3. What is left (the borders of repeated passages, and one span of each group that may meet them) is ranked in
@@ -18,8 +20,9 @@ window of ``length`` bytes, the one with the least hash stands for the window (e
    halves of the string; the windows that share a rank are repeated.
 
 Groups are only counted and joined, never gathered. What is counted is written before it is joined, so that each
-side of a join is a plain exchange, of which Spark splits a partition that a common rank makes large. Null and empty texts give no bytes. Rows with the same id
-are kept apart by a hash of their text; rows that repeat both count as two copies of the text.
+side of a join is a plain exchange, of which Spark splits a partition that a common rank makes large. Null and
+empty texts give no bytes. Each row is a text of its own, whatever its id: rows without one, with the same one or
+repeated whole are compared like others. Texts are read in overlapping stretches, so a very long one is whole.
 """
 
 from __future__ import annotations
@@ -28,9 +31,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_batches, pressed, unpressed
+from .common import cut, drop_written, map_batches, pressed, texts, unpressed
 
-NO_ID = -(1 << 63)
 STRETCH = 1 << 18
 #: Texts that a task holds as Python values at once.
 TEXTS = 256
@@ -144,19 +146,15 @@ def _anchors(docs: list[bytes], length: int, k: int):
         yield text, first + shift, last + shift, h[anchor], anchor - first, spans
 
 
-def _columns(batch, *names):
-    return [batch.column(n).to_pylist() for n in names]
-
-
 def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, row, z): the text compressed, as it is shuffled twice; row tells rows of one id apart."""
-    rows = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.withColumn("row", F.hash("text"))
+    """(doc_id, row, z), written: a number for each row and its compressed text."""
+    rows = texts(df, id_col, text_col)
 
     def pack(batch):
-        yield {"doc_id": batch.column("doc_id"), "row": batch.column("row"), "z": pressed(batch.column("text").to_pylist())}
+        yield {"doc_id": batch.column("doc_id"), "z": pressed(batch.column("text").to_pylist())}
 
-    return map_batches(rows, pack, "doc_id long, row int, z binary", TEXTS)
+    packed = map_batches(rows.withColumn("doc_id", F.col("doc_id").cast("long")), pack, "doc_id long, z binary", TEXTS)
+    return cut(packed.withColumn("row", F.monotonically_increasing_id()))
 
 
 def _unpacked(batch) -> list[bytes]:
@@ -183,47 +181,74 @@ def _take(part, name: str, at: np.ndarray):
     return part.column(name).to_numpy(zero_copy_only=False)[at]
 
 
+def doubled_starts(docs: DataFrame, length: int = 200) -> DataFrame:
+    """(row, start): every place where a string of ``length`` bytes starts that also starts elsewhere, by prefix doubling.
+
+    A rank is the place of a pair of earlier ranks among the sorted pairs; ranks of 8 bytes are the bytes themselves.
+    """
+    if length < 16:
+        raise ValueError("length is at least 16")
+
+    def eights(batch):
+        for row, b in zip(batch.column("row").to_pylist(), _unpacked(batch), strict=True):
+            if len(b) >= length:
+                x = np.frombuffer(b, np.uint8).astype(np.uint64)
+                n = len(b) - 7
+                rank = sum((x[k : k + n] << U(56 - 8 * k) for k in range(8)), np.zeros(n, np.uint64))
+                yield {"row": np.full(n, row), "start": np.arange(n), "rank": rank.view(np.int64)}
+
+    now, width = map_batches(docs, eights, "row long, start long, rank long", 16), 8
+    while width < length:
+        offset = min(width, length - width)  # the last step overlaps
+        after = now.select("row", (F.col("start") - offset).alias("start"), F.col("rank").alias("next"))
+        pairs = cut(now.join(after, ["row", "start"]))
+        ranked = pairs.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n")).repartitionByRange("rank", "next").sortWithinPartitions("rank", "next")
+        shared = cut(ranked.withColumn("new", F.monotonically_increasing_id()).where("n > 1").drop("n"))
+        now, width = cut(pairs.join(shared, ["rank", "next"]).select("row", "start", F.col("new").alias("rank"))), width + offset
+        drop_written(pairs)
+    return now.select("row", "start")
+
+
 def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
-    """(doc_id, row, start, end): spans of bytes to remove; they may overlap. ``docs``: see ``_rows``."""
+    """(row, start, end): spans of bytes to remove; they may overlap. ``docs``: see ``_rows``."""
     if not 8 <= length < 1 << 16:
         raise ValueError("length is at least 8 and below 65536")
     k = max(2, 2 * length // 5)
 
     def sample(batch):
-        ids, rows = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+        rows = batch.column("row").to_numpy()
         for text, first, last, h, ahead, spans in _anchors(_unpacked(batch), length, k):
             span = first << 32 | ahead << 16 | last - first + 1
-            yield {"doc_id": ids[text], "row": rows[text], "h": h.view(np.int64), "c": spans().view(np.int64), "span": span}
-
-    def ranks(batch):
-        for *_, h, _, _ in _anchors(_unpacked(batch), length, k):
-            yield {"h": h.view(np.int64)}
+            yield {"row": rows[text], "h": h.view(np.int64), "c": spans().view(np.int64), "span": span}
 
     # Level 1: sampled positions by rank; unique ones leave.
-    shared = cut(map_batches(docs.select("z"), ranks, "h long", TEXTS).groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
-    left = cut(map_batches(docs, sample, "doc_id long, row int, h long, c long, span long", TEXTS).join(shared, "h"))
+    sampled = cut(map_batches(docs.select("row", "z"), sample, "row long, h long, c long, span long", TEXTS))
+    shared = cut(sampled.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+    left = cut(sampled.join(shared, "h"))
+    drop_written(sampled)
+    drop_written(shared)
 
     # Level 2: whole spans. A span that occurs again is repeated.
-    spans = cut(left.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "span")).alias("one")))
+    spans = cut(left.groupBy("h", "c").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "span")).alias("one")))
     first = F.shiftright("span", 32)
     size = F.col("span").bitwiseAND(F.lit(0xFFFF))
-    settled = left.join(spans.where("n > 1").select("h", "c"), ["h", "c"]).select("doc_id", "row", first.alias("start"), (first + size - 1 + length).alias("end"))
+    settled = left.join(spans.where("n > 1").select("h", "c"), ["h", "c"]).select("row", first.alias("start"), (first + size - 1 + length).alias("end"))
 
     # Borders, and one span of each repeated group that shares their sampled string, with their bytes.
     open_ = cut(spans.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.min("n").alias("least")).where("kinds > 1 and least = 1").select("h"))
-    wanted = spans.join(open_, "h").select("one.*", "h", (F.col("n") == 1).alias("border")).groupBy("doc_id", "row").agg(F.collect_list(F.struct("span", "h", "border")).alias("spans"))
+    wanted = spans.join(open_, "h").select("one.*", "h", (F.col("n") == 1).alias("border")).groupBy("row").agg(F.collect_list(F.struct("span", "h", "border")).alias("spans"))
 
     def contexts(batch):
-        out = {c: [] for c in ("doc_id", "row", "h", "border", "first", "ahead", "n", "ctx")}
-        for d, row, b, found in zip(*_columns(batch, "doc_id", "row"), _unpacked(batch), batch.column("spans").to_pylist(), strict=True):
+        out = {c: [] for c in ("row", "h", "border", "first", "ahead", "n", "ctx")}
+        for row, b, found in zip(batch.column("row").to_pylist(), _unpacked(batch), batch.column("spans").to_pylist(), strict=True):
             for x in found:
                 at, ahead, n = x["span"] >> 32, x["span"] >> 16 & 0xFFFF, x["span"] & 0xFFFF
-                for c, v in zip(out, (d, row, x["h"], x["border"], at, ahead, n, b[at : at + n - 1 + length]), strict=True):
+                for c, v in zip(out, (row, x["h"], x["border"], at, ahead, n, b[at : at + n - 1 + length]), strict=True):
                     out[c].append(v)
         yield out
 
-    once = docs.join(wanted, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select("doc_id", "row", "z", "spans")
-    context = cut(map_batches(once, contexts, "doc_id long, row int, h long, border boolean, first long, ahead int, n int, ctx binary", TEXTS))
+    once = docs.join(wanted, "row").select("row", "z", "spans")
+    context = cut(map_batches(once, contexts, "row long, h long, border boolean, first long, ahead int, n int, ctx binary", TEXTS))
 
     # Level 3: blocks of neighbouring starts.
     def blocks(batch):
@@ -239,7 +264,6 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             both = np.concatenate([lo, lo])
             n = len(lo)
             yield {
-                "doc_id": _take(part, "doc_id", row[both]),
                 "row": _take(part, "row", row[both]),
                 "h": _take(part, "h", row[both]),
                 "border": _take(part, "border", row[both]),
@@ -250,11 +274,11 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
                 "stop": np.concatenate([start[hi], start[hi]]),
             }
 
-    level3 = map_batches(context, blocks, "doc_id long, row int, h long, border boolean, block int, whole boolean, key long, start long, stop long")
+    level3 = map_batches(context, blocks, "row long, h long, border boolean, block int, whole boolean, key long, start long, stop long")
     again = cut(level3.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key"))
-    told = level3.where("border").join(again, ["h", "key"]).groupBy("doc_id", "row", "h", "block", "start", "stop").agg(F.max("whole").alias("whole"))
+    told = level3.where("border").join(again, ["h", "key"]).groupBy("row", "h", "block", "start", "stop").agg(F.max("whole").alias("whole"))
     told = cut(told)
-    by_block = told.where("whole").select("doc_id", "row", "start", (F.col("stop") + length).alias("end"))
+    by_block = told.where("whole").select("row", "start", (F.col("stop") + length).alias("end"))
 
     # Level 4: single starts of the blocks left open.
     undecided = told.where("not whole").select("h", "block").distinct().groupBy("h").agg(F.collect_set("block").alias("blocks"))
@@ -267,12 +291,12 @@ def repeated_spans(docs: DataFrame, length: int = 200) -> DataFrame:
             row, place = row[keep], place[keep]
             half = length // 2
             rank = _mix(_mix(roll.of(place, place + half, 0)) * U(3) + _mix(roll.of(place + half, place + length, 1)))
-            yield {c: _take(part, c, row) for c in ("doc_id", "row", "h", "border")} | {"key": rank.view(np.int64), "start": start[keep]}
+            yield {c: _take(part, c, row) for c in ("row", "h", "border")} | {"key": rank.view(np.int64), "start": start[keep]}
 
-    level4 = map_batches(context.join(undecided, "h"), starts, "doc_id long, row int, h long, border boolean, key long, start long")
+    level4 = map_batches(context.join(undecided, "h"), starts, "row long, h long, border boolean, key long, start long")
     level4 = cut(level4)
     again = cut(level4.groupBy("h", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h", "key"))
-    by_start = level4.where("border").join(again, ["h", "key"]).select("doc_id", "row", "start", (F.col("start") + length).alias("end"))
+    by_start = level4.where("border").join(again, ["h", "key"]).select("row", "start", (F.col("start") + length).alias("end"))
     return settled.unionByName(by_block).unionByName(by_start)
 
 
@@ -289,7 +313,7 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, spans, kept) of every row: the maximal removed runs and the bytes that stay."""
     docs = _rows(df, id_col, text_col)
-    spans = repeated_spans(docs, length).groupBy("doc_id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = repeated_spans(docs, length).groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def apply(batch):
         out = {c: [] for c in ("doc_id", "n_bytes", "spans", "kept")}
@@ -297,9 +321,9 @@ def remove_repeats(df: DataFrame, length: int = 200, id_col: str = "doc_id", tex
             runs = merge([(s["start"], s["end"]) for s in found or ()])
             edges = [0, *(x for r in runs for x in r), len(b)]
             kept = b"".join(b[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-            for c, v in zip(out, (None if d == NO_ID else d, len(b), [{"start": a, "end": z} for a, z in runs], kept), strict=True):
+            for c, v in zip(out, (d, len(b), [{"start": a, "end": z} for a, z in runs], kept), strict=True):
                 out[c].append(v)
         yield out
 
-    joined = docs.join(spans, ["doc_id", "row"], "left").select("doc_id", "z", "spans")
+    joined = docs.join(spans, "row", "left").select("doc_id", "z", "spans")
     return map_batches(joined, apply, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary", TEXTS)

@@ -49,6 +49,35 @@ def test_substrings(frame, prose, length):
     assert have == want
 
 
+def test_substrings_of_rows_without_ids_and_with_the_same(frame):
+    a, b = "t9c87c7ceb2a2510fd0a4f25f86d16994", "tdda27bce673baaf7c1f2d227d6c04f42"
+    got = exact_substrings.remove_repeats(frame([(1, a), (None, a), (None, b), (5, "x" * 15), (5, "0123456789abcdef")]), 16).collect()
+    assert sorted((str(r["doc_id"]), r["n_bytes"], len(r["kept"])) for r in got) == [("1", 33, 0), ("5", 15, 15), ("5", 16, 16), ("None", 33, 0), ("None", 33, 33)]
+    assert exact_substrings.remove_repeats(frame([(1, a)]).where("doc_id > 1"), 16).count() == 0
+
+
+@pytest.mark.parametrize("length", [16, 50])
+def test_prefix_doubling_gives_the_same_starts(frame, prose, length):
+    shared = prose(0, 20)
+    texts = [shared, f"{prose(1, 15)} {shared} {prose(2, 9)}", "ab" * 40, None, "", variant(shared, 1, 1)]
+    docs = exact_substrings._rows(frame([(i, t) for i, t in enumerate(texts)]), "doc_id", "text")
+    ids = {r["row"]: r["doc_id"] for r in docs.collect()}
+    got = {(ids[r["row"]], r["start"]) for r in exact_substrings.doubled_starts(docs, length).collect()}
+    places = defaultdict(list)
+    for d, t in enumerate(texts):
+        for i in range(len(t or "") - length + 1):
+            places[t[i : i + length]].append((d, i))
+    assert got == {p for found in places.values() if len(found) > 1 for p in found}
+
+
+def test_substrings_of_200_bytes_of_a_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = [(r["doc_id"], (r["text"] or "").encode()) for r in docs.select("doc_id", "text").collect()]
+    want = sorted((d, sum(hit), hashlib.sha256(bytes(x for x, h in zip(b, hit, strict=True) if not h)).hexdigest()) for (d, b), hit in zip(texts, brute_removed([b for _, b in texts], 200), strict=True))
+    got = exact_substrings.remove_repeats(docs).collect()
+    assert sorted((r["doc_id"], r["n_bytes"] - len(r["kept"]), hashlib.sha256(r["kept"]).hexdigest()) for r in got) == want
+
+
 def test_substrings_of_long_texts(frame, prose, monkeypatch):
     monkeypatch.setattr(exact_substrings, "STRETCH", 4096)
     texts = [prose(1, 3000).encode(), (prose(2, 1500) + prose(1, 500)).encode()]
