@@ -9,8 +9,10 @@ sequence whose boxes are further apart than eps are skipped, others are halved,
 dot products in double precision, so no link is lost and none below the threshold is made.
 
 Equal vectors are reduced to one first. Each task has two blocks at most, whatever the cells hold, and returns a
-count of links per vector and links that span its components, never the pairs. Null, zero and non-finite vectors
-and vectors of another length than the most common one link with nothing.
+count of links per vector and links that span its components, never the pairs. Null, empty, zero and non-finite
+vectors link with nothing; vectors of different lengths do not link with each other. Lengths other than the most
+common one are sorted by their own leading coordinates, in the same blocks. Rows without an id, with the same id
+or repeated whole are vectors like others; a component without any id has none.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,15 +110,15 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, block: int = 4096, l
     """(vec_id, n_links, component_id, kept) of every row; see the module for vectors that link with nothing."""
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     fine = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < math.inf)) & F.exists("v", lambda x: x != 0)
-    good = rows.where(fine & F.col("vec_id").isNotNull())
+    good = rows.where(fine)
     width = good.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if width is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    good = good.where(F.size("v") == width["n"])
-    kinds = cut(good.groupBy("v").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies")))
+    found = good.groupBy("v").agg(F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("copies"))
+    kinds = cut(found.withColumn("id", F.monotonically_increasing_id()))
     total = kinds.count()
 
-    picked = kinds.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / total))).select("v").limit(2 * sample).toPandas()["v"]
+    picked = kinds.where(F.size("v") == width["n"]).where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / total))).select("v").limit(2 * sample).toPandas()["v"]
     head = np.array(picked.tolist() or [[1.0] * width["n"]], float)
     head /= np.abs(head).max(1, keepdims=True)
     head /= np.sqrt((head * head).sum(1, keepdims=True))
@@ -124,16 +127,26 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, block: int = 4096, l
     shared = df.sparkSession.sparkContext.broadcast(turn)
 
     def place(batches):
-        for b in batches:
-            x = _matrix(b.column("v"))
-            x = x / np.abs(x).max(1, keepdims=True)
-            p = (x / np.sqrt((x * x).sum(1, keepdims=True))) @ shared.value
-            cell = np.floor(p / eps).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array(x.tolist(), pa.list_(pa.float64())), pa.array(p.tolist(), pa.list_(pa.float64())), pa.array(cell.tolist(), pa.list_(pa.int32()))], names=["id", "copies", "v", "p", "cell"])
-
-    placed = kinds.select("id", "copies", "v").mapInArrow(place, "id long, copies long, v array<double>, p array<double>, cell array<int>")
+        turn = shared.value
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+            for size in np.unique(sizes).tolist():
+                b = batch.filter(pa.array(sizes == size))
+                x = _matrix(b.column("v"))
+                x = x / np.abs(x).max(1, keepdims=True)
+                unit = x / np.sqrt((x * x).sum(1, keepdims=True))
+                p = np.zeros((len(x), turn.shape[1]))
+                if size == len(turn):
+                    p[:] = unit @ turn
+                else:
+                    p[:, : min(size, p.shape[1])] = unit[:, : p.shape[1]]
+                cell = np.floor(p / eps).astype(np.int32)
+                lists = [pa.array(m.tolist(), pa.list_(t)) for m, t in ((x, pa.float64()), (p, pa.float64()), (cell, pa.int32()))]
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("copies"), pa.array(np.full(len(x), size, np.int32)), *lists], names=["id", "copies", "width", "v", "p", "cell"])
+
+    placed = kinds.select("id", "copies", "v").mapInArrow(place, "id long, copies long, width int, v array<double>, p array<double>, cell array<int>")
     n_blocks = max(1, math.ceil(total / block))
-    ordered = placed.repartitionByRange(n_blocks, "cell", "id").sortWithinPartitions("cell", "id")
+    ordered = placed.repartitionByRange(n_blocks, "width", "cell", "id").sortWithinPartitions("width", "cell", "id")
     ordered = cut(ordered.withColumn("block", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id()))
 
     # Blocks that may hold links: boxes within eps on every leading dimension.
@@ -147,28 +160,33 @@ def near_duplicates(df: DataFrame, threshold: float = 0.95, block: int = 4096, l
     distance = sum((gap(k) * gap(k) for k in dims), F.lit(0.0))
     pairs = met.where((F.col("a.block") == F.col("b.block")) | (distance <= eps * eps * (1 + 1e-9) + 1e-12)).select(F.col("a.block").alias("x"), F.col("b.block").alias("y")).distinct()
     sides = pairs.select("x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("block"))
-    dealt = ordered.join(F.broadcast(sides) if n_blocks <= 256 else sides, "block").select("x", "y", "block", "place", "id", "copies", "v", "p")
+    dealt = ordered.join(F.broadcast(sides) if n_blocks <= 256 else sides, "block").select("x", "y", "block", "place", "id", "copies", "width", "v", "p")
 
-    def join(t: pa.Table) -> pa.Table:
-        t = t.sort_by([("block", "ascending"), ("place", "ascending")]).combine_chunks()
-        of = t["block"].to_numpy()
-        n = int((of == of[0]).sum()) if len(of) else 0
-        ids = t["id"].to_numpy()
+    def join_width(t: pa.Table) -> pa.Table:
+        of, ids = t["block"].to_numpy(), t["id"].to_numpy()
         ego = EgoJoin(_matrix(t["v"]), _matrix(t["p"]), t["copies"].to_numpy().astype(float), threshold)
         if t["x"][0].as_py() == t["y"][0].as_py():
             ego.join(0, len(of), 0, len(of))
         else:
+            n = int(np.searchsorted(of, t["y"][0].as_py()))
             ego.join(0, n, n, len(of))
         root = np.array([ego.find(k) for k in range(len(of))], np.int64)
         on = np.flatnonzero(ego.links)
         return pa.table({"id": ids[on], "links": ego.links[on].astype(np.int64), "root": ids[root[on]]})
 
+    def join(t: pa.Table) -> pa.Table:
+        t = t.sort_by([("block", "ascending"), ("place", "ascending")]).combine_chunks()
+        return pa.concat_tables([join_width(t.filter(pc.equal(t["width"], size)).combine_chunks()) for size in pc.unique(t["width"])])
+
     linked = cut(dealt.groupBy("x", "y").applyInArrow(join, "id long, links long, root long"))
     found = components(linked.select(F.col("id").alias("a"), F.col("root").alias("b")))
     links = linked.groupBy("id").agg(F.sum("links").alias("links"))
-    low = found.groupBy("component").agg(F.min("node").alias("least"))
-    by_kind = kinds.join(links, "id", "left").join(found.join(low, "component").select(F.col("node").alias("id"), "least"), "id", "left")
-    by_kind = by_kind.select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "id").alias("component_id"))
+    linked_kinds = kinds.join(found, kinds["id"] == found["node"]).select("id", "component", "least_id")
+    low = linked_kinds.groupBy("component").agg(F.min("least_id").alias("least"))
+    named = linked_kinds.join(low, "component").select("id", F.lit(True).alias("linked"), "least")
+    by_kind = kinds.join(links, "id", "left").join(named, "id", "left")
+    component = F.when(F.col("linked"), F.col("least")).otherwise(F.col("least_id"))
+    by_kind = by_kind.select("v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), component.alias("component_id"))
     done = good.join(by_kind, "v").select("vec_id", "n_links", "component_id")
-    rest = rows.where(~F.coalesce(fine, F.lit(False)) | F.col("vec_id").isNull() | (F.size("v") != width["n"])).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    rest = rows.where(~F.coalesce(fine, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return done.unionByName(rest).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))

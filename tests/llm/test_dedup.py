@@ -245,3 +245,12 @@ def test_embeddings(spark, block):
         assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (links, comp, i == comp)
     assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i, _ in odd)
     assert embeddings.near_duplicates(df.where("vec_id < 0")).count() == 0
+
+
+@pytest.mark.parametrize("block", [2, 4096])
+def test_embeddings_of_every_length_and_without_ids(spark, block):
+    rows = [(1, [1.0, 0.0], 5), (2, [1.0, 0.01], 5), (3, [0.0, 1.0, 0.0], 5), (4, [0.0, 1.0, 0.0], 5), (5, [0.0, 1.0, 0.01], 5), (6, [1.0, 0.0, 0.0], 5), (None, [1.0, 0.02], 5), (None, [0.0, 1.0], 5), (8, [-1.0], 5), (9, [-2.0], 5), (9, [-3.0], 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, n_links int").repartition(2)
+    got = sorted((str(x["vec_id"]), x["n_links"], str(x["component_id"]), x["kept"]) for x in embeddings.near_duplicates(df, block=block).collect())
+    want = [("1", 2, "1", True), ("2", 2, "1", False), ("3", 2, "3", True), ("4", 2, "3", False), ("5", 2, "3", False), ("6", 0, "6", True), ("None", 2, "1", False), ("None", 0, "None", True), ("8", 2, "8", True), ("9", 2, "8", False), ("9", 2, "8", False)]
+    assert got == sorted(want)
