@@ -8,7 +8,8 @@ the penalised likelihood (log likelihood less ``penalty`` * log n for each furth
 The prediction is the language with the largest proportion, the score that proportion.
 
 Whole texts are read; a long text is reduced to at most ``BUCKETS`` trigram counts. Null texts and texts
-without a letter give ``und`` with score 0. Rows without a language train nothing.
+without a letter give ``und`` with score 0. Rows without a language train nothing. Equal proportions are ordered
+by the language's name; rows that repeat are predicted each time.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches
+from .common import map_batches, sliced
 
 BUCKETS = 1 << 15
 
@@ -38,8 +39,11 @@ def has_letter(text: str) -> bool:
     return any(map(str.isalpha, text))
 
 
-def expect_maximise(like: np.ndarray, n: np.ndarray | None, rounds: int = 12, tol: float = 1e-3) -> tuple[np.ndarray, float]:
-    """Proportions and log likelihood; ``like``: languages x trigrams, each column scaled to at most 1."""
+def expect_maximise(like: np.ndarray, n: np.ndarray | None, rounds: int = 100, tol: float = 1e-3) -> tuple[np.ndarray, float]:
+    """Proportions and log likelihood; ``like``: languages x trigrams, each column scaled to at most 1.
+
+    Rounds go on until no proportion moves by ``tol``; ``rounds`` only ends what does not settle.
+    """
     share = np.full(len(like), 1 / len(like))
     total = like.shape[1] if n is None else n.sum()
     for _ in range(rounds):
@@ -64,8 +68,6 @@ def infer(probs: np.ndarray, text: str, penalty: float) -> tuple[list[int], np.n
     total = len(at) if n is None else n.sum()
     _, best = expect_maximise(like[chosen], n)
     for k in order[1:]:
-        if share[k] < 0.02:
-            break
         part, value = expect_maximise(like[[*chosen, int(k)]], n)
         if value - best <= penalty * np.log(total + 1):
             break
@@ -75,17 +77,25 @@ def infer(probs: np.ndarray, text: str, penalty: float) -> tuple[list[int], np.n
     return sorted(chosen, key=lambda k: -out[k]), out
 
 
-def fit(train: DataFrame, train_rows: int = 20_000, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, np.ndarray]:
-    """Language -> trigram log-likelihood table, from at most about ``train_rows`` rows."""
+def fit(train: DataFrame, train_rows: int = 20_000, max_langs: int = 256, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, np.ndarray]:
+    """Language -> trigram likelihood table, from at most about ``train_rows`` rows.
+
+    Of a column with more than ``max_langs`` labels those with the most rows are learned (ties: by name), which
+    bounds the model at ``max_langs`` x ``BUCKETS`` numbers.
+    """
     rows = train.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where("text is not null and lang is not null")
     total = rows.select("doc_id").count()
     if total > train_rows:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * train_rows / total))
 
+    heads = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(max_langs)
+    learned = {r["lang"] for r in heads.collect()}  # at most max_langs labels
+    rows = rows.where(F.col("lang").isin(*learned)) if learned else rows
+
     def run(batches):
         counts: dict[str, np.ndarray] = {}
-        for b in batches:
+        for b in sliced(batches):
             for text, lang in zip(b.column("text").to_pylist(), b.column("lang").to_pylist(), strict=True):
                 at, n = trigrams(text)
                 counts[lang] = counts.get(lang, 0) + np.bincount(at, n, minlength=BUCKETS)
