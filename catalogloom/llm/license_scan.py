@@ -7,7 +7,8 @@ mandatory wording stands exactly and only marked regions vary. Candidate starts
 template's first mandatory words, so no text is skipped and none is cut.
 
 Words: A-Z lower-cased, then runs of ASCII letters and digits and of all characters above ASCII.
-Null texts are empty; empty texts get zero counts, null word positions and empty labels.
+Null texts are empty; empty texts get zero counts, null word positions and empty labels. Where several templates
+accept the same words each gives its label; rows that repeat are scanned each time.
 """
 
 from __future__ import annotations
@@ -38,6 +39,66 @@ TEMPLATES = [
         "merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so "
         "subject to the following conditions <<var:60>> the software is provided as is without warranty of any kind",
     ),
+    (
+        "bsd-2",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "<<var:1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "<<var:1>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+        "documentation and or other materials provided with the distribution <<var:3>> this software is provided by <<var:8>> as is and any express or "
+        "implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ),
+    (
+        "bsd-3",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "<<var:1>> redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "<<var:1>> redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the "
+        "documentation and or other materials provided with the distribution <<var:1>> neither the name of <<var:8>> nor the names of its contributors may be "
+        "used to endorse or promote products derived from this software without specific prior written permission <<optional>>this software is provided by "
+        "<</optional>>",
+    ),
+    (
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above "
+        "copyright notice and this permission notice appear in all copies the software is provided as is and <<var:4>> disclaims all warranties with regard "
+        "to this software including all implied warranties of merchantability and fitness",
+    ),
+    (
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from "
+        "the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and "
+        "redistribute it freely subject to the following restrictions <<var:2>> the origin of this software must not be misrepresented",
+    ),
+    (
+        "apache-2",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of "
+        "the license at <<var:8>> unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is "
+        "basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and "
+        "limitations under the license",
+    ),
+    (
+        "gpl",
+        "this program is free software you can redistribute it and or modify it under the terms of the gnu <<optional>>affero<</optional>> general public "
+        "license as published by the free software foundation either version <<var:1>> of the license or at your option any later version",
+    ),
+    (
+        "lgpl",
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the "
+        "free software foundation either version <<var:2>> of the license or at your option any later version",
+    ),
+    (
+        "mpl-2",
+        "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can "
+        "obtain one at",
+    ),
+    (
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this "
+        "software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+    (
+        "cc0",
+        "to the extent possible under law <<var:12>> has waived all copyright and related or neighboring rights to <<var:12>> this work",
+    ),
 ]
 SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, n_accepted long"
 
