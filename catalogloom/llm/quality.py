@@ -93,7 +93,7 @@ def fit(labelled: DataFrame, bits: int = 18, shards: int = 4, epochs: int = 10,
 def sample_labels(labels: DataFrame, train_rows: int = 4_000, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
     """(doc_id, label) of at most about ``train_rows`` rows, by a hash of the id."""
     rows = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("doc_id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
-    total = labels.count()
+    total = rows.count()
     if total > train_rows:
         rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * train_rows / total))
     return rows
