@@ -16,6 +16,8 @@ BPE_JSON, BPE_RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokeni
 
 #: Documents with a lower score are rejected.
 QUALITY_AT = 0.3
+#: Most pieces of a sequence.
+SEGMENTS = 4
 
 
 def remainder():
@@ -42,7 +44,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), BPE_JSON, BPE_RANKS)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), BPE_JSON, BPE_RANKS, max_segments=SEGMENTS)
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
@@ -75,7 +77,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_weights(spark: SparkSession, docs: DataFrame, sf_dir: str):
     """Weights from labelled rows of the training folds."""
     picked = F.broadcast(quality.sample_labels(table(spark, sf_dir, "labels").where(remainder() != 0)))
-    return quality.fit(docs.select("doc_id", "text").join(picked, "doc_id"))
+    once = docs.select("doc_id", "text").join(picked, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
+    return quality.fit(once)  # a row for each id, however often documents repeat it
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,9 @@
 
 import math
 import re
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -29,9 +31,8 @@ def test_token_counts(frame, prose):
     for d, text in rows:
         row = next(r for r in got if r["doc_id"] == d)
         words = re.findall(token_counts.PRE_TOKEN, text or "")
-        if len(words) < 200:
-            assert (row["n_bytes"], row["n_pretokens"]) == (len((text or "").encode()), len(words))
-            assert row["n_tokens"] == sum(brute_count(scores, w.encode(), unknown) for w in words)
+        assert (row["n_bytes"], row["n_pretokens"]) == (len((text or "").encode()), len(words))
+        assert row["n_tokens"] == sum(n * brute_count(scores, w.encode(), unknown) for w, n in Counter(words).items())
 
 
 def test_empty_tables(frame, spark):
@@ -72,11 +73,80 @@ def test_automaton_replaceable(text, n):
 
 
 def test_full_license_text(frame):
-    mit = license_scan.TEMPLATES[-1][1].replace("<<optional>>", "").replace("<</optional>>", "").replace("<<var:60>>", "The above copyright notice shall be included.")
+    mit = next(x for label, x in license_scan.TEMPLATES if label == "mit" and "<<var:60>>" in x).replace("<<optional>>", "").replace("<</optional>>", "").replace("<<var:60>>", "The above copyright notice shall be included.")
     got = {r["doc_id"]: r for r in license_scan.license_scan(frame([(1, f"x {mit}."), (2, mit.replace("free of charge", "at a price"))])).collect()}
     assert got[1]["labels"] == "mit" and got[1]["n_base"] == 0 and got[2]["labels"] == ""
 
 
+def plain(markup, fill):
+    return re.sub(r"<<var:\d+>>", fill, re.sub(r"<</?optional>>", "", markup))
+
+
+def test_every_template_accepts_its_own_text(frame):
+    rows = [(i, f"Some words, {plain(x, 'Acme')} and more.") for i, (_, x) in enumerate(license_scan.TEMPLATES)]
+    rows += [(100 + i, re.sub(r"\w+ (\w+)\W*$", r"other \1", plain(x, "Acme"))) for i, (_, x) in enumerate(license_scan.TEMPLATES) if len(x) > 300 and not x.endswith(">>")]
+    got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan.license_scan(frame(rows)).collect()}
+    for i, (label, _) in enumerate(license_scan.TEMPLATES):
+        assert label in got[i], label
+        if label in ("isc", "zlib", "lgpl", "unlicense", "mpl-2") and 100 + i in got:
+            assert label not in got[100 + i], label
+
+
+def plain_em(like, rounds=400):
+    share = [1 / len(like)] * len(like)
+    for _ in range(rounds):
+        new = [0.0] * len(like)
+        for j in range(len(like[0])):
+            whole = sum(s * row[j] for s, row in zip(share, like, strict=True))
+            for i, row in enumerate(like):
+                new[i] += share[i] * row[j] / whole
+        share = [x / len(like[0]) for x in new]
+    return share
+
+
+def test_mixture_equals_a_plain_one():
+    r = np.random.default_rng(2)
+    like = r.random((3, 60)) + 0.05
+    like /= like.max(0)
+    got, value = language_id.expect_maximise(like, None, rounds=400, tol=1e-12)
+    want = plain_em(like.tolist())
+    assert np.allclose(got, want, atol=1e-9)
+    assert abs(value - sum(math.log(sum(s * row[j] for s, row in zip(want, like.tolist(), strict=True))) for j in range(60))) < 1e-6
+    counts = r.integers(1, 4, 60)
+    twice, _ = language_id.expect_maximise(np.repeat(like, counts, axis=1), None, rounds=400, tol=1e-12)
+    assert np.allclose(language_id.expect_maximise(like, counts.astype(float), rounds=400, tol=1e-12)[0], twice, atol=1e-9)
+
+
+def test_junk_labels_are_bounded(frame, prose):
+    rows = [(i, prose(i % 2, 30)) for i in range(40)]
+    docs = frame(rows).withColumn("lang", F.when(F.col("doc_id") < 20, F.concat(F.lit("junk"), "doc_id")).otherwise("xx"))
+    assert list(language_id.fit(docs, max_langs=3)) == ["junk0", "junk1", "xx"]
+
+
+def scalar_ftrl(rows, size, epochs, alpha, beta, l1, l2):
+    z, n = [0.0] * (size + 1), [0.0] * (size + 1)
+
+    def w(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(epochs):
+        for at, x, y in rows:
+            terms = [*zip(at, x, strict=True), (size, 0.2)]
+            p = 1 / (1 + math.exp(-sum(w(i) * v for i, v in terms)))
+            for i, v, old in [(i, v, w(i)) for i, v in terms]:
+                g = (p - y) * v
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * old
+                n[i] += g * g
+    return [w(i) for i in range(size + 1)]
+
+
+def test_ftrl_equals_a_scalar_loop():
+    r = np.random.default_rng(4)
+    rows = [(np.sort(r.choice(16, 5, replace=False)), r.random(5), int(r.integers(0, 2))) for _ in range(30)]
+    got = quality.ftrl(rows, 16, 3, 0.5, 1.0, 0.01, 0.001)
+    assert np.allclose(got, scalar_ftrl([(a.tolist(), x.tolist(), y) for a, x, y in rows], 16, 3, 0.5, 1.0, 0.01, 0.001), atol=1e-9)
+
+
 def test_languages(frame, spark, prose):
     de = "der die das und ist nicht ein eine zu den von mit sich des auf für im dem"
     fr = "le la les des est une dans que pour qui sur avec pas plus par au ce il"
