@@ -40,7 +40,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
-    return packing.pack(docs, queries.BPE_JSON, queries.BPE_RANKS)
+    return packing.pack(docs, queries.BPE_JSON, queries.BPE_RANKS, max_segments=queries.SEGMENTS)
 
 
 STAGES = [
