@@ -85,7 +85,7 @@ def page_title(url) -> Column:
 def page_key(title) -> Column:
     """A title's comparable form: '_' as space, first character upper case."""
     bare = F.trim(F.replace(decode_url(F.regexp_replace(text(title), r"[#?].*$", "")), F.lit("_"), F.lit(" ")))
-    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substring(bare, 2, 100000))
+    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substr(bare, F.lit(2)))
 
 
 def category_url(name, base: str) -> Column:
@@ -103,7 +103,7 @@ def sort_name(category, display) -> Column:
 def human_tag(tag) -> Column:
     """'late_romantic' as 'Late romantic'."""
     bare = F.replace(text(tag), F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substring(bare, 2, 100000))
+    return F.concat(F.upper(F.substring(bare, 1, 1)), F.substr(bare, F.lit(2)))
 
 
 def votes(cell) -> Column:

@@ -144,7 +144,7 @@ def file_evidence(files: Column) -> Column:
 
     def host(name):
         token = F.regexp_extract(name, r"^PMLP\d+-(PML[A-Z]+)\d+-", 1)
-        return F.coalesce(*(F.when(token == k, v) for k, v in HOSTS.items()), F.when(token.isin("", "PMLP"), "ca"), F.lower(F.substring(token, 4, 100)))
+        return F.coalesce(*(F.when(token == k, v) for k, v in HOSTS.items()), F.when(token.isin("", "PMLP"), "ca"), F.lower(F.substr(token, F.lit(4))))
 
     return F.struct(F.when(F.size(scores) > 0, "true").otherwise("false").alias("has_files"), F.array_join(F.array_sort(F.array_distinct(F.transform(scores, host))), "|").alias("hosts"))
 

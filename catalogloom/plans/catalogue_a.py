@@ -5,64 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import forces, overlay, resolve, rollups, snapshots, status
+from ..operators import overlay, resolve, rollups, snapshots, status
 from .registry import inline, query, t
 
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 YEAR = 2066
-#: Category cells dealt over parts by key, with what they tell.
-CELLS = [
-    ("For piano", "piano_solo", "imslp_tags", "", ""),
-    ("For 2 violins, viola, cello|Quartets", "chamber", "imslp_tags", "string_quartet", ""),
-    ("For violin, piano|Sonatas|For 2 players", "solo_instrument", "imslp_tags", "sonata", "2"),
-    ("For voice, piano|Songs", "solo_voice", "imslp_tags", "song", ""),
-    ("For mixed chorus, orchestra|Masses", "choral", "imslp_tags", "mass_requiem", ""),
-    ("For piano, orchestra|Concertos", "concerto", "imslp_tags", "concerto", ""),
-    ("For orchestra|Symphonies", "orchestral", "imslp_tags", "symphony", ""),
-    ("For piano 4 hands|For 10 players|For 2 players", "piano_ensemble", "imslp_tags", "", "2|10"),
-    ("Operas|For voices, mixed chorus, orchestra", "stage_opera", "imslp_tags", "opera", ""),
-    ("For piano (arr)", "unclassified", "arr_only", "arrangement", ""),
-    ("", "unclassified", "empty", "", ""),
-    ("Fantasias", "other", "categories_unmapped", "", ""),
-    ("For 2 players|Quintets", "chamber", "imslp_tags", "", "2"),
-    ("For guitar|Variations", "guitar", "imslp_tags", "variations", ""),
-    ("For organ|Preludes", "organ", "imslp_tags", "prelude_fugue", ""),
-    ("For 4 unaccompanied voices", "choral", "imslp_tags", "", ""),
-    ("For band|Marches", "wind_band", "imslp_tags", "dance", ""),
-    ("For harpsichord|Suites", "keyboard_other", "imslp_tags", "suite", ""),
-    ("For flute, oboe, clarinet|Trios", "chamber", "imslp_tags", "", ""),
-    ("For 1 player|For 3 players with continuo (arr)", "other", "categories_unmapped", "arrangement", "1"),
-]
-TITLES = [
-    ("Nocturne in E flat", "piano_solo", "title"),
-    ("Piano Concerto", "concerto", "title"),
-    ("Untitled", "unclassified", "title_unmapped"),
-    ("", "unclassified", "empty"),
-    ("Three Songs", "solo_voice", "title"),
-    ("Deux pièces", "other", "title"),
-    ("String Quartet in A", "chamber", "title"),
-]
-INSTRUMENTS = [
-    ("violin and orchestra", "concerto", "imslp_geninfo"),
-    ("mixed chorus, organ", "choral", "imslp_geninfo"),
-    ("double bass, piano", "solo_instrument", "imslp_geninfo"),
-    ("", "unclassified", "empty"),
-    ("alto saxophone", "solo_instrument", "imslp_geninfo"),
-    ("soprano, piano", "solo_voice", "imslp_geninfo"),
-    ("2 flutes, 2 oboes, strings, orchestra, harp", "orchestral", "imslp_geninfo"),
-    ("piano 4 hands", "piano_ensemble", "imslp_geninfo"),
-    ("flute, oboe, clarinet", "chamber", "imslp_geninfo"),
-]
 
 
 def picked(values: list, key: str):
     return F.element_at(F.array(*map(F.lit, values)), (F.col(key) % len(values) + 1).cast("int"))
 
 
-def case(values: list, key: str) -> str:
-    return f"CASE {key} % {len(values)} " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values)) + " END"
-
-
 @query(
     """SELECT o_orderkey, CASE WHEN y IS NULL THEN 'unknown_death' WHEN y + 71 <= 2066 THEN 'pd' ELSE 'not_pd' END AS term_status, CAST(y + 71 AS BIGINT) AS term_year,
     CAST(greatest(y + 71 - 2066, 0) AS BIGINT) * (CASE WHEN y IS NULL THEN NULL ELSE 1 END) AS term_remaining
@@ -83,22 +36,12 @@ def live_bucket(spark, sf):
     return t(spark, sf, "orders").groupBy(status.live_bucket(ends, 2068).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(
-    """WITH c AS (SELECT o_custkey, o_orderpriority p, count(*) n FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 7 = 0 GROUP BY 1, 2),
-    r AS (SELECT o_custkey, string_agg(p, '|' ORDER BY p) present, '{' || string_agg('"' || p || '": ' || n, ', ' ORDER BY p) || '}' counts, sum(n) total FROM c GROUP BY 1)
-    SELECT c_custkey, coalesce(present, '') AS present, coalesce(counts, '') AS counts, CAST(coalesce(total, 0) AS BIGINT) AS total FROM customer LEFT JOIN r ON c_custkey = o_custkey"""
-)
-def rollup_present_counts(spark, sf):
-    orders = t(spark, sf, "orders").where("o_orderstatus = 'F' and o_orderkey % 7 = 0")
-    return rollups.present_counts(t(spark, sf, "customer"), orders, "c_custkey", "o_custkey", "o_orderpriority", PRIORITIES)
-
-
 @query(
     """WITH c AS (SELECT o_custkey, o_orderpriority p, count(*) n FROM orders GROUP BY 1, 2),
     r AS (SELECT o_custkey, string_agg(p, '|' ORDER BY p) present, '{' || string_agg('"' || p || '": ' || n, ', ' ORDER BY p) || '}' counts, sum(n) total FROM c GROUP BY 1)
     SELECT c_custkey, coalesce(present, '') AS present, coalesce(counts, '') AS counts, CAST(coalesce(total, 0) AS BIGINT) AS total FROM customer LEFT JOIN r ON c_custkey = o_custkey"""
 )
-def rollup_present_counts_all(spark, sf):
+def rollup_present_counts(spark, sf):
     return rollups.present_counts(t(spark, sf, "customer"), t(spark, sf, "orders"), "c_custkey", "o_custkey", "o_orderpriority", PRIORITIES)
 
 
@@ -125,47 +68,6 @@ def dedupe_keep_first(spark, sf):
     return keep.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "r.*")
 
 
-@query(f"SELECT p_partkey, {case([c[1] for c in CELLS], 'p_partkey')} AS family, {case([c[2] for c in CELLS], 'p_partkey')} AS src FROM part")
-def force_from_categories(spark, sf):
-    found = forces.from_categories(picked([c[0] for c in CELLS], "p_partkey"))
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
-
-
-@query(f"SELECT p_partkey, {case([x[1] for x in TITLES], 'p_partkey')} AS family, {case([x[2] for x in TITLES], 'p_partkey')} AS src FROM part")
-def force_from_title(spark, sf):
-    found = forces.from_title(picked([x[0] for x in TITLES], "p_partkey"))
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
-
-
-@query(f"SELECT p_partkey, {case([x[1] for x in INSTRUMENTS], 'p_partkey')} AS family, {case([x[2] for x in INSTRUMENTS], 'p_partkey')} AS src FROM part")
-def force_from_instrumentation(spark, sf):
-    found = forces.from_instrumentation(picked([x[0] for x in INSTRUMENTS], "p_partkey"))
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
-
-
-_TAG, _TAG_SRC = case([c[1] for c in CELLS], "p_partkey"), case([c[2] for c in CELLS], "p_partkey")
-_TITLE, _TITLE_SRC = case([x[1] for x in TITLES], "p_partkey"), case([x[2] for x in TITLES], "p_partkey")
-
-
-@query(
-    f"""SELECT p_partkey, CASE WHEN cf NOT IN ('unclassified', 'other') THEN cf WHEN tf <> 'unclassified' AND title <> '' THEN tf WHEN p_partkey % 3 = 0 THEN 'orchestral' ELSE cf END AS family,
-    CASE WHEN cf NOT IN ('unclassified', 'other') THEN cs WHEN tf NOT IN ('unclassified', 'other') AND title <> '' THEN ts WHEN p_partkey % 3 = 0 THEN 'llm' WHEN tf <> 'unclassified' AND title <> '' THEN ts ELSE cs END AS src
-    FROM (SELECT p_partkey, {_TAG} AS cf, {_TAG_SRC} AS cs, CASE WHEN p_partkey % 7 = 5 THEN 'unclassified' ELSE {_TITLE} END AS tf, {_TITLE_SRC} AS ts, CASE WHEN p_partkey % 7 = 5 THEN '' ELSE {case([x[0] for x in TITLES], "p_partkey")} END AS title FROM part)"""
-)
-def rule_ladder_with_provenance(spark, sf):
-    title = F.when(F.col("p_partkey") % 7 == 5, "").otherwise(picked([x[0] for x in TITLES], "p_partkey"))
-    held = F.when(F.col("p_partkey") % 3 == 0, "orchestral").otherwise("")
-    src = F.when(F.col("p_partkey") % 3 == 0, "llm").otherwise("")
-    found = forces.with_provenance(picked([c[0] for c in CELLS], "p_partkey"), title, F.lit(""), held, src)
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
-
-
-@query(f"SELECT p_partkey, {case([c[3] for c in CELLS], 'p_partkey')} AS form, {case([c[4] for c in CELLS], 'p_partkey')} AS n_players FROM part")
-def genre_ladder_first_match(spark, sf):
-    cell = picked([c[0] for c in CELLS], "p_partkey")
-    return t(spark, sf, "part").select("p_partkey", forces.genre_form(cell, F.lit("")).alias("form"), forces.n_players(cell).alias("n_players"))
-
-
 @query(
     """SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN 'absent' WHEN l.toxic = 1 THEN 'missing' ELSE 'present' END AS state,
     CASE WHEN l.doc_id IS NULL THEN d.lang WHEN l.toxic = 1 THEN '' ELSE CAST(l.quality AS VARCHAR) END AS cell FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
@@ -284,15 +186,6 @@ OVERRIDES = [
     ("5", "rekey", "105", "wrong key", "book", "ab", "2024-01-01"),
     ("5", "n_regionkey", "4", "moved", "book", "ab", "2024-01-01"),
 ]
-BAD = [
-    ("77", "n_name", "x", "r", "s", "v", "d"),
-    ("3", "n_color", "x", "r", "s", "v", "d"),
-    ("4", "_drop", "", "r", "s", "v", "d"),
-    ("4", "n_name", "x", "", "s", "v", "d"),
-    ("6", "rekey", "7", "r", "s", "v", "d"),
-    ("8", "n_name", "x", "r", "s", "v", "d"),
-    ("8", "n_name", "y", "r", "s", "v", "d"),
-]
 OVERRIDE_COLUMNS = "key string, field string, value string, reason string, source string, reviewer string, date string"
 
 
@@ -304,13 +197,6 @@ def overrides_apply(spark, sf):
     return out.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", F.col("n_regionkey").cast("long").alias("n_regionkey"))
 
 
-@query(
-    """SELECT * FROM (VALUES ('missing reason', '4', 'n_name'), ('unknown field', '3', 'n_color'), ('duplicate override', '8', 'n_name'), ('unknown key', '77', 'n_name'), ('dropped key has other overrides', '4', 'n_name'), ('new key is taken', '6', 'rekey')) AS v(error, "key", field)"""
-)
-def override_errors(spark, sf):
-    return overlay.override_errors(inline(spark, BAD, OVERRIDE_COLUMNS), t(spark, sf, "nation"), "n_nationkey", ["n_name", "n_regionkey"])
-
-
 @query("SELECT CAST(n_nationkey AS VARCHAR) AS key, 'n_name' AS field, n_name AS old, 'Renamed' AS new FROM nation WHERE n_nationkey = 3 UNION ALL SELECT CAST(n_nationkey AS VARCHAR), 'n_regionkey', CAST(n_regionkey AS VARCHAR), '4' FROM nation WHERE n_nationkey = 5 AND n_regionkey <> 4")
 def overridden_cells(spark, sf):
     return overlay.overridden_cells(t(spark, sf, "nation"), inline(spark, OVERRIDES, OVERRIDE_COLUMNS), "n_nationkey", ["n_name", "n_regionkey"])
@@ -343,22 +229,4 @@ def scope_and_flags(spark, sf):
 def cohort_gate(spark, sf):
     k = F.col("c_custkey")
     reason = status.cohort_exclusion((1780 + k % 150).cast("string"), (1860 + k % 140).cast("string"), (1870 + k % 3).cast("string"), F.lit(""))
-    return t(spark, sf, "customer").select("c_custkey", reason.alias("reason")).where("reason is not null")
-
-
-@query("SELECT * FROM (VALUES (1, 'Romantic|Modern', '1899', 'nonpd_eu|nonpd_us', 'Smith, J.'), (2, '', '', '', ''), (3, '', '1920', 'wima', '')) AS v(id, styles, first_published, flags, librettists)")
-def evidence_fields(spark, sf):
-    rows = [
-        (1, ["Romantic style", "Works first published in 1901", "Works first published in 1899", "WorkNonPD-USandEU", "Modern style", "Romantic style", "Smith, J./Librettist"]),
-        (2, ["Works first published in 19", " style", "Something else"]),
-        (3, ["WIMA files", "WIMA duplicate files", "Works first published in 1920"]),
-    ]
-    e = status.evidence(F.col("c"))
-    return inline(spark, rows, "id int, c array<string>").select("id", e["styles"].alias("styles"), e["first_published"].alias("first_published"), e["flags"].alias("flags"), e["librettists"].alias("librettists"))
-
-
-@query("SELECT * FROM (VALUES (1, 'true', 'asia|ca', 'asia (life+50 server)'), (2, 'false', '', 'no files'), (3, 'true', 'us', 'us (US-only server)')) AS v(id, has_files, hosts, host_group)")
-def file_hosts(spark, sf):
-    rows = [(1, ["PMLP12-PMLASIA3-x.pdf", "PMLP12-score.pdf", "TN-a.png"]), (2, ["cover.JPG"]), (3, ["PMLP9-PMLUS00002-y.mp3"])]
-    e = status.file_evidence(F.col("f"))
-    return inline(spark, rows, "id int, f array<string>").select("id", e["has_files"].alias("has_files"), e["hosts"].alias("hosts"), status.host_group(e["has_files"], e["hosts"]).alias("host_group"))
+    return t(spark, sf, "customer").select("c_custkey", reason.alias("reason")).where("reason is not null")
\ No newline at end of file

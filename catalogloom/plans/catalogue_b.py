@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import cells, licences
+from ..functions import cells
 from ..operators import entities, facets, ledger, markup, resolve, rollups, snapshots, statistics
-from ..sources import tables
 from .registry import inline, query, t
 
 STATUSES = ["F", "O", "P"]
@@ -124,68 +123,14 @@ def random_picks(spark, sf):
     return facets.random_picks(c, "c_custkey", "pick", 20, c.where("c_custkey % 10 = 0"))
 
 
-@query(
-    """SELECT c_custkey, CAST(count(o_orderkey) AS BIGINT) AS n, CASE WHEN count(o_orderkey) = 0 THEN '[]' ELSE '[' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}', ',' ORDER BY o_orderkey) || ']' END AS children
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderkey % 9 = 0) ON c_custkey = o_custkey GROUP BY 1"""
-)
-def nested_export(spark, sf):
-    orders = t(spark, sf, "orders").where("o_orderkey % 9 = 0")
-    return facets.export(t(spark, sf, "customer"), orders, "c_custkey", "o_custkey", ["o_orderkey", "o_orderpriority"], "o_orderkey")
-
-
 @query(
     """SELECT c_custkey, CAST(count(o_orderkey) AS BIGINT) AS n, CASE WHEN count(o_orderkey) = 0 THEN '[]' ELSE '[' || string_agg('{"o_orderkey":' || o_orderkey || ',"o_orderpriority":"' || o_orderpriority || '"}', ',' ORDER BY o_orderkey) || ']' END AS children
     FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY 1"""
 )
-def nested_export_all(spark, sf):
+def nested_export(spark, sf):
     return facets.export(t(spark, sf, "customer"), t(spark, sf, "orders"), "c_custkey", "o_custkey", ["o_orderkey", "o_orderpriority"], "o_orderkey")
 
 
-@query(
-    """SELECT doc_id, CASE WHEN s LIKE '%cc by-nc 4.0%' THEN 'CC-BY-NC-4.0' WHEN s LIKE '%cc by 4.0%' THEN 'CC-BY-4.0' WHEN s LIKE '%cc by-sa 4.0%' THEN 'CC-BY-SA-4.0' WHEN s LIKE '%cc by-sa 3.0%' THEN 'CC-BY-SA-3.0' ELSE '' END AS spdx
-    FROM (SELECT doc_id, lower(text) AS s FROM documents) WHERE regexp_matches(s, 'cc by[- ]')"""
-)
-def spdx_from_text(spark, sf):
-    line = F.regexp_extract("text", r"(?i)\bcc by[^\n]{0,20}", 0)
-    docs = t(spark, sf, "documents").where(F.lower("text").rlike("cc by[- ]"))
-    return docs.select("doc_id", licences.spdx_from_text(line).alias("spdx"))
-
-
-@query(
-    """SELECT * FROM (VALUES (1, 'CC-BY-SA-3.0-DE'), (2, 'CC0-1.0'), (3, 'CC-BY-NC-ND-1.0'), (4, 'CC-PDM-1.0'), (5, ''), (6, 'CC-BY-4.0'), (7, 'CC-BY-NC')) AS v(id, spdx)"""
-)
-def spdx_from_url(spark, sf):
-    urls = [
-        (1, "https://creativecommons.org/licenses/by-sa/3.0/de/"),
-        (2, "http://creativecommons.org/publicdomain/zero/1.0/"),
-        (3, "https://creativecommons.org/licenses/by-nd-nc/1.0"),
-        (4, "https://i.creativecommons.org/p/mark/1.0/88x31.png"),
-        (5, "https://example.org/licenses/by/4.0"),
-        (6, "https://licensebuttons.net/l/by/4.0/80x15.png"),
-        (7, "creativecommons.org/licenses/by-nc/"),
-    ]
-    return inline(spark, urls, "id int, u string").select("id", licences.spdx_from_url("u").alias("spdx"))
-
-
-@query(
-    """SELECT * FROM (VALUES (1, 'PD', false, 'pdf|midi'), (2, 'PD-dedicated', true, 'musicxml'), (3, 'CC-BY-SA-4.0', true, 'audio|other'), (4, 'LicenseRef-IMSLP-PR-BY-NC-ND-3.0', false, 'zip'), (5, 'LicenseRef-CPDL-1', true, 'pdf'), (6, 'PD-note', false, ''), (7, 'unparsed', false, 'other'), (8, '', false, 'lilypond'), (9, 'CC-BY-ND-4.0', true, 'pdf')) AS v(id, licence, is_open, formats)"""
-)
-def licence_ids(spark, sf):
-    rows = [
-        (1, "Public Domain", ["a.pdf", "b.MID", "c.pdf"]),
-        (2, "Public Domain (dedicated)", ["a.mxl"]),
-        (3, "Creative  Commons Attribution-ShareAlike 4.0", ["x.mp3", "y.abc"]),
-        (4, "Performance Restricted Attribution-NonCommercial-NoDerivs 3.0", ["z.zip"]),
-        (5, "Choral Public Domain Library License v1", ["q.pdf"]),
-        (6, "Public Domain {{RoST}}", []),
-        (7, "ask the author", ["noextension"]),
-        (8, "", ["p.ly"]),
-        (9, "Creative Commons Attribution-NoDerivatives-ShareAlike 4.0", ["a.pdf"]),
-    ]
-    lid = licences.licence_id("raw")
-    return inline(spark, rows, "id int, raw string, files array<string>").select("id", lid.alias("licence"), licences.is_open(lid).alias("is_open"), F.array_join(licences.file_formats(F.col("files")), "|").alias("formats"))
-
-
 @query(
     """SELECT source, count(*) AS n_docs, count(*) FILTER (s LIKE '%cc by%') AS n_cc, bool_or(s LIKE '%mit license%') AS has_mit, string_agg(DISTINCT CASE WHEN s LIKE '%mit license%' THEN 'MIT' WHEN s LIKE '%cc by%' THEN 'CC' WHEN s LIKE '%apache license%' THEN 'Apache' END, '|' ORDER BY CASE WHEN s LIKE '%mit license%' THEN 'MIT' WHEN s LIKE '%cc by%' THEN 'CC' WHEN s LIKE '%apache license%' THEN 'Apache' END) AS found
     FROM (SELECT source, lower(text) AS s FROM documents) GROUP BY 1"""
@@ -304,14 +249,8 @@ def stratified_allocation_sample(spark, sf):
     return statistics.stratified_sample(_strata(spark, sf), "stratum", "id", 120, 10, "gold").select("doc_id", "stratum", "stratum_size", "stratum_sample", "weight")
 
 
-@query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_mktsegment, md5('deal:' || c_custkey), c_custkey) - 1) % 7 + 1 AS BIGINT) AS package FROM customer WHERE c_custkey % 5 = 0")
-def deal_packages(spark, sf):
-    sheet = t(spark, sf, "customer").where("c_custkey % 5 = 0")
-    return statistics.deal(sheet, "c_mktsegment", "c_custkey", 7, "deal").select("c_custkey", F.col("package").cast("long").alias("package"))
-
-
 @query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_mktsegment, md5('deal:' || c_custkey), c_custkey) - 1) % 7 + 1 AS BIGINT) AS package FROM customer")
-def deal_packages_all(spark, sf):
+def deal_packages(spark, sf):
     return statistics.deal(t(spark, sf, "customer"), "c_mktsegment", "c_custkey", 7, "deal").select("c_custkey", F.col("package").cast("long").alias("package"))
 
 
@@ -419,29 +358,6 @@ def regression_gates(spark, sf):
     return out.select("measure", F.round("old", 4).alias("old"), F.round("new", 4).alias("new"), "ok")
 
 
-@query("SELECT * FROM (VALUES (1, 'birth_imprecise|list_years_conflict|manual_override|zz|aa'), (2, ''), (3, 'gnd_from_lobid')) AS v(id, flags)")
-def flags_canonical_order(spark, sf):
-    rows = [(1, "zz|manual_override|birth_imprecise|aa|list_years_conflict|zz"), (2, ""), (3, " gnd_from_lobid ")]
-    return inline(spark, rows, "id int, f string").select("id", cells.join_flags(F.split("f", r"\|")).alias("flags"))
-
-
-@query("SELECT * FROM (VALUES (1, 'Jean Sibelius', 'Sibelius, Jean', 'A b', 'x+y z'), (2, 'Édouard Lalo', 'Lalo, Édouard', '', '100%'), (3, '', 'Solo', 'B', '')) AS v(id, title, sort_name, tag, decoded)")
-def names_and_urls(spark, sf):
-    rows = [
-        (1, "https://en.wikipedia.org/wiki/Jean_Sibelius#Life", "", "Jean Sibelius", "a_b", "x+y%20z"),
-        (2, "https://en.wikipedia.org/wiki/%C3%89douard_Lalo?x=1", "Category:Lalo,_Édouard", "Edouard Lalo", "", "100%"),
-        (3, "", "", "Solo", "b", ""),
-    ]
-    df = inline(spark, rows, "id int, url string, category string, display string, tag string, raw string")
-    return df.select("id", cells.page_title("url").alias("title"), cells.sort_name("category", "display").alias("sort_name"), cells.human_tag("tag").alias("tag"), cells.decode_url("raw").alias("decoded"))
-
-
-@query("SELECT * FROM (VALUES (1, 'agree'), (2, 'differs'), (3, 'unknown')) AS v(id, link)")
-def link_compare(spark, sf):
-    rows = [(1, "https://en.wikipedia.org/wiki/jean_Sibelius", "Jean Sibelius"), (2, "https://en.wikipedia.org/wiki/A", "B"), (3, "", "B")]
-    return inline(spark, rows, "id int, u string, t string").select("id", resolve.compare_links(F.col("u"), F.col("t")).alias("link"))
-
-
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'A' || c_custkey WHEN c_custkey % 3 = 1 THEN 'F' || c_custkey ELSE '' END AS authority_id, CASE WHEN c_custkey % 5 = 4 THEN 'gnd_death_conflict' WHEN c_custkey % 3 = 1 THEN 'gnd_from_lobid' ELSE '' END AS flag FROM customer")
 def authority_ids(spark, sf):
     k = F.col("c_custkey")
@@ -461,11 +377,6 @@ def residual_queue(spark, sf):
     return head.select("o_custkey", F.array_join(F.transform("s", lambda s: s["k"]), "|").alias("head"))
 
 
-@query("SELECT title, CASE title WHEN 'a' THEN 'c' WHEN 'b' THEN 'c' ELSE title END AS target FROM (VALUES ('a'), ('b'), ('c'), ('d')) AS v(title)")
-def resolve_titles(spark, sf):
-    return tables.resolve_titles(inline(spark, [("a",), ("b",), ("c",), ("d",)], "title string"), inline(spark, [("a", "b"), ("b", "c")], '`from` string, `to` string'))
-
-
 @query("SELECT user_id, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1")
 def view_sums(spark, sf):
     cents = F.round(F.col("value") * 100).cast("long")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,10 @@ def check_schema(old: list[str], new: list[str], may_add: list[str], preserve: b
 
 
 def promote(tables: dict[str, DataFrame], root: str, meta: dict, revision: str | None = None) -> str:
-    """Write all tables and the lineage to a staging folder, then rename it to the revision; nothing is left on failure."""
+    """Write all tables and the lineage to a staging folder of this call's own, then rename it to the revision; nothing is left on failure."""
     spark = next(iter(tables.values())).sparkSession
     revision = revision or next_revision(spark, root)
-    final, staging = f"{root}/rev={revision}", f"{root}/_staging_{revision}"
+    final, staging = f"{root}/rev={revision}", f"{root}/_staging_{revision}_{uuid.uuid4().hex}"
     fs, end = _fs(spark, final)
     _, start = _fs(spark, staging)
     if fs.exists(end):

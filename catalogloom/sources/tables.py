@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -9,6 +11,17 @@ from pyspark.sql.types import StringType, StructField, StructType
 LEDGER = "composer_id string, condition string, backend string, model string, effort string, prompt_version string, input_hash string, styles array<string>, primary_period string, confidence double, run_id string, batch_id string, created_at string"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the folder of ``spark.checkpoint.dir``, which cuts its lineage; a local session without one gets a temporary folder."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = sc.getConf().get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="catalogloom-"))
+    return df.checkpoint()
+
+
 def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
     """Every cell as text, '' for missing, quotes doubled, line feeds inside quotes kept; never inferred."""
     reader = spark.read.options(sep="\t", header=True, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
@@ -23,10 +36,15 @@ def write_tsv(df: DataFrame, path: str) -> None:
     cells.write.mode("errorifexists").options(sep="\t", header=True, quote='"', escape='"', emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
+def _place() -> list[Column]:
+    """File, place of the read block in it, and order within the block: together the order of the lines."""
+    return [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line")]
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """Decisions with their time (a zone is required) and a place that follows the files' order."""
-    rows = spark.read.schema(LEDGER).json(path)
-    return rows.withColumn("at", F.try_to_timestamp("created_at")).withColumn("line", F.monotonically_increasing_id())
+    """Decisions with their time (a zone is required) and ``line``, a place that sorts as the files' names and then their lines."""
+    rows = spark.read.schema(LEDGER).json(path).select("*", *_place())
+    return rows.withColumn("at", F.try_to_timestamp("created_at")).withColumn("line", F.struct("_file", "_block", "_line")).drop("_file", "_block", "_line")
 
 
 def bad_times(ledger: DataFrame) -> DataFrame:
@@ -40,7 +58,7 @@ def append_ledger(rows: DataFrame, path: str) -> None:
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """(id, place): lines of an id file without comments and blanks, in the file's order."""
-    lines = spark.read.text(path).withColumn("place", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.struct(*_place()).alias("place"))
     return lines.where(~F.col("value").rlike(r"^\s*(#|$)")).select(F.trim("value").alias("id"), "place")
 
 
@@ -64,13 +82,25 @@ def pending(wanted: DataFrame, stored: DataFrame, key: str = "key") -> DataFrame
     return wanted.join(stored.select(key).distinct(), key, "left_anti")
 
 
-def resolve_titles(titles: DataFrame, redirects: DataFrame, hops: int = 2) -> DataFrame:
-    """(title, target): each title through up to ``hops`` normalisations and redirects."""
-    out = titles.select("title", F.col("title").alias("target"))
-    for _ in range(hops):
-        step = redirects.select(F.col("from").alias("target"), "to")
-        out = out.join(step, "target", "left").select("title", F.coalesce("to", "target").alias("target"))
-    return out
+def resolve_titles(titles: DataFrame, redirects: DataFrame, most: int = 1000) -> DataFrame:
+    """(title, target): each title at the end of its chain of normalisations and redirects, however long.
+
+    Chains are shortened to half at each round (a redirect to a redirect becomes one to its target), so a chain of n
+    takes about log2(n) rounds. A chain longer than ``most`` raises: only a cycle has no end.
+    """
+    step = redirects.groupBy(F.col("from").alias("from")).agg(F.min("to").alias("to")).where("`from` <> `to`")
+    length = 1
+    while True:
+        onward = step.select(F.col("from").alias("to"), F.col("to").alias("next"))
+        joined = step.join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
+        joined = checkpointed(joined)
+        step = joined.select("from", "to")
+        if joined.where("moved").isEmpty():
+            break
+        length *= 2
+        if length > most:
+            raise ValueError("redirects form a cycle")
+    return titles.select("title").join(step.withColumnRenamed("from", "title"), "title", "left").select("title", F.coalesce("to", "title").alias("target"))
 
 
 def merge_page_lists(pages: DataFrame, key: str, values: str) -> DataFrame:
