@@ -89,6 +89,7 @@ def page_key(title) -> Column:
 
 
 def category_url(name, base: str) -> Column:
+    """The address of a category."""
     return F.concat(F.lit(base), F.replace(text(name), F.lit(" "), F.lit("_")))
 
 
@@ -119,3 +120,28 @@ def truncate_at_sentence(c, limit: int = 1200) -> Column:
     word = F.regexp_extract(head, r"(?s)^(.*)\s", 1)
     cut = F.when(F.char_length(sentence) >= limit // 2, sentence).when(word != "", F.rtrim(word)).otherwise(head)
     return F.when(F.char_length(text(c)) <= limit, text(c)).otherwise(cut)
+
+
+def dump_label(revision, built) -> Column:
+    """'dump r002 · built 2026-09-25'; without a time only the first part."""
+    at = F.try_to_timestamp(text(built))
+    day = F.coalesce(F.date_format(at, "yyyy-MM-dd"), F.nullif(F.left(text(built), F.lit(10)), F.lit("")))
+    return F.concat_ws(" · ", F.concat(F.lit("dump "), text(revision)), F.concat(F.lit("built "), day))
+
+
+def clean_titles(c) -> Column:
+    """Titles glued by ';' or 'and' before a number, as a '|'-list."""
+    apart = F.replace(F.replace(text(c), F.lit(";"), F.lit("|")), F.lit("andNo."), F.lit("|No."))
+    return join_cell(F.transform(F.split(apart, r"\|"), lambda x: F.trim(x, F.lit(" .;"))))
+
+
+def fold(c) -> Column:
+    """Lower case without the marks of Latin letters."""
+    marked, bare = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿāăąćčďđēęěğīłńňōőřśşšťūůűźżž", "aaaaaaceeeeiiiinooooouuuuyyaaaccddeeegilnnoorssstuuuzzz"
+    return F.translate(F.lower(text(c)), marked, bare)
+
+
+def named_on(page, name) -> Column:
+    """Whether the last word of a name stands on a page, marks and case aside."""
+    last = F.element_at(F.split(F.trim(fold(name)), r"\s+"), -1)
+    return (last != "") & F.contains(fold(F.regexp_replace(text(page), r"(?s)<[^>]+>", " ")), last)

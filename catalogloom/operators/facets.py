@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .statistics import hash_order
+from ..functions.cells import split_cell, text
+from .statistics import hash_order, places
 
 
 @dataclass(frozen=True)
@@ -16,6 +17,8 @@ class FacetQuery:
 
     contains: str = ""
     parent_in: dict[str, tuple] = field(default_factory=dict)
+    #: Columns of '|'-lists: one of the values stands in one of the columns.
+    tags_in: dict[tuple, tuple] = field(default_factory=dict)
     child_in: dict[str, tuple] = field(default_factory=dict)
     with_children: bool = False
     sort: str = ""
@@ -30,6 +33,9 @@ def run(query: FacetQuery, parents: DataFrame, children: DataFrame, key: str, ch
     for column, values in query.parent_in.items():
         if values:
             found = found.where(F.col(column).isin(*values))
+    for columns, values in query.tags_in.items():
+        if values:
+            found = found.where(F.arrays_overlap(F.concat(*map(split_cell, columns)), F.array(*map(F.lit, values))))
     fitting = children
     for column, values in query.child_in.items():
         if values:
@@ -43,20 +49,63 @@ def run(query: FacetQuery, parents: DataFrame, children: DataFrame, key: str, ch
     return found
 
 
+def _each(facets: dict[str, Column]) -> Column:
+    """(facet, value) of all facets of a row; array facets give each element."""
+    named = lambda facet: lambda v: F.struct(F.lit(facet).alias("facet"), v.cast("string").alias("value"))
+    pairs = [F.transform(values, named(facet)) for facet, values in facets.items()]
+    return F.explode(F.filter(F.concat(*pairs), lambda p: F.coalesce(p["value"], F.lit("")) != ""))
+
+
 def facet_counts(df: DataFrame, facets: dict[str, Column]) -> DataFrame:
-    """(facet, value, n) of all facets in one pass; array facets count each element."""
-    rows = None
-    for facet, values in facets.items():
-        part = df.select(F.lit(facet).alias("facet"), values.cast("string").alias("value")).where("value is not null and value <> ''").groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"))
-        rows = part if rows is None else rows.unionByName(part)
-    return rows
+    """(facet, value, n) of all facets, counted in one scan; each facet is an array (``F.array`` of a plain column)."""
+    return df.select(_each(facets).alias("x")).groupBy("x.facet", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def manifest(parents: DataFrame, children: DataFrame, facets: dict[str, Column], filled: list[str]) -> DataFrame:
+    """(section, name, value, n): row counts, facet values and cells filled, a scan of each table."""
+    counted = [(df.agg(F.count(F.lit(1)).alias("n")), name) for df, name in ((parents, "parents"), (children, "children"))]
+    out = facet_counts(parents, facets).select(F.lit("facet").alias("section"), F.col("facet").alias("name"), "value", "n")
+    for df, name in counted:
+        out = out.unionByName(df.select(F.lit("count").alias("section"), F.lit(name).alias("name"), F.lit("").alias("value"), "n"))
+    cells = F.explode(F.array_compact(F.array(*(F.when(text(c) != "", F.lit(c)) for c in filled))))
+    cover = parents.select(cells.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+    return out.unionByName(cover.select(F.lit("filled").alias("section"), "name", F.lit("").alias("value"), "n"))
+
+
+def vote_rules(labellers: list[str], pair: tuple[str, str]) -> dict[str, tuple[list[str], int]]:
+    """Rule -> (labellers that count, votes needed): the pair, a majority and all (of three or more), any, each alone."""
+    n = len(labellers)
+    rules = {"pair": (list(pair), 2)}
+    if n > 2:
+        rules |= {f"{n // 2 + 1}of{n}": (labellers, n // 2 + 1), "all": (labellers, n)}
+    return rules | {"any": (labellers, 1)} | {name: ([name], 1) for name in labellers}
+
+
+def tags_by_rule(latest: DataFrame, entity: str, labeller: str, tags: str, labellers: list[str], pair: tuple[str, str]) -> DataFrame:
+    """(entity, rule, tags): tags under every rule, sorted; a tag's votes are counted once for all rules."""
+    votes = latest.select(entity, labeller, F.explode(F.array_distinct(tags)).alias("tag")).groupBy(entity, "tag").agg(F.collect_set(labeller).alias("by"))
+    rules = vote_rules(labellers, pair)
+    enough = lambda who, need: F.size(F.array_intersect("by", F.array(*map(F.lit, who)))) >= need
+    kept = votes.select(entity, "tag", F.explode(F.array_compact(F.array(*(F.when(enough(*rule), F.lit(name)) for name, rule in rules.items())))).alias("rule"))
+    return kept.groupBy(entity, "rule").agg(F.array_join(F.array_sort(F.collect_list("tag")), "|").alias("tags"))
+
+
+def styles_by_source(parents: DataFrame, children: DataFrame, key: str, child_key: str, own: str, own_src: str, voted: str, child_styles: str) -> DataFrame:
+    """(key, wikidata, llm, imslp): styles of a parent by source; the last is the union of its children's."""
+    union = children.select(F.col(child_key).alias(key), F.explode(split_cell(child_styles)).alias("s")).groupBy(key).agg(F.array_join(F.array_sort(F.collect_set("s")), "|").alias("imslp"))
+    told = F.when(F.col(own_src) == "wikidata", text(own)).otherwise("")
+    return parents.select(key, told.alias("wikidata"), text(voted).alias("llm")).join(union, key, "left").withColumn("imslp", F.coalesce("imslp", F.lit("")))
+
+
+def badges(tokens: Column, table: dict[str, str]) -> Column:
+    """Labels of the tokens that have one, in the table's order."""
+    return F.array_compact(F.array(*(F.when(F.array_contains(tokens, token), F.lit(label)) for token, label in table.items())))
 
 
 def less_viewed_half(df: DataFrame, views: str, key: str) -> DataFrame:
     """The half with the fewer views (missing: none), the odd one included."""
-    scored = df.withColumn("_v", F.coalesce(F.col(views).cast("double"), F.lit(0.0)))
-    half = (df.count() + 1) // 2
-    return scored.orderBy("_v", key).limit(half).drop("_v")
+    placed, total = places(df.withColumn("_v", F.coalesce(F.col(views).cast("double"), F.lit(0.0))), ["_v", key])
+    return placed.where(F.col("_place") < (total + 1) // 2).drop("_v", "_place")
 
 
 def random_picks(df: DataFrame, key: str, seed: str, n: int, seen: DataFrame | None = None) -> DataFrame:

@@ -74,9 +74,16 @@ def collision_errors(df: DataFrame, category: str = "category", key: str = "id")
     return trusted.groupBy(category).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("first")).where("n > 1")
 
 
-def unique_candidate(rows: DataFrame, candidates: DataFrame, on: str, key: str, close: Column, candidate: str) -> DataFrame:
-    """The candidate of each row of which exactly one is ``close``; rows with none or several leave."""
-    found = rows.join(candidates, on).where(close)
+def unique_candidate(rows: DataFrame, candidates: DataFrame, on: str, key: str, band: tuple[str, str, float], candidate: str) -> DataFrame:
+    """The candidate of each row of which exactly one agrees on ``on`` and lies within the band; rows with none or several leave.
+
+    ``band``: the row's number, the candidate's and how far apart they may be. The band's bucket is part of the join's
+    key, and a candidate stands in its own bucket and both neighbours, so that a common ``on`` joins neighbours alone.
+    """
+    mine, theirs, width = band
+    bucket = lambda c: F.floor(F.col(c) / width)
+    near = candidates.withColumn("_bucket", F.explode(F.array(*(bucket(theirs) + d for d in (-1, 0, 1)))))
+    found = rows.withColumn("_bucket", bucket(mine)).join(near, [on, "_bucket"]).where(F.abs(F.col(mine) - F.col(theirs)) <= width)
     return found.groupBy(key).agg(F.min(candidate).alias(candidate), F.count(F.lit(1)).alias("n")).where("n = 1").drop("n")
 
 
@@ -95,3 +102,46 @@ def authority(df: DataFrame) -> DataFrame:
             "flag": F.when(F.abs(F.col("death") - F.col("known_death")) > 1, "gnd_death_conflict").when((text("own") == "") & (text("found") != ""), "gnd_from_lobid").otherwise(""),
         }
     )
+
+
+def match_category(people: DataFrame, existing: DataFrame, name: str, stated: str) -> DataFrame:
+    """``people`` with category, match status and method: the stated category if its page exists, else 'Last,_First' if that exists."""
+    words = F.filter(F.split(text(name), r"\s+"), lambda w: w != "")
+    rest = F.array_join(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), "_")
+    guess = F.when(F.size(words) > 1, F.concat(F.element_at(words, -1), F.lit(",_"), rest)).otherwise(F.array_join(words, "_"))
+    bare = F.replace(F.regexp_replace(text(stated), "^Category:", ""), F.lit(" "), F.lit("_"))
+    wanted = F.concat(F.lit("Category:"), F.when(bare != "", bare).otherwise(guess))
+    known = existing.select(F.col("category").alias("_category"), F.lit(True).alias("_exists")).distinct()
+    joined = people.withColumn("_category", wanted).withColumn("_stated", bare != "").join(known, "_category", "left")
+    there = F.col("_exists").isNotNull()
+    status = F.when(there & F.col("_stated"), "matched").when(there, "unverified_heuristic").otherwise("not_found")
+    method = F.when(F.col("_stated"), "wikidata_p839").when(there, "exact_name").otherwise("")
+    return joined.select(*people.columns, F.when(there | F.col("_stated"), F.col("_category")).otherwise("").alias("category"), status.alias("match_status"), method.alias("match_method"))
+
+
+def suspects(people: DataFrame, listed: DataFrame, key: str, url: str, least: int) -> DataFrame:
+    """(key, gap, signals) of the people whose listed years are ``least`` years off or who carry a flag of identity.
+
+    Lists are joined by the title in the address. People: birth, death, flags; listed: url, list_birth, list_death.
+    """
+    rows = listed.select(page_key(page_title(F.col("url"))).alias("_k"), "list_birth", "list_death").where("_k <> ''").dropDuplicates(["_k"])
+    joined = people.withColumn("_k", page_key(page_title(F.col(url)))).join(rows, "_k", "left")
+    gap = F.array_max(F.array_compact(F.array(F.abs(F.col("birth") - F.col("list_birth")), F.abs(F.col("death") - F.col("list_death")))))
+    own = F.filter(F.array(F.lit("not_human"), F.lit("no_composer_occupation")), lambda f: F.array_contains(F.split(text("flags"), r"\|"), f))
+    signals = F.concat(F.when(gap >= least, F.array(F.concat(F.lit("list_years_gap_"), gap.cast("string")))).otherwise(F.array().cast("array<string>")), own)
+    return joined.select(key, gap.alias("gap"), F.array_join(signals, "|").alias("signals")).where("signals <> ''")
+
+
+def proposals(found: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
+    """``found`` suspects with what to do: one fitting candidate re-keys; candidates: key, fits."""
+    n = candidates.groupBy(key).agg(F.count_if("fits").alias("fitting"), F.count(F.lit(1)).alias("candidates"))
+    joined = found.join(n, key, "left").withColumns({"fitting": F.coalesce("fitting", F.lit(0)), "candidates": F.coalesce("candidates", F.lit(0))})
+    proposal = ladder([(F.col("fitting") == 1, "rekey"), (F.col("fitting") > 1, "ambiguous"), (F.col("signals").startswith("list_years_gap"), "no_candidate")], "check_occupation")
+    return joined.withColumn("proposal", proposal)
+
+
+def unique_authority(people: DataFrame, records: DataFrame, name: str, key: str) -> DataFrame:
+    """(key, id) where one record of the name was born in the same year, did not die in another, and died in it or has the profession."""
+    found = people.join(records, name).where("born = birth and (died is null or death is null or died = death)")
+    close = found.where((F.coalesce(F.col("died") == F.col("death"), F.lit(False))) | F.col("composes"))
+    return close.groupBy(key).agg(F.count_distinct("id").alias("n"), F.min("id").alias("id")).where("n = 1").select(key, "id")

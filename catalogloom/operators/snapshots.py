@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.cells import split_cell
+
 
 def cell_changes(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """(keys, change, column, old, new): rows added or removed, and each cell that differs, null equal to null."""
@@ -55,3 +57,65 @@ def regression(old: DataFrame, new: DataFrame, measures: dict[str, Column], most
     rows = F.explode(F.array(*(F.struct(F.lit(k).alias("measure"), F.col(f"o_{k}").alias("old"), F.col(f"n_{k}").alias("new")) for k in measures)))
     change = (F.col("x.new") - F.col("x.old")) / F.col("x.old")
     return both.select(rows.alias("x")).select("x.measure", "x.old", "x.new", F.coalesce(change.between(-most_loss, most_gain), F.col("x.old") == F.col("x.new")).alias("ok"))
+
+
+def flag_changes(old: DataFrame, new: DataFrame, key: str, flags: str) -> DataFrame:
+    """(flag, added, removed): how often each flag of a '|'-list came or went; a row that is in one snapshot counts too."""
+    side = lambda df, p: df.select(key, split_cell(flags).alias(p))
+    none = F.array().cast("array<string>")
+    both = side(old, "o").join(side(new, "n"), key, "full_outer").select(F.coalesce("o", none).alias("o"), F.coalesce("n", none).alias("n"))
+    each = F.concat(F.transform(F.array_except("n", "o"), lambda f: F.struct(f.alias("flag"), F.lit(1).alias("a"), F.lit(0).alias("r"))), F.transform(F.array_except("o", "n"), lambda f: F.struct(f.alias("flag"), F.lit(0).alias("a"), F.lit(1).alias("r"))))
+    return both.select(F.explode(each).alias("x")).groupBy("x.flag").agg(F.sum("x.a").alias("added"), F.sum("x.r").alias("removed"))
+
+
+def change_report(old: DataFrame, new: DataFrame, key: str, status: str, src: str, ignored: list[str]) -> DataFrame:
+    """(measure, n): rows added, removed and changed, statuses that flipped, labels by models before and after; ``ignored`` columns do not count."""
+    columns = [c for c in old.columns if c in new.columns and c != key and c not in ignored]
+    side = lambda df, p: df.select(F.col(key).alias(f"{p}_key"), F.struct(*(F.col(c).cast("string").alias(c) for c in columns)).alias(p))
+    both = side(old, "o").join(side(new, "n"), F.col("o_key").eqNullSafe(F.col("n_key")), "full_outer")
+    there = F.col("o").isNotNull() & F.col("n").isNotNull()
+    differs = reduce(lambda a, b: a | b, (~F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}")) for c in columns))
+    measures = {
+        "added": F.col("o").isNull(),
+        "removed": F.col("n").isNull(),
+        "changed": there & differs,
+        "flips": there & ~F.col(f"o.{status}").eqNullSafe(F.col(f"n.{status}")),
+        "by_model_old": F.coalesce(F.col(f"o.{src}").startswith("llm"), F.lit(False)),
+        "by_model_new": F.coalesce(F.col(f"n.{src}").startswith("llm"), F.lit(False)),
+    }
+    return violations(both, list(measures.items())).withColumnRenamed("rule", "measure")
+
+
+def coverage_gates(old: DataFrame, new: DataFrame, columns: dict[str, float]) -> DataFrame:
+    """(column, old, new, ok): shares of filled cells; none may fall by more than its points."""
+    share = {c: F.avg((F.coalesce(F.col(c).cast("string"), F.lit("")) != "").cast("double")) for c in columns}
+    a, b = (df.agg(*(m.alias(f"{p}_{c}") for c, m in share.items())) for df, p in ((old, "o"), (new, "n")))
+    rows = F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(f"o_{c}").alias("old"), F.col(f"n_{c}").alias("new"), F.lit(most).alias("most")) for c, most in columns.items())))
+    found = a.join(b).select(rows.alias("x")).select("x.*")
+    return found.select("column", "old", "new", F.coalesce(F.round(F.col("old") - F.col("new"), 9) <= F.col("most"), F.lit(True)).alias("ok"))
+
+
+def rollup_gate(parents: DataFrame, children: DataFrame, key: str, child_key: str, total: str) -> DataFrame:
+    """(key, told, counted) of the parents whose stored number of children is wrong."""
+    counted = children.groupBy(F.col(child_key).alias(key)).agg(F.count(F.lit(1)).alias("counted"))
+    joined = parents.select(key, F.col(total).cast("long").alias("told")).join(counted, key, "left").withColumn("counted", F.coalesce("counted", F.lit(0)))
+    return joined.where(~F.col("told").eqNullSafe(F.col("counted")))
+
+
+def recomputed_gate(df: DataFrame, key: str, rules: dict[str, Column]) -> DataFrame:
+    """(key, column, told, rule) of the cells that differ from what their rule gives now."""
+    wrong = F.array_compact(F.array(*(F.when(~F.col(c).cast("string").eqNullSafe(rule.cast("string")), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("told"), rule.cast("string").alias("rule"))) for c, rule in rules.items())))
+    return df.select(key, F.explode(wrong).alias("x")).select(key, "x.*")
+
+
+def release_errors(tables: dict[str, DataFrame], keys: dict[str, str], row_counts: dict[str, int], denied: dict[str, list[str]]) -> DataFrame:
+    """(table, error, n): keys that repeat or are empty, row counts other than stated, ids that must not be there; zeros leave."""
+    out = []
+    for name, df in tables.items():
+        key = F.col(keys[name]).cast("string")
+        once = df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        rules = {"repeated key": F.sum((F.col("n") > 1).cast("long")), "empty key": F.sum(F.when(F.coalesce("k", F.lit("")) == "", F.col("n"))), "denied key": F.sum(F.when(F.col("k").isin(denied.get(name, [])), F.col("n"))), "row count": F.abs(F.sum("n") - row_counts[name])}
+        flat = once.agg(*(F.coalesce(m, F.lit(0)).alias(f"r{i}") for i, m in enumerate(rules.values())))
+        rows = F.explode(F.array(*(F.struct(F.lit(name).alias("table"), F.lit(e).alias("error"), F.col(f"r{i}").alias("n")) for i, e in enumerate(rules))))
+        out.append(flat.select(rows.alias("x")).select("x.*").where("n > 0"))
+    return reduce(DataFrame.unionByName, out)

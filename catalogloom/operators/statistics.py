@@ -8,6 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import checkpointed
+
 Z = 1.96
 
 
@@ -53,13 +55,31 @@ def stratified_sample(df: DataFrame, stratum: str, key: str, total: int, minimum
     return picked.drop("_rn").withColumn("weight", F.col("stratum_size") / F.col("stratum_sample"))
 
 
+def places(df: DataFrame, order: list[str], parts: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``_place``, its place from 0 in the order of ``order``, and the number of rows.
+
+    The rows are range-partitioned and numbered within partitions; a count per partition shifts the numbers. Written
+    once, so that both passes see the same partitions. No task holds more than a partition; ``order`` is best unique.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = checkpointed(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_n", F.monotonically_increasing_id()))
+    counts = sorted(map(tuple, ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_n").alias("first")).collect()))  # partitions, not rows
+    shifts, before = [], 0
+    for part, n, start in counts:
+        shifts.append((part, before - start))
+        before += n
+    table = df.sparkSession.createDataFrame(shifts, "_part int, _shift long")
+    return ranged.join(F.broadcast(table), "_part").withColumn("_place", F.col("_n") + F.col("_shift")).drop("_part", "_n", "_shift"), before
+
+
 def systematic(df: DataFrame, spread: str, key: str, n: int, start: float = 0.5) -> DataFrame:
-    """Every (N/n)-th row in the order of ``spread``: its values appear in proportion (for a bounded sheet)."""
-    total = df.count()
+    """Every (N/n)-th row in the order of ``spread``: its values appear in proportion."""
+    placed, total = places(df, [spread, key])
+    if not total:
+        return df
     step = total / n
-    ranked = df.withColumn("_rn", F.row_number().over(Window.orderBy(spread, key)) - 1)
-    nth = F.ceil((F.col("_rn") - start * step) / step)
-    return ranked.where((F.col("_rn") == F.floor(start * step + nth * step)) & nth.between(0, n - 1)).drop("_rn")
+    nth = F.ceil((F.col("_place") - start * step) / step)
+    return placed.where((F.col("_place") == F.floor(start * step + nth * step)) & nth.between(0, n - 1)).drop("_place")
 
 
 def deal(df: DataFrame, stratum: str, key: str, packages: int, seed: str) -> DataFrame:

@@ -152,3 +152,39 @@ def file_evidence(files: Column) -> Column:
 def with_term(df: DataFrame, death_col: str, reference: int) -> DataFrame:
     t = term(F.col(death_col), reference)
     return df.select("*", t["status"].alias("term_status"), t["year"].alias("term_year"), t["remaining"].alias("term_remaining"))
+
+
+def with_attributes(children: DataFrame, parents: DataFrame, child_key: str, key: str, columns: list[str]) -> DataFrame:
+    """``children`` with their parent's columns (``parent_…``); children without one keep nulls. Parents' keys are unique."""
+    side = parents.select(F.col(key).alias(child_key), *(F.col(c).alias(f"parent_{c}") for c in columns))
+    return children.join(side, child_key, "left")
+
+
+def registry_join(people: DataFrame, registry: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """People with the registry's cells ('' without a row), and registry rows that no person has."""
+    cells = registry.select(key, *columns)
+    return people.join(cells, key, "left").na.fill("", columns), registry.join(people.select(key), key, "left_anti")
+
+
+def style_gaps(people: DataFrame, styles: str, scope: str, views: str, key: str, n: int) -> DataFrame:
+    """People of the core without a style, the most read first (a report's head)."""
+    return people.where((text(styles) == "") & (F.col(scope) == "classical_core")).orderBy(F.col(views).desc_nulls_last(), key).limit(n)
+
+
+def not_free(people: DataFrame, key: str, status: str, forced: list, sample: int, seed: str) -> DataFrame:
+    """People not in the public domain: those in ``forced``, and others in hash order up to ``sample`` (a sampling operator)."""
+    from .statistics import hash_order
+
+    rest = people.where(text(status) != "pd")
+    named = rest.where(F.col(key).isin(forced))
+    others = rest.where(~F.col(key).isin(forced)).orderBy(hash_order(seed, key), key).limit(max(0, sample - len(forced)))
+    return named.unionByName(others)
+
+
+def remap_styles(people: DataFrame, table: DataFrame, key: str, styles: str, src: str, overwrite: bool = False) -> DataFrame:
+    """Empty style cells filled from ``table`` (key, tags); with ``overwrite`` others too, but never those that models or reviewers gave."""
+    joined = people.join(table.select(key, F.col("tags").alias("_tags")), key, "left")
+    held = text(styles) != ""
+    safe = text(src).rlike("^(llm|override)")
+    fill = (F.coalesce("_tags", F.lit("")) != "") & (~held | (F.lit(overwrite) & ~safe))
+    return joined.select(*(F.when(fill, F.col("_tags")).otherwise(F.col(c)).alias(c) if c == styles else F.when(fill, "wikidata").otherwise(F.col(c)).alias(c) if c == src else F.col(c) for c in people.columns))

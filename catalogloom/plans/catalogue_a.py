@@ -130,10 +130,10 @@ def transitions(spark, sf):
     """SELECT dates, count(*) AS n FROM (SELECT CASE WHEN g1 IS NULL AND g2 IS NULL THEN 'unknown' WHEN greatest(coalesce(g1, g2), coalesce(g2, g1)) <= 1 THEN 'agree'
     WHEN least(coalesce(g1, g2), coalesce(g2, g1)) > 1 AND greatest(coalesce(g1, g2), coalesce(g2, g1)) > 10 THEN 'conflict_strong' ELSE 'conflict_weak' END AS dates
     FROM (SELECT abs(1800 + s_suppkey % 40 - (1800 + c_custkey % 40)) AS g1, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE abs(1870 + s_suppkey % 30 - (1870 + c_custkey % 29)) END AS g2
-    FROM supplier JOIN customer ON s_nationkey = c_nationkey)) GROUP BY dates"""
+    FROM supplier JOIN customer ON s_suppkey = c_custkey % 97 + 1)) GROUP BY dates"""
 )
 def identity_compare(spark, sf):
-    pairs = t(spark, sf, "supplier").join(t(spark, sf, "customer"), F.col("s_nationkey") == F.col("c_nationkey"))
+    pairs = t(spark, sf, "supplier").join(t(spark, sf, "customer"), F.col("s_suppkey") == F.col("c_custkey") % 97 + 1)
     died = F.when(F.col("c_custkey") % 3 != 0, 1870 + F.col("c_custkey") % 29)
     dates = resolve.compare_dates(1800 + F.col("s_suppkey") % 40, 1870 + F.col("s_suppkey") % 30, 1800 + F.col("c_custkey") % 40, died)
     return pairs.groupBy(dates.alias("dates")).agg(F.count(F.lit(1)).alias("n"))
@@ -177,7 +177,7 @@ def collision_errors(spark, sf):
 def unique_candidate_match(spark, sf):
     customers = t(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation"), "c_acctbal")
     suppliers = t(spark, sf, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), "s_acctbal")
-    return resolve.unique_candidate(customers, suppliers, "nation", "c_custkey", F.abs(F.col("c_acctbal") - F.col("s_acctbal")) <= 300, "s_suppkey")
+    return resolve.unique_candidate(customers, suppliers, "nation", "c_custkey", ("c_acctbal", "s_acctbal", 300.0), "s_suppkey")
 
 
 OVERRIDES = [

@@ -109,7 +109,7 @@ def facet_query(spark, sf):
 
 @query("SELECT 'segment' AS facet, c_mktsegment AS value, count(*) AS n FROM customer GROUP BY 2 UNION ALL SELECT 'nation', CAST(c_nationkey AS VARCHAR), count(*) FROM customer GROUP BY 2")
 def facet_counts(spark, sf):
-    return facets.facet_counts(t(spark, sf, "customer"), {"segment": F.col("c_mktsegment"), "nation": F.col("c_nationkey")})
+    return facets.facet_counts(t(spark, sf, "customer"), {"segment": F.array("c_mktsegment"), "nation": F.array("c_nationkey")})
 
 
 @query("SELECT c_custkey, c_acctbal FROM (SELECT *, row_number() OVER (ORDER BY c_acctbal, c_custkey) AS rn, count(*) OVER () AS n FROM customer) WHERE rn <= (n + 1) // 2")
