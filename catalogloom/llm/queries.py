@@ -88,4 +88,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_suffix_dedup, op4_simhash, op5_packing, op6_embedding_dedup, op7_decontamination, op8_line_dedup, op9_language_id, op10_quality)}
-ORACLES: dict[str, str] = {}
+
+#: The same rows on another engine, where SQL can say them: cosines of all pairs and their transitive closure, and
+#: Levenshtein distances of distinct lines of like length.
+ORACLES: dict[str, str] = {
+    "op3_suffix_dedup": """WITH t AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents), w AS (SELECT r, p, hash(substring(h, 2 * p + 1, 400)) AS k FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 199)) AS p FROM t)),
+    d AS (SELECT r, p FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)), i AS (SELECT r, p, sum(new) OVER (PARTITION BY r ORDER BY p) AS island FROM (SELECT r, p, CASE WHEN p <= lag(p) OVER (PARTITION BY r ORDER BY p) + 200 THEN 0 ELSE 1 END AS new FROM d)),
+    s AS (SELECT r, island, min(p) AS a, max(p) + 200 AS z FROM i GROUP BY r, island), g AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM s), m AS (SELECT t.r, string_agg(substring(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last FROM g JOIN t USING (r) GROUP BY t.r)
+    SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(CASE WHEN m.r IS NULL THEN h ELSE kept || substring(h, 2 * last + 1) END)) AS kept_sha256 FROM t LEFT JOIN m USING (r)""",
+    "op6_embedding_dedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), g AS (SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+    link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95), reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+    SELECT vec_id, (SELECT count(*) FROM link WHERE link.a = vec_id) AS n_links, c AS component_id, c = vec_id AS kept FROM v JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = vec_id""",
+    "op8_line_dedup": """WITH l AS (SELECT doc_id, i, x, trim(regexp_replace(lower(x), '\\s+', ' ', 'g')) AS n, row_number() OVER (ORDER BY doc_id, i) AS s FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents WHERE text IS NOT NULL)),
+    k AS (SELECT n, min(s) AS f, length(n) AS w FROM l WHERE n <> '' GROUP BY n), near AS (SELECT DISTINCT b.n FROM (SELECT n, f, w + unnest([-1, 0, 1]) AS w FROM k WHERE w >= 16) a JOIN k b ON a.w = b.w WHERE b.w >= 16 AND a.f < b.f AND levenshtein(a.n, b.n) <= 1),
+    d AS (SELECT l.*, l.n <> '' AND (s > f OR near.n IS NOT NULL) AS gone FROM l LEFT JOIN k ON k.n = l.n LEFT JOIN near ON near.n = l.n), t AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM d GROUP BY doc_id)
+    SELECT doc_id, CASE WHEN coalesce(t.text, '') = '' THEN 0 ELSE len(string_split(t.text, chr(10))) END AS n_kept_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t.text, '')) AS kept_sha256 FROM documents LEFT JOIN t USING (doc_id)""",
+}
