@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cells
-from ..operators import entities, facets, ledger, markup, resolve, rollups, snapshots, statistics
-from .registry import inline, query, t
+from ..operators import facets, ledger, markup, resolve, rollups, snapshots, statistics
+from .registry import query, t
 
 STATUSES = ["F", "O", "P"]
 
@@ -166,62 +166,6 @@ def per_host_cap(spark, sf):
     return markup.per_host_cap(pages, "k", "url", "page_id").select("k", "url")
 
 
-_WIKI = "==Scores==\n{{#fte:imslpfile\n|File Name=a.pdf\n|Copyright=Public Domain {{RoST|[[x|y]]}}\nand more\n|Date=1900\n}}\ntext\n===Sound===\n{{audio\n|File=b.mp3\n}}"
-
-
-@query("SELECT * FROM (VALUES (1, 0, '#fte:imslpfile', 'Scores', 'Public Domain {{RoST|[[x|y]]}} and more'), (1, 1, 'audio', 'Sound', NULL)) AS v(id, place, name, section, copyright)")
-def template_blocks(spark, sf):
-    found = markup.template_blocks(inline(spark, [(1, _WIKI), (2, ""), (3, None)], "id int, w string"), "id", "w")
-    return found.select("id", "place", "name", "section", F.try_element_at("fields", F.lit("Copyright")).alias("copyright"))
-
-
-@query("SELECT * FROM (VALUES (1, 'violin and piano', '1901'), (2, '', '')) AS v(id, instrumentation, year)")
-def geninfo_fields(spark, sf):
-    wiki = "{{#fte:imslppage\n|Instrumentation=[[violin]] and {{x}}<b>piano</b>\n|Year/Date of Composition=1901\n}}"
-    return inline(spark, [(1, wiki), (2, "nothing")], "id int, w string").select("id", markup.geninfo("w", "Instrumentation").alias("instrumentation"), markup.geninfo("w", "Year/Date of Composition").alias("year"))
-
-
-def _claim(value: str, rank: str = "normal") -> str:
-    return f'{{"rank":"{rank}","mainsnak":{{"snaktype":"value","datavalue":{{"value":{value}}}}}}}'
-
-
-def _time(when: str, precision: int, rank: str = "normal") -> str:
-    return _claim(f'{{"time":"{when}","precision":{precision}}}', rank)
-
-
-ENTITIES = [
-    ("Q1", f'{{"id":"Q1","labels":{{"en":{{"value":"Ann"}}}},"aliases":{{"en":[{{"value":"A."}},{{"value":"An"}}]}},"claims":{{"P31":[{_claim(chr(123) + chr(34) + "id" + chr(34) + ":" + chr(34) + "Q5" + chr(34) + chr(125))}],"P569":[{_time("+1855-00-00T00:00:00Z", 8)}],"P570":[{_time("+1912-03-04T00:00:00Z", 11)},{_time("+1913-00-00T00:00:00Z", 9, "deprecated")}]}}}}'),
-    ("Q2", f'{{"id":"Q2","labels":{{"en":{{"value":"Bo"}}}},"claims":{{"P569":[{_time("+1801-01-01T00:00:00Z", 7)},{_time("+1850-00-00T00:00:00Z", 9, "preferred")},{_time("+1851-00-00T00:00:00Z", 9, "preferred")}],"P570":[{_time("+1855-02-00T00:00:00Z", 10)}]}}}}'),
-    ("Q3", '{"id":"Q3","claims":{}}'),
-]
-
-
-@query(
-    """SELECT * FROM (VALUES ('Q1', 'Ann', 'A.|An', 1859, 'decade', true, 1912, '1912-03-04', 'birth_imprecise'), ('Q2', 'Bo', '', 1850, 'year', false, 1855, '1855-02', 'birth_rank_conflict|not_human|implausible_lifespan'), ('Q3', NULL, '', NULL, 'unknown', false, NULL, NULL, 'not_human')) AS v(id, name, aliases, birth, precision, imprecise, death, death_iso, flags)"""
-)
-def entity_flatten(spark, sf):
-    e = entities.flatten(F.col("json"))
-    return inline(spark, ENTITIES, "key string, json string").select(e.alias("e")).select(
-        "e.id", "e.name", "e.aliases", F.col("e.birth.year").cast("int").alias("birth"), F.col("e.birth.precision").alias("precision"), F.col("e.birth.imprecise").alias("imprecise"), F.col("e.death.year").cast("int").alias("death"), F.col("e.death.iso").alias("death_iso"), "e.flags"
-    )
-
-
-@query("SELECT * FROM (VALUES (1, 1900, 1876), (2, 1912, 1912), (3, 1850, 1850), (4, 1877, 1877)) AS v(id, plain, refined)")
-def year_fallbacks(spark, sf):
-    rows = [(1, "+1850-00-00T00:00:00Z", 7, 1876, None), (2, "+1912-00-00T00:00:00Z", 9, 1910, None), (3, "+1850-00-00T00:00:00Z", 9, 1877, "+1877-00-00T00:00:00Z"), (4, None, 9, 1877, None)]
-    df = inline(spark, rows, "id int, at string, p int, fallback int, wrong string")
-
-    def claim(value, rank):
-        snak = F.struct(F.lit("value").alias("snaktype"), F.struct(value.alias("value")).alias("datavalue"))
-        return F.struct(F.lit(rank).alias("rank"), snak.alias("mainsnak"))
-
-    told = F.to_json(F.struct(F.col("at").alias("time"), F.col("p").alias("precision")))
-    wrong = F.to_json(F.struct(F.col("wrong").alias("time"), F.lit(9).alias("precision")))
-    claims = F.filter(F.array(F.when(F.col("at").isNotNull(), claim(told, "normal")), F.when(F.col("wrong").isNotNull(), claim(wrong, "deprecated"))), lambda c: c.isNotNull())
-    at, old = entities.time_claim(claims), entities.deprecated_years(claims)
-    return df.select("id", *(entities.fallback_year(at, old, F.col("fallback"), refine).cast("int").alias(name) for name, refine in (("plain", False), ("refined", True))))
-
-
 def _strata(spark, sf):
     return t(spark, sf, "documents").select(F.concat_ws("-", "lang", F.when(F.col("n_chars") > 2000, "long").otherwise("short")).alias("stratum"), F.col("doc_id").cast("string").alias("id"), "doc_id")
 
@@ -244,11 +188,6 @@ def stratified_equal_sample(spark, sf):
     return docs.withColumn("rn", rank).where("rn <= 5").join(sizes, "stratum").select("doc_id", "stratum", "stratum_size")
 
 
-@query(None)
-def stratified_allocation_sample(spark, sf):
-    return statistics.stratified_sample(_strata(spark, sf), "stratum", "id", 120, 10, "gold").select("doc_id", "stratum", "stratum_size", "stratum_sample", "weight")
-
-
 @query("SELECT c_custkey, CAST((row_number() OVER (ORDER BY c_mktsegment, md5('deal:' || c_custkey), c_custkey) - 1) % 7 + 1 AS BIGINT) AS package FROM customer")
 def deal_packages(spark, sf):
     return statistics.deal(t(spark, sf, "customer"), "c_mktsegment", "c_custkey", 7, "deal").select("c_custkey", F.col("package").cast("long").alias("package"))
@@ -411,3 +350,14 @@ def stage_pipeline(spark, sf):
     # Each stage again on its own result changes nothing.
     done = run_stages({x: t(spark, sf, x) for x in ("orders", "lineitem")}, [("dedupe", dedupe), ("dedupe again", dedupe), ("terms", terms), ("roll", roll)])
     return done["orders"].select("o_orderkey", "n_lines", "term_status")
+
+
+@query(
+    """WITH RECURSIVE s AS (SELECT lang || '-' || CASE WHEN n_chars > 2000 THEN 'long' ELSE 'short' END AS stratum, CAST(doc_id AS VARCHAR) AS id, doc_id FROM documents), z AS (SELECT stratum AS h, count(*) AS n FROM s GROUP BY 1), i AS (SELECT h, n, least(120, sum(n) OVER ()) * sqrt(n) / sum(sqrt(n)) OVER () AS ideal, least(120, sum(n) OVER ()) AS aim FROM z),
+    g0 AS (SELECT h, n, ideal, aim, least(n, greatest(10, CAST(round_even(ideal, 0) AS BIGINT))) AS g FROM i), st(gs, step) AS (SELECT list({h: h, n: n, ideal: ideal, g: g} ORDER BY h), 0 FROM g0 UNION ALL SELECT list_transform(gs, lambda x: {h: x.h, n: x.n, ideal: x.ideal, g: x.g + CASE WHEN x.h = pick.h THEN sgn ELSE 0 END}), step + 1 FROM (
+    SELECT gs, step, sgn, list_sort(list_transform(list_filter(gs, lambda x: CASE WHEN sgn > 0 THEN x.g < x.n ELSE x.g > least(10, x.n) END), lambda x: {d: (x.ideal - x.g) * sgn, h: x.h}))[-1] AS pick FROM (SELECT gs, step, sign((SELECT max(aim) FROM g0) - list_sum(list_transform(gs, lambda x: x.g))) AS sgn FROM st)) WHERE sgn <> 0 AND step < 200),
+    f AS (SELECT unnest(gs) AS x FROM st WHERE step = (SELECT max(step) FROM st)), a AS (SELECT x.h AS h, x.n AS n, CAST(x.g AS BIGINT) AS g FROM f)
+    SELECT doc_id, stratum, n AS stratum_size, g AS stratum_sample, n / g AS weight FROM (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('gold:' || id), id) AS rn FROM s) JOIN a ON h = stratum WHERE rn <= g"""
+)
+def stratified_allocation_sample(spark, sf):
+    return statistics.stratified_sample(_strata(spark, sf), "stratum", "id", 120, 10, "gold").select("doc_id", "stratum", "stratum_size", "stratum_sample", "weight")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cells
-from ..operators import facets, gold, resolve, snapshots, status, works
+from ..operators import entities, facets, gold, markup, resolve, snapshots, status, works
 from .catalogue_d import pick, sql_list, sql_pick
 from .registry import query, t
 
@@ -48,6 +48,69 @@ def licence_block_counts(spark, sf):
     return works.licence_counts(works.block_rows(_pages(spark, sf), "o_custkey", "source"))
 
 
+@query(
+    f"""SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS place, CASE WHEN o_orderkey % 5 = 0 THEN '#fte:imslpaudio' ELSE '#fte:imslpfile' END AS name, 'Sheet Music' AS section, {sql_pick(RIGHTS, 'o_orderkey // 2')} AS copyright, '{{{{date|1 }}}}' AS submitted FROM orders
+    UNION ALL SELECT o_custkey, count(*), '#fte:imslppage', 'Sheet Music', NULL, NULL FROM orders GROUP BY 1"""
+)
+def template_blocks(spark, sf):
+    found = markup.template_blocks(_pages(spark, sf), "o_custkey", "source")
+    cell = lambda k: F.try_element_at("fields", F.lit(k))
+    return found.select("o_custkey", F.col("place").cast("long").alias("place"), "name", "section", cell("Copyright").alias("copyright"), cell("Date Submitted").alias("submitted"))
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN '' ELSE lower(c_mktsegment) || ' and ' || c_nationkey END AS instrumentation, CASE WHEN c_custkey % 4 = 0 OR c_custkey % 3 = 0 THEN '' ELSE CAST(1900 + c_nationkey AS VARCHAR) END AS year FROM customer")
+def geninfo_fields(spark, sf):
+    k, n = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    dated = F.when(k % 3 == 0, "").otherwise(F.concat(F.lit("\n|Year/Date of Composition="), (1900 + F.col("c_nationkey")).cast("string")))
+    page = F.concat(F.lit("{{#fte:imslppage\n|Instrumentation=[[Category:x|"), F.lower("c_mktsegment"), F.lit("]]  {{note}}and <b>"), n, F.lit("</b>"), dated, F.lit("\n}}"))
+    rows = t(spark, sf, "customer").select("c_custkey", F.when(k % 4 == 0, "nothing").otherwise(page).alias("w"))
+    return rows.select("c_custkey", markup.geninfo("w", "Instrumentation").alias("instrumentation"), markup.geninfo("w", "Year/Date of Composition").alias("year"))
+
+
+# Entities: a document per customer, with claims of several ranks and precisions.
+
+_BORN = "SELECT c_custkey, 1800 + c_custkey % 120 AS y, ([7, 8, 9, 11])[CAST(c_custkey % 4 + 1 AS INTEGER)] AS p, 1860 + c_nationkey * 3 AS d, c_custkey % 5 AS kind, c_custkey % 7 <> 0 AS human FROM customer"
+_READ = f"SELECT *, CASE p WHEN 7 THEN (y - 1) // 100 * 100 + 100 WHEN 8 THEN y // 10 * 10 + 9 ELSE y END AS birth, CASE WHEN kind = 4 THEN NULL WHEN kind = 3 THEN d + 1 ELSE d END AS death FROM ({_BORN})"
+
+
+@query(
+    f"""SELECT 'Q' || c_custkey AS id, CAST(birth AS BIGINT) AS birth, CASE p WHEN 7 THEN 'century' WHEN 8 THEN 'decade' WHEN 9 THEN 'year' ELSE 'day' END AS precision, CAST(death AS BIGINT) AS death, CASE WHEN kind = 4 THEN NULL WHEN kind = 2 THEN CAST(d AS VARCHAR) || '-02' ELSE CAST(death AS VARCHAR) END AS death_iso,
+    array_to_string(list_filter([CASE WHEN kind = 1 THEN 'death_rank_conflict' END, CASE WHEN p < 9 THEN 'birth_imprecise' END, CASE WHEN NOT human THEN 'not_human' END, CASE WHEN death - birth < 15 OR death - birth > 110 THEN 'implausible_lifespan' END, CASE WHEN death < birth THEN 'death_before_birth' END], lambda x: x IS NOT NULL), '|') AS flags,
+    CASE WHEN c_custkey % 3 = 0 THEN 'pianist|composer' ELSE 'conductor' END AS occupations FROM ({_READ})"""
+)
+def entity_flatten(spark, sf):
+    k, d = F.col("c_custkey"), 1860 + F.col("c_nationkey") * 3
+
+    def claim(value, rank="normal"):
+        return F.concat(F.lit('{"rank":"' + rank + '","mainsnak":{"snaktype":"value","datavalue":{"value":'), value, F.lit("}}}"))
+
+    def time(year, precision, rank="normal", day="-00-00"):
+        return claim(F.concat(F.lit('{"time":"+'), year.cast("string"), F.lit(day + 'T00:00:00Z","precision":'), precision.cast("string"), F.lit("}")), rank)
+
+    item = lambda q: claim(F.lit('{"id":"' + q + '"}'))
+    precision = F.element_at(F.array(*map(F.lit, (7, 8, 9, 11))), (k % 4 + 1).cast("int"))
+    nine, kind = F.lit(9), k % 5
+    deaths = F.when(kind == 0, time(d, nine)).when(kind == 1, F.concat_ws(",", time(d, nine), time(d + 5, nine))).when(kind == 2, time(d, F.lit(10), day="-02-00")).when(kind == 3, F.concat_ws(",", time(d, nine), time(d + 1, nine, "preferred"))).otherwise(time(d, nine, "deprecated"))
+    work = F.when(k % 3 == 0, F.concat_ws(",", item("Q486748"), item("Q36834"), item("Q486748"))).otherwise(item("Q158852"))
+    kindred = F.when(k % 7 != 0, item("Q5")).otherwise(item("Q6"))
+    json = F.concat(F.lit('{"id":"Q'), k.cast("string"), F.lit('","claims":{"P31":['), kindred, F.lit('],"P106":['), work, F.lit('],"P569":['), time(1800 + k % 120, precision, day="-03-04"), F.lit('],"P570":['), deaths, F.lit("]}}"))
+    e = t(spark, sf, "customer").select(entities.flatten(json).alias("e"))
+    return e.select("e.id", F.col("e.birth.year").alias("birth"), F.col("e.birth.precision").alias("precision"), F.col("e.death.year").alias("death"), F.col("e.death.iso").alias("death_iso"), "e.flags", "e.occupations")
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 6 = 0 THEN CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE f END ELSE y // 10 * 10 + 9 END AS plain, CASE WHEN c_custkey % 4 = 0 THEN CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE y // 10 * 10 + 9 END WHEN c_custkey % 6 = 0 THEN f WHEN f BETWEEN y // 10 * 10 AND y // 10 * 10 + 9 THEN f ELSE y // 10 * 10 + 9 END AS refined FROM (SELECT c_custkey, 1850 + c_custkey % 40 AS y, 1850 + c_nationkey AS f FROM customer)")
+def year_fallbacks(spark, sf):
+    k, y, f = F.col("c_custkey"), 1850 + F.col("c_custkey") % 40, 1850 + F.col("c_nationkey")
+
+    def claim(year, precision, rank):
+        told = F.to_json(F.struct(F.concat(F.lit("+"), year.cast("string"), F.lit("-00-00T00:00:00Z")).alias("time"), F.lit(precision).alias("precision")))
+        return F.struct(F.lit(rank).alias("rank"), F.struct(F.lit("value").alias("snaktype"), F.struct(told.alias("value")).alias("datavalue")).alias("mainsnak"))
+
+    claims = F.array_compact(F.array(F.when(k % 6 != 0, claim(y, 8, "normal")), F.when(k % 4 == 0, claim(f, 9, "deprecated"))))
+    at, old = entities.time_claim(claims), entities.deprecated_years(claims)
+    return t(spark, sf, "customer").select("c_custkey", *(entities.fallback_year(at, old, f, refine).alias(name) for name, refine in (("plain", False), ("refined", True))))
+
+
 # Category refresh.
 
 CATEGORIES = ["For piano", "Sonatas", "Scores in A", "Bach, J./Editor", "Own, Name", "Pages with x", "Nocturnes", "For 2 players"]
