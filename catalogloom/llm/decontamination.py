@@ -89,6 +89,11 @@ class Index:
     at: np.ndarray
     table: np.ndarray
 
+    def __post_init__(self):
+        """The widest band and the least bound of all windows."""
+        self.widest = max((w[0][2] for w in self.windows), default=0) + 1
+        self.least = min((m + 1 - Q * (k + 1) for w in self.windows for _, m, k in w), default=1)
+
     @classmethod
     def build(cls, rows: list[tuple[int, str]], window: int, stride: int, edits: float, short: int) -> Index:
         items, points, windows, found, exact = [], [], [], [], {}
@@ -134,8 +139,7 @@ class Index:
         item, at, doc = self.of[flat], self.at[flat], np.repeat(doc, n)
         diagonal = doc - at
         out: dict[int, tuple] = {}
-        widest = max(w[0][2] for w in self.windows) + 1
-        least = min(m + 1 - Q * (k + 1) for w in self.windows for _, m, k in w)
+        widest, least = self.widest, self.least
         band = np.floor_divide(diagonal, widest)
         # Each hit counts in the band that begins at its own strip and in the one before.
         key = np.concatenate([np.stack([item, band]), np.stack([item, band - 1])], axis=1)
