@@ -97,6 +97,24 @@ def pair_agreement(rows: DataFrame, unit: str, labeller: str, tags: str) -> Data
     return met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.count_if(empty).alias("both_empty"), F.avg(F.when(~empty, share)).alias("mean_jaccard"))
 
 
+def condition_agreement(rows: DataFrame, unit: str, labeller: str, condition: str, tags: str, pair: tuple[str, str] = ("closed", "grounded")) -> DataFrame:
+    """(labeller, n, both_empty, mean_jaccard) of each labeller's answers under two conditions, over the units answered under both."""
+    side = lambda c, p: rows.where(F.col(condition) == c).select(unit, labeller, F.col(tags).alias(p))
+    met = side(pair[0], "a_tags").join(side(pair[1], "b_tags"), [unit, labeller])
+    empty = (F.size("a_tags") == 0) & (F.size("b_tags") == 0)
+    share = jaccard(F.col("a_tags"), F.col("b_tags"))
+    return met.groupBy(labeller).agg(F.count(F.lit(1)).alias("n"), F.count_if(empty).alias("both_empty"), F.avg(F.when(~empty, share)).alias("mean_jaccard"))
+
+
+def period_scores(answers: DataFrame, children: DataFrame, key: str, labeller: str, period: str, child_period: str) -> DataFrame:
+    """(labeller, n, hits, share): answers that are among the most frequent periods of a parent's children (any of several tied)."""
+    counts = children.groupBy(key, child_period).agg(F.count(F.lit(1)).alias("c"))
+    most = counts.groupBy(key).agg(F.max("c").alias("most"))
+    tied = counts.join(most, key).where("c = most").groupBy(key).agg(F.collect_set(child_period).alias("tied"))
+    met = answers.where(text(period) != "").join(tied, key)
+    return met.groupBy(labeller).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.array_contains("tied", F.col(period))).alias("hits")).withColumn("share", F.col("hits") / F.col("n"))
+
+
 def error_rates(df: DataFrame, stratum: str, metrics: dict[str, tuple[Column, Column]]) -> DataFrame:
     """(metric, stratum, eligible, errors, rate): each metric is a pair of conditions, eligible and wrong; all in one pass."""
     each = F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.coalesce(e, F.lit(False)).alias("eligible"), F.coalesce(e & w, F.lit(False)).alias("wrong")) for k, (e, w) in metrics.items())))

@@ -38,7 +38,8 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: str, fields: lis
 
     One aggregation turns the field-value rows to a map per key, one join lays them over the base.
     """
-    laid = overrides.groupBy(F.col("key").cast("string").alias("_key")).agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_o"))
+    once = overrides.groupBy("key", "field").agg(F.max_by("value", F.struct("date", "value")).alias("value"))  # of a field given twice the later stands
+    laid = once.groupBy(F.col("key").cast("string").alias("_key")).agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("_o"))
     joined = base.join(laid, F.col(key).cast("string") == F.col("_key"), "left")
     given = lambda f: F.try_element_at(F.col("_o"), F.lit(f))
     types = dict(base.dtypes)
@@ -54,7 +55,10 @@ def overridden_cells(base: DataFrame, overrides: DataFrame, key: str, fields: li
 
 def carry_forward(new: DataFrame, base: DataFrame, keys: list[str], label: str, src: str, fill: list[str], weak: list[str]) -> DataFrame:
     """``new`` with earlier decisions: a label made by other means than tags wins only over a weak one; empty ``fill`` columns take the base's."""
-    prior = base.select(*keys, *(F.col(c).alias(f"_{c}") for c in (label, src, *fill)))
+    # Keys of the base must be unique, or rows would multiply: the plan fails on one that repeats.
+    held = [F.min(F.struct(*(F.col(c).alias(f"_{c}") for c in (label, src, *fill)))).alias("_held"), F.count(F.lit(1)).alias("_n")]
+    told = F.when(F.col("_n") == 1, F.col("_held")).otherwise(F.raise_error(F.concat(F.lit("the base repeats the key "), F.to_json(F.struct(*keys)))))
+    prior = base.groupBy(*keys).agg(*held).select(*keys, told.alias("_held")).select(*keys, "_held.*")
     joined = new.join(prior, keys, "left")
     decided = (F.col(f"_{src}").startswith("llm") | (F.col(f"_{src}") == "imslp_geninfo")) & ~F.col(f"_{label}").isin("", *weak)
     wins = F.coalesce(decided & (F.col(label).isin("", *weak)) & (F.col(src) != "imslp_tags"), F.lit(False))

@@ -145,3 +145,11 @@ def unique_authority(people: DataFrame, records: DataFrame, name: str, key: str)
     found = people.join(records, name).where("born = birth and (died is null or death is null or died = death)")
     close = found.where((F.coalesce(F.col("died") == F.col("death"), F.lit(False))) | F.col("composes"))
     return close.groupBy(key).agg(F.count_distinct("id").alias("n"), F.min("id").alias("id")).where("n = 1").select(key, "id")
+
+
+def remap_matches(people: DataFrame, works: DataFrame, key: str, before: str, after: str) -> tuple[DataFrame, DataFrame]:
+    """Works of people whose link still holds, and the (transition, n) report of the statuses that changed."""
+    rejected = people.where(~F.col(after).isin(ACTIVE)).select(key)
+    changed = people.where(~F.col(before).eqNullSafe(F.col(after)))
+    report = changed.groupBy(F.concat_ws(" → ", before, after).alias("transition")).agg(F.count(F.lit(1)).alias("n"))
+    return works.join(rejected, key, "left_anti"), report

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cells
-from ..operators import entities, facets, gold, markup, resolve, snapshots, status, works
+from ..operators import audits, entities, facets, gold, markup, resolve, snapshots, status, works
 from .catalogue_d import pick, sql_list, sql_pick
 from .registry import query, t
 
@@ -445,3 +445,42 @@ def remapped_styles(spark, sf):
     people = t(spark, sf, "customer").select("c_custkey", F.when(k % 4 == 0, "").otherwise("old").alias("styles"), pick(["", "wikidata", "llm_consensus", "override"], "c_custkey").alias("src"))
     table = t(spark, sf, "customer").where("c_nationkey < 20").select("c_custkey", F.lit("new").alias("tags"))
     return status.remap_styles(people, table, "c_custkey", "styles", "src", overwrite=True).select("c_custkey", "styles")
+
+
+# Agreement under two conditions, periods with ties, scanned pages, remapped links.
+
+_COND = "SELECT user_id AS u, event_type AS m, c, list_distinct(list_transform(list_filter(t, lambda x: x < 2), lambda x: 't' || x)) AS tags FROM (SELECT user_id, event_type, CASE WHEN event_id % 2 = 0 THEN 'closed' ELSE 'grounded' END AS c, [v % 3, v % 4] AS t, row_number() OVER (PARTITION BY user_id, event_type, event_id % 2 ORDER BY event_id) AS rn FROM (SELECT *, CAST(floor(value) AS INTEGER) AS v FROM events)) WHERE rn = 1"
+
+
+@query(f"""WITH r AS ({_COND}), p AS (SELECT a.m, a.tags AS x, b.tags AS y, len(list_intersect(a.tags, b.tags)) AS i FROM r a JOIN r b ON a.u = b.u AND a.m = b.m WHERE a.c = 'closed' AND b.c = 'grounded')
+    SELECT m AS event_type, count(*) AS n, count(*) FILTER (len(x) = 0 AND len(y) = 0) AS both_empty, round(avg(CASE WHEN len(x) + len(y) > 0 THEN i / (len(x) + len(y) - i) END), 6) AS mean_jaccard FROM p GROUP BY 1""")
+def condition_agreement(spark, sf):
+    v = F.floor("value").cast("int")
+    some = F.array_distinct(F.transform(F.filter(F.array(v % 3, v % 4), lambda x: x < 2), lambda x: F.concat(F.lit("t"), x.cast("string"))))
+    rows = t(spark, sf, "events").select("user_id", "event_type", F.when(F.col("event_id") % 2 == 0, "closed").otherwise("grounded").alias("c"), "event_id", some.alias("tags"))
+    once = rows.groupBy("user_id", "event_type", "c").agg(F.min_by("tags", "event_id").alias("tags"))
+    return audits.condition_agreement(once, "user_id", "event_type", "c", "tags").withColumn("mean_jaccard", F.round("mean_jaccard", 6))
+
+
+@query("""WITH c AS (SELECT o_custkey AS k, o_orderpriority AS p, count(*) AS c FROM orders GROUP BY 1, 2), b AS (SELECT k, p FROM (SELECT *, max(c) OVER (PARTITION BY k) AS m FROM c) WHERE c = m)
+    SELECT seg AS c_mktsegment, count(*) AS n, count(*) FILTER (hit) AS hits, round(count(*) FILTER (hit) / count(*), 6) AS share FROM (SELECT c_mktsegment AS seg, EXISTS (SELECT 1 FROM b WHERE b.k = c_custkey AND b.p = (['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'])[CAST(c_custkey % 5 + 1 AS INTEGER)]) AS hit FROM customer WHERE c_custkey IN (SELECT k FROM b) AND c_custkey % 6 <> 0) GROUP BY 1""")
+def period_scores(spark, sf):
+    said = F.when(F.col("c_custkey") % 6 != 0, pick(["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"], "c_custkey")).otherwise("")
+    answers = t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", said.alias("period"))
+    return audits.period_scores(answers, t(spark, sf, "orders"), "o_custkey", "c_mktsegment", "period", "o_orderpriority").withColumn("share", F.round("share", 6))
+
+
+@query("""SELECT page_id, array_to_string(string_split(regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1), '.')[-2:], '.') AS site, len(l) + (page_id % 4 <> 0)::INT + (page_id % 3 = 0)::INT AS n_links, CAST((page_id % 4 <> 0) AS BIGINT) AS n_score, CASE WHEN page_id % 3 = 0 THEN 'CC-BY-4.0' ELSE '' END AS licences, page_id % 4 <> 0 AND page_id % 3 = 0 AS candidate
+    FROM (SELECT *, regexp_extract_all(html, '<a href="[^"]*">[^<]*</a>') AS l FROM pages)""")
+def page_scan(spark, sf):
+    k = F.col("page_id")
+    more = F.concat(F.col("html"), F.when(k % 4 != 0, '<a href="/x.pdf">score</a>').otherwise(""), F.when(k % 3 == 0, '<a href="https://creativecommons.org/licenses/by/4.0/">free</a>').otherwise(""))
+    out = markup.page_scan(t(spark, sf, "pages").withColumn("html", more), "page_id", "url", "html")
+    return out.select("page_id", "site", "n_links", "n_score", "licences", "candidate")
+
+
+@query("SELECT 'works' AS part, '' AS transition, count(*) AS n FROM orders WHERE o_custkey % 4 <> 0 UNION ALL SELECT 'report', 'matched → rejected_p839', count(*) FILTER (c_custkey % 4 = 0) FROM customer")
+def remapped_matches(spark, sf):
+    people = t(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.lit("matched").alias("a"), F.when(F.col("c_custkey") % 4 == 0, "rejected_p839").otherwise("matched").alias("b"))
+    kept, report = resolve.remap_matches(people, t(spark, sf, "orders"), "o_custkey", "a", "b")
+    return kept.agg(F.count(F.lit(1)).alias("n")).select(F.lit("works").alias("part"), F.lit("").alias("transition"), "n").unionByName(report.select(F.lit("report").alias("part"), "transition", "n"))

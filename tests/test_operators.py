@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogloom.functions import cells
-from catalogloom.operators import facets, forces, ledger, markup, rollups, snapshots, statistics, status
+from catalogloom.operators import facets, forces, ledger, markup, overlay, rollups, snapshots, statistics, status
 from catalogloom.sources import revisions, tables
 from catalogloom.streaming import ledger as intake
 
@@ -171,6 +171,21 @@ def test_allocation_keeps_its_bounds():
     assert statistics.allocate({"a": 9, "b": 9}, 7, 1) == {"a": 3, "b": 4}
 
 
+def test_carry_forward_refuses_a_base_that_repeats_a_key(spark):
+    new = spark.createDataFrame([(1, "", "", "")], "k int, label string, src string, note string")
+    base = spark.createDataFrame([(1, "organ", "llm", "x")], "k int, label string, src string, note string")
+    assert overlay.carry_forward(new, base, ["k"], "label", "src", ["note"], ["other"]).first()["label"] == "organ"
+    with pytest.raises(Exception, match="repeats the key"):
+        overlay.carry_forward(new, base.unionByName(base), ["k"], "label", "src", ["note"], ["other"]).collect()
+
+
+def test_of_a_field_given_twice_the_later_stands(spark):
+    base = spark.createDataFrame([(1, "a")], "k int, v string")
+    rows = [("1", "v", x, "r", "s", "w", d) for x, d in (("new", "2024-02-01"), ("old", "2024-01-01"))]
+    given = spark.createDataFrame(rows, "key string, field string, value string, reason string, source string, reviewer string, date string")
+    assert overlay.apply_overrides(base, given, "k", ["v"]).first()["v"] == "new"
+
+
 def test_redirect_chains(spark):
     hops = spark.createDataFrame([(f"t{i}", f"t{i + 1}") for i in range(40)], "`from` string, `to` string")
     titles = spark.createDataFrame([("t0",), ("t39",), ("z",)], "title string")
