@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.cells import let
-from .status import lifespan_flags
+from .status import lifespan_flags, scope_class
 
 CLAIM = "struct<rank:string,mainsnak:struct<snaktype:string,datavalue:struct<value:string>>>"
 ENTITY = f"struct<id:string,labels:map<string,struct<value:string>>,aliases:map<string,array<struct<value:string>>>,claims:map<string,array<{CLAIM}>>>"
@@ -58,6 +58,9 @@ OCCUPATIONS = {
     "Q21680663": "classical_composer",
     "Q15981151": "jazz_musician",
 }
+#: Occupations of people who compose; the most aliases that a row lists.
+COMPOSING = ["composer", "classical_composer", "film_composer", "songwriter"]
+MAX_ALIASES = 20
 #: IMSLP period names and their slugs.
 PERIODS = {
     "Romantic": "romantic",
@@ -175,8 +178,23 @@ def _flat(e: Column, birth: Column, death: Column) -> Column:
             F.when(~F.array_contains(item_ids(e, "P31"), "Q5"), "not_human"),
         )
     )
-    alias = F.transform(F.try_element_at(e["aliases"], F.lit("en")), lambda a: a["value"])
-    occupations = mapped(item_ids(e, "P106"), OCCUPATIONS)
+    alias = F.slice(F.filter(F.transform(F.try_element_at(e["aliases"], F.lit("en")), lambda a: a["value"]), lambda a: a != ""), 1, MAX_ALIASES)
+    return let(mapped(item_ids(e, "P106"), OCCUPATIONS), lambda work: let(mapped(_style_ids(e), STYLES), lambda styles: _row(e, birth, death, flags, alias, work, styles)))
+
+
+def _style_ids(e: Column) -> Column:
+    return F.concat(item_ids(e, "P135"), item_ids(e, "P136"))
+
+
+def stated_category(e: Column) -> Column:
+    """The first category that an entity states, as a page title; null without one."""
+    bare = F.regexp_replace(F.replace(F.try_element_at(item_ids(e, "P839"), F.lit(1)), F.lit(" "), F.lit("_")), "^Category:", "")
+    return F.concat(F.lit("Category:"), bare)
+
+
+def _row(e: Column, birth: Column, death: Column, flags: Column, alias: Column, occupations: Column, styles: Column) -> Column:
+    scope = scope_class(occupations, styles)
+    idle = F.when(~F.arrays_overlap(occupations, F.array(*map(F.lit, COMPOSING))), F.array(F.lit("no_composer_occupation"))).otherwise(F.array().cast("array<string>"))
     return F.struct(
         e["id"].alias("id"),
         F.try_element_at(e["labels"], F.lit("en"))["value"].alias("name"),
@@ -186,8 +204,16 @@ def _flat(e: Column, birth: Column, death: Column) -> Column:
         F.array_join(item_ids(e, "P27"), "|").alias("citizenship"),
         F.array_join(occupations, "|").alias("occupations"),
         F.array_contains(occupations, "film_composer").alias("is_film_composer"),
-        F.array_join(mapped(F.concat(item_ids(e, "P135"), item_ids(e, "P136")), STYLES), "|").alias("styles"),
-        F.array_join(F.concat(flags, lifespan_flags(birth["year"], death["year"])), "|").alias("flags"),
+        F.array_join(styles, "|").alias("styles"),
+        F.array_join(F.concat(flags, lifespan_flags(birth["year"], death["year"]), idle), "|").alias("flags"),
+        # The precision of the date that decides about rights.
+        F.when(death["year"].isNotNull(), death["precision"]).when(birth["year"].isNotNull(), birth["precision"]).otherwise("unknown").alias("date_precision"),
+        F.when(F.size(styles) > 0, "wikidata").otherwise("").alias("styles_src"),
+        F.array_join(_style_ids(e), "|").alias("style_ids"),
+        scope["scope"].alias("scope"),
+        scope["src"].alias("scope_src"),
+        F.array_join(item_ids(e, "P800"), "|").alias("notable_works"),
+        stated_category(e).alias("category"),
         best_ids(e, "P227", r"^[0-9X-]+$").alias("gnd"),
         best_ids(e, "P214", r"^[1-9][0-9]+$").alias("viaf"),
     )

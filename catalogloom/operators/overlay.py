@@ -47,6 +47,37 @@ def apply_overrides(base: DataFrame, overrides: DataFrame, key: str, fields: lis
     return joined.where(given(DROP).isNull()).select(*columns)
 
 
+def rederive(people: DataFrame, overrides: DataFrame, documents: DataFrame, key: str, derived: dict[str, str], category: str = "category") -> DataFrame:
+    """``people`` under their new keys, the cells that come from an entity taken afresh from the new one; ``action`` tells what became of the link.
+
+    documents: id, e (a flat entity, see ``entities.flatten``), one per id; ``derived`` names the entity's field of each
+    column (of which one is ``flags``). If the new entity states the category that the row has, the link is matched;
+    if it states another, the row is flagged for a check; if none, the link stays. Rows without a re-key, and those whose
+    old key is gone because it was applied before, stay as they are. A new key without a document fails the plan.
+    """
+    moved = overrides.where(F.col("field") == REKEY).groupBy(F.col("key").cast("string").alias("_old")).agg(F.max_by("value", F.struct("date", "value")).alias("_new"))
+    joined = people.join(moved, F.col(key).cast("string") == F.col("_old"), "left").join(documents.select(F.col("id").alias("_id"), F.col("e").alias("_e")), F.col("_new") == F.col("_id"), "left")
+    is_moved = F.col("_new").isNotNull()
+    entity = F.when(is_moved & F.col("_id").isNull(), F.raise_error(F.concat(F.lit("no document of the new key "), F.col("_new")))).otherwise(F.col("_e"))
+    held = joined.withColumn("_e", entity)
+    stated = F.col("_e.category")
+    action = F.when(~is_moved, "").when(stated.isNull(), "p839_none").when(stated == text(category), "matched_p839").otherwise("imslp_needs_recheck")
+    matched, again = action == "matched_p839", action == "imslp_needs_recheck"
+    types = dict(people.dtypes)
+
+    def cell(c: str):
+        if c == key:
+            return F.when(is_moved, F.col("_new").cast(types[c])).otherwise(F.col(c))
+        if c in derived:
+            told = F.col(f"_e.{derived[c]}")
+            told = F.array_join(F.array_compact(F.array(F.nullif(told, F.lit("")), F.when(again, "imslp_needs_recheck"))), "|") if derived[c] == "flags" else told
+            return F.when(is_moved, told.cast(types[c])).otherwise(F.col(c))
+        settled = {"imslp_match_status": "matched", "imslp_match_method": "wikidata_p839"}
+        return F.when(matched, settled[c]).otherwise(F.col(c)) if c in settled else F.col(c)
+
+    return held.select(*(cell(c).alias(c) for c in people.columns), action.alias("action"))
+
+
 def overridden_cells(base: DataFrame, overrides: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field, old, new) of the cells that overrides change."""
     cells = base.select(F.col(key).cast("string").alias("key"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("old")) for f in fields))).alias("c")).select("key", "c.*")

@@ -104,6 +104,33 @@ def authority(df: DataFrame) -> DataFrame:
     )
 
 
+def authority_with_prior(df: DataFrame) -> DataFrame:
+    """Authority id and flags where parts of the evidence may not be at hand; then what was known stays.
+
+    Columns: has_entity; own (the entity's id); has_record, record_death (of the own id's record; death null if it is
+    unknown to the authority); has_search, found, found_death (the search's one match); death; prior_id, prior_flags
+    (arrays). Without the entity the row stays. With an own id whose record is not at hand, a conflict noted for that
+    very id stays. Without a search, an id that a search gave before stays with its flags. A conflict is any difference of the death years.
+    """
+    ours = F.array(F.lit("gnd_from_lobid"), F.lit("gnd_death_conflict"))
+    had = lambda flag: F.array_contains("prior_flags", flag)
+    others = F.array_except("prior_flags", ours)
+    by_own, there = text("own") != "", F.col("has_entity")
+    differs = lambda c: F.coalesce(F.col(c) != F.col("death"), F.lit(False))
+    kept = ~by_own & ~F.col("has_search") & had("gnd_from_lobid") & (text("prior_id") != "")
+    by_search = ~by_own & F.col("has_search") & (text("found") != "")
+    conflict = F.when(by_own & F.col("has_record"), differs("record_death")).when(by_own, (F.col("own") == text("prior_id")) & had("gnd_death_conflict")).when(kept, had("gnd_death_conflict")).otherwise(by_search & differs("found_death"))
+    flags = F.concat(others, F.array_compact(F.array(F.when(kept | by_search, "gnd_from_lobid"), F.when(conflict, "gnd_death_conflict"))))
+    told = ladder([(by_own, "own"), (by_search, "search"), (kept, "prior")], "none")
+    return df.withColumns(
+        {
+            "authority_id": F.when(~there, text("prior_id")).when(by_own, F.col("own")).when(by_search, F.col("found")).when(kept, F.col("prior_id")).otherwise(""),
+            "authority_flags": F.array_join(F.when(there, flags).otherwise(F.col("prior_flags")), "|"),
+            "authority_src": F.when(there, told).otherwise("unread"),
+        }
+    )
+
+
 def match_category(people: DataFrame, existing: DataFrame, name: str, stated: str) -> DataFrame:
     """``people`` with category, match status and method: the stated category if its page exists, else 'Last,_First' if that exists."""
     words = F.filter(F.split(text(name), r"\s+"), lambda w: w != "")

@@ -75,7 +75,7 @@ _READ = f"SELECT *, CASE p WHEN 7 THEN (y - 1) // 100 * 100 + 100 WHEN 8 THEN y
 
 @query(
     f"""SELECT 'Q' || c_custkey AS id, CAST(birth AS BIGINT) AS birth, CASE p WHEN 7 THEN 'century' WHEN 8 THEN 'decade' WHEN 9 THEN 'year' ELSE 'day' END AS precision, CAST(death AS BIGINT) AS death, CASE WHEN kind = 4 THEN NULL WHEN kind = 2 THEN CAST(d AS VARCHAR) || '-02' ELSE CAST(death AS VARCHAR) END AS death_iso,
-    array_to_string(list_filter([CASE WHEN kind = 1 THEN 'death_rank_conflict' END, CASE WHEN p < 9 THEN 'birth_imprecise' END, CASE WHEN NOT human THEN 'not_human' END, CASE WHEN death - birth < 15 OR death - birth > 110 THEN 'implausible_lifespan' END, CASE WHEN death < birth THEN 'death_before_birth' END], lambda x: x IS NOT NULL), '|') AS flags,
+    array_to_string(list_filter([CASE WHEN kind = 1 THEN 'death_rank_conflict' END, CASE WHEN p < 9 THEN 'birth_imprecise' END, CASE WHEN NOT human THEN 'not_human' END, CASE WHEN death - birth < 15 OR death - birth > 110 THEN 'implausible_lifespan' END, CASE WHEN death < birth THEN 'death_before_birth' END, CASE WHEN c_custkey % 3 <> 0 THEN 'no_composer_occupation' END], lambda x: x IS NOT NULL), '|') AS flags,
     CASE WHEN c_custkey % 3 = 0 THEN 'pianist|composer' ELSE 'conductor' END AS occupations FROM ({_READ})"""
 )
 def entity_flatten(spark, sf):
