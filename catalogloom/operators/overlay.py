@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import text
+from ..functions.cells import join_flags, split_cell, text
+from .rollups import present_counts
+from .status import term
 
 META = ["reason", "source", "reviewer", "date"]
 REKEY, DROP = "rekey", "_drop"
@@ -53,15 +55,16 @@ def rederive(people: DataFrame, overrides: DataFrame, documents: DataFrame, key:
     documents: id, e (a flat entity, see ``entities.flatten``), one per id; ``derived`` names the entity's field of each
     column (of which one is ``flags``). If the new entity states the category that the row has, the link is matched;
     if it states another, the row is flagged for a check; if none, the link stays. Rows without a re-key, and those whose
-    old key is gone because it was applied before, stay as they are. A new key without a document fails the plan.
+    old key is gone because it was applied before, stay as they are. A new key that names an entity without a document fails
+    the plan; one that names none changes the key alone (action ``rekeyed``).
     """
     moved = overrides.where(F.col("field") == REKEY).groupBy(F.col("key").cast("string").alias("_old")).agg(F.max_by("value", F.struct("date", "value")).alias("_new"))
     joined = people.join(moved, F.col(key).cast("string") == F.col("_old"), "left").join(documents.select(F.col("id").alias("_id"), F.col("e").alias("_e")), F.col("_new") == F.col("_id"), "left")
-    is_moved = F.col("_new").isNotNull()
-    entity = F.when(is_moved & F.col("_id").isNull(), F.raise_error(F.concat(F.lit("no document of the new key "), F.col("_new")))).otherwise(F.col("_e"))
+    is_moved, is_named = F.col("_new").isNotNull(), F.coalesce(F.col("_new").rlike(r"^Q\d+$"), F.lit(False))
+    entity = F.when(is_named & F.col("_id").isNull(), F.raise_error(F.concat(F.lit("no document of the new key "), F.col("_new")))).otherwise(F.col("_e"))
     held = joined.withColumn("_e", entity)
     stated = F.col("_e.category")
-    action = F.when(~is_moved, "").when(stated.isNull(), "p839_none").when(stated == text(category), "matched_p839").otherwise("imslp_needs_recheck")
+    action = F.when(~is_moved, "").when(~is_named, "rekeyed").when(stated.isNull(), "p839_none").when(stated == text(category), "matched_p839").otherwise("imslp_needs_recheck")
     matched, again = action == "matched_p839", action == "imslp_needs_recheck"
     types = dict(people.dtypes)
 
@@ -71,13 +74,49 @@ def rederive(people: DataFrame, overrides: DataFrame, documents: DataFrame, key:
         if c in derived:
             told = F.col(f"_e.{derived[c]}")
             told = F.array_join(F.array_compact(F.array(F.nullif(told, F.lit("")), F.when(again, "imslp_needs_recheck"))), "|") if derived[c] == "flags" else told
-            return F.when(is_moved, told.cast(types[c])).otherwise(F.col(c))
+            return F.when(is_named, told.cast(types[c])).otherwise(F.col(c))
         settled = {"imslp_match_status": "matched", "imslp_match_method": "wikidata_p839"}
         return F.when(matched, settled[c]).otherwise(F.col(c)) if c in settled else F.col(c)
 
     return held.select(*(cell(c).alias(c) for c in people.columns), action.alias("action"))
 
 
+def apply_in_order(people: DataFrame, works: DataFrame, overrides: DataFrame, documents: DataFrame, key: str, fields: list[str], derived: dict[str, str], reference: int, category: str, vocabulary: list[str]) -> tuple[DataFrame, DataFrame]:
+    """All overrides of a file in their order: new keys, cells taken afresh from the new key's entity, stated values (still
+    addressed by the old key), drops; then status, flag and rollups of the rows that were touched.
+
+    people hold ``death_year``, ``qa_flags``, ``eu_pd_status``, ``eu_pd_year`` and the rollups ``n_works``, ``present``; works
+    hold ``key`` and ``category``. Rows without overrides, and works of people without, stay as they are. A re-key
+    whose old key is gone was applied before: its values and drops still go to the new key. Overrides of unknown keys do nothing.
+    """
+    types, old = dict(people.dtypes), F.col("key").cast("string")
+    moves = overrides.where(F.col("field") == REKEY).groupBy(old.alias("key")).agg(F.max_by("value", F.struct("date", "value")).alias("_to"))
+    placed = overrides.withColumn("key", old).join(moves, "key", "left").withColumn("key", F.coalesce("_to", "key")).drop("_to")
+    dropped = placed.where(F.col("field") == DROP).select(F.col("key").cast(types[key]).alias(key)).distinct()
+    values = placed.where(~F.col("field").isin(REKEY, DROP))
+    touched = placed.select(F.col("key").cast(types[key]).alias(key)).distinct().withColumn("_touched", F.lit(True))
+
+    moved = rederive(people, overrides, documents, key, derived).drop("action")
+    laid = apply_overrides(moved, values, key, fields).join(dropped, key, "left_anti")
+    to = moves.select(F.col("key").cast(types[key]).alias(key), F.col("_to").cast(types[key]))
+    following = works.join(to, key, "left").withColumn(key, F.coalesce("_to", key)).drop("_to").select(*works.columns).join(dropped, key, "left_anti")
+
+    # Rollups are counted for touched rows alone; few keys are touched, so the join that finds their works is small.
+    marked = laid.join(touched, key, "left").withColumn("_touched", F.coalesce("_touched", F.lit(False)))
+    some = following.join(touched.select(key), key, "left_semi")
+    rolled = present_counts(marked.where("_touched").select(key), some, key, key, category, vocabulary).select(key, F.col("present").alias("_present"), F.col("total").alias("_total"))
+    t = term(F.col("death_year"), reference)
+    fresh = {
+        "eu_pd_status": t["status"],
+        "eu_pd_year": t["year"],
+        "qa_flags": join_flags(F.concat(split_cell("qa_flags"), F.array(F.lit("manual_override")))),
+        "n_works": F.col("_total"),
+        "present": F.col("_present"),
+    }
+    whole = marked.join(rolled, key, "left")
+    return whole.select(*(F.when(F.col("_touched"), fresh[c].cast(types[c])).otherwise(F.col(c)).alias(c) if c in fresh else F.col(c) for c in people.columns)), following
+
+
 def overridden_cells(base: DataFrame, overrides: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """(key, field, old, new) of the cells that overrides change."""
     cells = base.select(F.col(key).cast("string").alias("key"), F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("old")) for f in fields))).alias("c")).select("key", "c.*")

@@ -1,11 +1,12 @@
-"""Queries of homepages: decoding, owners of addresses, evidence of licences, scores, targets and scans, over whole tables."""
+"""Queries of homepages (decoding, owners, evidence, scores, targets, scans), person templates and whole chains of overrides, over whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import homepages
+from ..operators import homepages, overlay, persons
 from .catalogue_d import pick, sql_list, sql_pick
+from .catalogue_f import WORKS, _entities
 from .registry import query, t
 
 # Each page's bytes are made in one of four encodings, told by a mark, the header, the page itself or nothing.
@@ -124,3 +125,55 @@ def stated_homepages(spark, sf):
     listed = F.concat_ws(",", claim(F.lit("http://old.org"), "deprecated"), claim(pick(SITES, "c_custkey"), "normal"), claim(pick(SITES, "c_custkey"), "preferred"), F.when(k % 3 != 0, claim(pick(SITES, "c_custkey + 1"), "normal")))
     entity = F.from_json(F.concat(F.lit('{"claims":{"P856":['), listed, F.lit("]}}")), ENTITY)
     return homepages.stated_homepages(t(spark, sf, "customer").select(k, entity.alias("e")), "c_custkey")
+
+
+# Person templates: years, links and names that the key varies.
+
+
+@query(
+    """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'none' WHEN 1 THEN 'person' WHEN 2 THEN 'imslpcomposer' ELSE 'performer' END AS template_kind, CASE WHEN p_partkey % 4 <> 0 AND p_partkey % 3 <> 0 THEN CAST(1700 + p_partkey % 200 AS INTEGER) END AS born_year,
+    CASE WHEN p_partkey % 4 = 0 OR p_partkey % 7 = 0 THEN '' ELSE replace(p_name, ' ', '_') END AS wikipedia_title, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE array_to_string([p_type, p_brand, p_type || ' ' || p_brand], ';') END AS names FROM part"""
+)
+def person_pages(spark, sf):
+    k, name = F.col("p_partkey"), F.regexp_replace("p_name", " ", "_")
+    kind = F.when(k % 4 == 0, "{{#fte:place").when(k % 4 == 1, "{{#fte:Person").when(k % 4 == 2, "{{ #imslpcomposer:").otherwise("{{#FTE: performer")
+    born = F.concat(F.when(k % 3 == 0, "c. ").otherwise(" "), (1700 + k % 200).cast("string"))
+    link = F.when(k % 7 == 0, F.concat(F.lit("[[w:de:"), name, F.lit("]]"))).when(k % 2 == 0, F.concat(F.lit("[[wikipedia:en:"), name, F.lit("|it]]"))).when(k % 5 == 0, F.concat(F.lit("{{wp|"), name, F.lit("|it}}"))).otherwise(F.concat(F.lit("[https://en.wikipedia.org/wiki/"), name, F.lit(" it]")))
+    names = F.concat(F.lit("{{AltNames|"), F.col("p_type"), F.lit("|[["), F.lit("x|"), F.col("p_brand"), F.lit("]]|{{FN|"), F.col("p_type"), F.lit("| "), F.col("p_brand"), F.lit("}}}}"))
+    page = F.concat(F.lit("{{a|Born Year=1}}<!-- {{#fte:person|Born Year=2}} -->"), kind, F.lit("\n|Born Year="), born, F.lit("\n|Biography Link="), link, F.lit("|Alternate Names="), names, F.lit("|Note={{x|Born Year=3}}}} |Born Year=4"))
+    out = persons.person_pages(t(spark, sf, "part").select("p_partkey", page.alias("page")), "p_partkey", "page")
+    return out.select("p_partkey", "template_kind", "born_year", "wikipedia_title", F.array_join("alternate_names", ";").alias("names"))
+
+
+# Overrides of every kind over all customers and their orders.
+
+_MOVED, _SET, _DIED, _GONE = "c_custkey % 6 = 0", "c_custkey % 4 = 0", "c_custkey % 10 = 1", "c_custkey % 9 = 0"
+_TOUCHED = f"({_MOVED} OR {_SET} OR {_DIED})"
+_NEW = f"'Q' || (c_custkey + CASE WHEN {_MOVED} THEN 1000000 ELSE 0 END)"
+
+
+def _overridden(spark, sf):
+    k = F.col("c_custkey")
+    q = lambda c: F.concat(F.lit("Q"), c)
+    customers, none = t(spark, sf, "customer"), F.lit("")
+    people = customers.select(q(k).alias("id"), F.lit("old").alias("occupations"), F.lit("1960").alias("death_year"), F.lit("f").alias("qa_flags"), F.concat(F.lit("Category:C"), k, F.lit(",_A")).alias("category"), F.lit("x").alias("eu_pd_status"), F.lit(0).alias("eu_pd_year"), F.lit(-1).cast("long").alias("n_works"), none.alias("present"))
+    works = t(spark, sf, "orders").select(q(F.col("o_custkey")).alias("id"), F.col("o_orderstatus").alias("category"))
+    cell = lambda when, field, value: F.when(F.expr(when), F.struct(F.lit(field).alias("field"), value.alias("value")))
+    given = F.array_compact(F.array(cell(_MOVED, overlay.REKEY, q(k + 1000000)), cell(_SET, "occupations", F.lit("set")), cell(_DIED, "death_year", F.lit("1900")), cell(_GONE, overlay.DROP, none)))
+    overrides = customers.select(q(k).alias("key"), F.explode(given).alias("o")).select("key", "o.*", F.lit("2024-01-01").alias("date"))
+    documents = _entities(spark, sf).select(q(F.substring("id", 2, 20).cast("long") + 1000000).alias("id"), "e")
+    return overlay.apply_in_order(people, works, overrides, documents, "id", ["occupations", "death_year"], {"occupations": "occupations", "qa_flags": "flags"}, 2026, "category", ["F", "O", "P"])
+
+
+@query(
+    f"""WITH w AS (SELECT o_custkey AS c_custkey, count(*) AS n, string_agg(DISTINCT o_orderstatus, '|' ORDER BY o_orderstatus) AS s FROM orders GROUP BY 1)
+    SELECT {_NEW} AS id, CASE WHEN {_SET} THEN 'set' WHEN {_MOVED} THEN {sql_pick(WORKS, 'c_custkey')} ELSE 'old' END AS occupations, CASE WHEN {_DIED} THEN '1900' ELSE '1960' END AS death_year, CASE WHEN NOT {_TOUCHED} THEN 'f' WHEN {_MOVED} THEN 'manual_override' ELSE 'manual_override|f' END AS qa_flags, 'Category:C' || c_custkey || ',_A' AS category,
+    CASE WHEN NOT {_TOUCHED} THEN 'x' WHEN {_DIED} THEN 'pd' ELSE 'not_pd' END AS eu_pd_status, CAST(CASE WHEN NOT {_TOUCHED} THEN 0 WHEN {_DIED} THEN 1971 ELSE 2031 END AS INTEGER) AS eu_pd_year, CASE WHEN {_TOUCHED} THEN coalesce(n, 0) ELSE -1 END AS n_works, CASE WHEN {_TOUCHED} THEN coalesce(s, '') ELSE '' END AS present FROM customer LEFT JOIN w USING (c_custkey) WHERE NOT {_GONE}"""
+)
+def overrides_in_order(spark, sf):
+    return _overridden(spark, sf)[0]
+
+
+@query(f"SELECT {_NEW} AS id, count(*) AS n FROM (SELECT o_custkey AS c_custkey FROM orders) WHERE NOT {_GONE} GROUP BY 1")
+def works_after_overrides(spark, sf):
+    return _overridden(spark, sf)[1].groupBy("id").agg(F.count(F.lit(1)).alias("n"))
