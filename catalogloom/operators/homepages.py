@@ -170,10 +170,25 @@ def plain_text(html) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]+>", " "), r"\s+", " "))
 
 
-def _of_window(window: Column) -> Column:
-    """The licence told from where wording begins to the next such place; what follows may only add a version."""
-    own = spdx_from_text(F.regexp_replace(window, rf"(?is)(?<=.){TRIGGER}.*$", ""))
-    return let(F.struct(own.alias("own"), spdx_from_text(window).alias("full")), lambda s: F.when(~s["own"].rlike(r"\d") & (s["full"] != "") & s["full"].startswith(s["own"]), s["full"]).otherwise(s["own"]))
+def _statements(words: Column) -> Column:
+    """Each place where wording of a licence begins: ``before`` (up to 40 characters), ``own`` (to the next such place) and ``full`` (160 characters on).
+
+    The text is cut at those places once; nothing is searched from every position.
+    """
+    pieces = F.split(F.regexp_replace(words, rf"(?i)({TRIGGER})", "\u0001$1"), "\u0001")
+
+    def at(piece, i):
+        most = F.char_length(F.regexp_extract(piece, rf"(?i)^{TRIGGER}", 0)) + 160
+        on = F.array_join(F.slice(pieces, i + 1, F.lit(60)), "")  # 160 characters hold no more than 60 pieces of three or more
+        return F.struct(F.right(F.element_at(pieces, F.greatest(i, F.lit(1))), F.lit(40)).alias("before"), F.left(piece, most).alias("own"), F.left(on, most).alias("full"))
+
+    return F.when(F.size(pieces) > 1, F.filter(F.transform(pieces, lambda piece, i: F.when(i > 0, at(piece, i))), lambda x: x.isNotNull())).otherwise(F.array().cast("array<struct<before:string,own:string,full:string>>"))
+
+
+def _told(statement: Column) -> Column:
+    """The licence of a statement; what follows its own part may only add a version."""
+    both = F.struct(spdx_from_text(statement["own"]).alias("own"), spdx_from_text(statement["full"]).alias("full"))
+    return let(both, lambda s: F.when(~s["own"].rlike(r"\d") & (s["full"] != "") & s["full"].startswith(s["own"]), s["full"]).otherwise(s["own"]))
 
 
 def evidence(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
@@ -186,20 +201,16 @@ def evidence(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     escaped = lambda u: F.replace(F.replace(u, F.lit("|"), F.lit("%7C")), F.lit("="), F.lit("%3D"))
 
     def link(tag):
-        to = absolute(url, _attribute(tag, "href"))
         licence = F.arrays_overlap(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), F.array(F.lit("license"), F.lit("licence")))
-        return struct(spdx_from_url(to), F.when(licence, "rel_license").otherwise("cc_link"), escaped(to))
+        return let(absolute(url, _attribute(tag, "href")), lambda to: struct(spdx_from_url(to), F.when(licence, "rel_license").otherwise("cc_link"), escaped(to)))
 
     def badge(tag):
-        src = absolute(url, _attribute(tag, "src"))
-        return struct(spdx_from_url(src), F.lit("cc_badge"), escaped(src))
-
-    # Group 1: up to 40 characters before, 2: the wording, 3: what follows it, which the next match may share.
-    around = rf"(?is)(.{{0,40}}?)({TRIGGER})(?=(.{{0,160}}))"
-    words = plain_text(html)
-    parts = F.arrays_zip(*(F.regexp_extract_all(words, F.lit(around), F.lit(g)).alias(n) for g, n in ((1, "before"), (2, "said"), (3, "after"))))
-    window = lambda p: F.concat(p["said"], p["after"])
-    worded = F.transform(parts, lambda p: struct(_of_window(window(p)), F.lit("cc_text"), F.translate(F.substring(F.trim(F.concat(p["before"], window(p))), 1, 200), "|=", "  ")))
+        return let(absolute(url, _attribute(tag, "src")), lambda src: struct(spdx_from_url(src), F.lit("cc_badge"), escaped(src)))
+
+    def wording(s):
+        return struct(_told(s), F.lit("cc_text"), F.translate(F.substring(F.trim(F.concat(s["before"], s["full"])), 1, 200), "|=", "  "))
+
+    worded = let(plain_text(html), lambda words: F.transform(_statements(words), wording))
     links, badges = F.transform(tags(r"(?i)<[a-z][^>]*\shref\s*=[^>]*>"), link), F.transform(tags(r"(?i)<img\b[^>]*\ssrc\s*=[^>]*>"), badge)
     found = F.array_distinct(F.filter(F.concat(links, badges, worded), lambda e: e["spdx"] != ""))
     return pages.select(key, F.posexplode(found).alias("place", "e")).select(key, "place", "e.*")
