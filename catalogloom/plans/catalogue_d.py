@@ -141,7 +141,7 @@ def force_from_categories(spark, sf):
 def rule_ladder_with_provenance(spark, sf):
     held = F.col("p_partkey") % 3 == 0
     found = forces.with_provenance(_cell(), _title(), F.lit(""), F.when(held, "orchestral").otherwise(""), F.when(held, "llm").otherwise(""))
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
+    return t(spark, sf, "part").select("p_partkey", found.alias("found")).select("p_partkey", "found.family", "found.src")
 
 
 _FORM_RULES = " ".join(
