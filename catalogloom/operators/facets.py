@@ -61,15 +61,52 @@ def facet_counts(df: DataFrame, facets: dict[str, Column]) -> DataFrame:
     return df.select(_each(facets).alias("x")).groupBy("x.facet", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def manifest(parents: DataFrame, children: DataFrame, facets: dict[str, Column], filled: list[str]) -> DataFrame:
-    """(section, name, value, n): row counts, facet values and cells filled, a scan of each table."""
-    counted = [(df.agg(F.count(F.lit(1)).alias("n")), name) for df, name in ((parents, "parents"), (children, "children"))]
-    out = facet_counts(parents, facets).select(F.lit("facet").alias("section"), F.col("facet").alias("name"), "value", "n")
-    for df, name in counted:
-        out = out.unionByName(df.select(F.lit("count").alias("section"), F.lit(name).alias("name"), F.lit("").alias("value"), "n"))
-    cells = F.explode(F.array_compact(F.array(*(F.when(text(c) != "", F.lit(c)) for c in filled))))
-    cover = parents.select(cells.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    return out.unionByName(cover.select(F.lit("filled").alias("section"), "name", F.lit("").alias("value"), "n"))
+def manifest(parents: DataFrame, children: DataFrame, facets: dict[str, Column], filled: list[str], covered: dict[str, Column] | None = None, window: Column | None = None, child_facets: dict[str, Column] | None = None) -> DataFrame:
+    """(section, name, value, n): row counts, facet values, cells filled, rows that fulfil each condition of ``covered``, and how often each ``window`` stands; one scan of each table.
+
+    Every row gives an entry for each of its facts, which are counted together with a map-side combine. A condition
+    that no row fulfils has no entry.
+    """
+
+    def entries(count: str, values: dict[str, Column], flags: dict[str, dict[str, Column]]) -> Column:
+        fact = lambda section, name, value: F.struct(F.lit(section).alias("section"), F.lit(name).alias("name"), value.cast("string").alias("value"))
+        one = [fact("count", count, F.lit("")), *(F.when(held, fact(section, name, F.lit(""))) for section, of in flags.items() for name, held in of.items())]
+        named = lambda section, name: lambda x: fact(section, name, x)
+        many = [F.filter(F.transform(v, named(*of)), lambda f: F.coalesce(f["value"], F.lit("")) != "") for of, v in values.items()]
+        return F.explode(F.concat(F.array_compact(F.array(*one)), *many))
+
+    values = {("facet", name): v for name, v in facets.items()}
+    if window is not None:
+        values[("window", "")] = F.array(window)
+    own = parents.select(entries("parents", values, {"filled": {c: text(c) != "" for c in filled}, "covered": covered or {}}).alias("x"))
+    theirs = children.select(entries("children", {("child_facet", name): v for name, v in (child_facets or {}).items()}, {}).alias("x"))
+    return own.unionByName(theirs).groupBy("x.section", "x.name", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def window_label(entries: DataFrame) -> str:
+    """A short label of the window that most parents have (the least of several): its year if both its ends share one; '' without any."""
+    most = entries.where("section = 'window'").orderBy(F.desc("n"), "value").select("value").head()
+    if not most:
+        return ""
+    years = {part.strip()[:4] for part in most[0].split("..") if part.strip()[:4].isdigit()}
+    return years.pop() if len(years) == 1 else most[0]
+
+
+def write_export(exported: DataFrame, parents: DataFrame, entries: DataFrame, path: str, key: str) -> None:
+    """Three folders of JSON lines under ``path``, as they are read back by ``read_export``: parents, children by parent, manifest entries; refuses to overwrite."""
+    parents.write.mode("errorifexists").json(f"{path}/parents")
+    exported.select(key, "children").write.mode("errorifexists").json(f"{path}/children_by_parent")
+    entries.write.mode("errorifexists").json(f"{path}/manifest")
+
+
+def read_export(spark, path: str, key: str, schema: str) -> DataFrame:
+    """(key, fields of ``schema``): the children of an export as flat rows; a parent without any has none."""
+    rows = spark.read.schema(f"{key} string, children string").json(f"{path}/children_by_parent")
+    return flat_children(rows, key, schema)
+
+
+def flat_children(exported: DataFrame, key: str, schema: str) -> DataFrame:
+    return exported.select(key, F.explode(F.from_json("children", f"array<struct<{schema}>>")).alias("c")).select(key, "c.*")
 
 
 def vote_rules(labellers: list[str], pair: tuple[str, str]) -> dict[str, tuple[list[str], int]]:

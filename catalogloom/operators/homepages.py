@@ -1,6 +1,7 @@
 """Pages of people's own sites: which to read, how they are decoded, and what they tell of licences and scores.
 
-Addresses, tags and wording are read by Catalyst expressions; only the decoding of foreign charsets runs as Arrow batches.
+Pages are read once by the tokenizer of ``functions.html_tokens``; evidence, links to scores, links to follow and names are
+Catalyst expressions over its tags and words. The decoding of foreign charsets runs as Arrow batches too.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.cells import let, text
+from ..functions.html_tokens import read_pages
 from ..functions.licences import spdx_from_text, spdx_from_url
 from .entities import CLAIM, claims_of
 from .markup import host, site
@@ -25,11 +27,22 @@ DENIED_LABELS = ["amazon", "ebay"]
 #: Kinds of scores by extension.
 SCORE_KINDS = {"pdf": "pdf", "mid": "midi", "midi": "midi", "musicxml": "musicxml", "mxl": "musicxml", "mei": "mei", "ly": "lilypond", "mscz": "musescore", "mscx": "musescore", "sib": "other_notation", "mus": "other_notation", "dorico": "other_notation", "abc": "other_notation"}
 KINDS = ["pdf", "midi", "musicxml", "mei", "lilypond", "musescore", "other_notation"]
-#: Words that make an '.xml' a score, and names that never are one.
-XML_WORDS = r"(?i)musicxml|\bscore\b|partitur|partition|partitura"
+#: What makes an '.xml' a score if its name or label holds it (the first as a word of its own), and names that never are one.
+XML_WORD = "score"
+XML_PARTS = ["musicxml", "partitur", "partition", "partitura"]
 XML_FEEDS = ["feed", "sitemap"]
-#: Wording at which a statement of a licence begins.
-TRIGGER = r"(?:creative\s+commons|\bcc[\s-]+by\b|\bcc0\b|public\s+domain\s+mark)"
+#: Wording at which a statement of a licence begins; the words of 'cc by' may be joined by hyphens.
+STATEMENTS = ["creative commons", "public domain mark", "cc by", "cc0"]
+#: Words of links worth following.
+HOP_WORDS = ["score", "scores", "sheet music", "sheetmusic", "works", "work", "compositions", "composition", "catalogue", "catalog", "download", "downloads", "pdf", "license", "licence", "werke", "werk", "noten", "partitur", "partituren", "katalog", "lizenz", "œuvres", "oeuvres", "œuvre", "oeuvre", "partitions", "partition", "opere", "opera", "partiture", "partitura", "catalogo", "licenza", "obras", "obra", "partituras", "catálogo", "descargas", "descarga", "licencia", "licença", "werken", "partituur", "catalogus", "licentie", "utwory", "utwór", "nuty", "partytura", "licencja", "skladby", "skladba", "noty", "verk", "verker", "værker", "noter", "licens", "lisens", "teokset", "teos", "nuotit", "nuotti", "luettelo", "lisenssi", "művek", "muvek", "mű", "kották", "kottak", "kotta", "katalógus", "katalogus", "licenc"]
+#: Relations and words of a link that leads to a licence.
+LICENCE_RELATIONS = ["license", "licence", "copyright"]
+LICENCE_WORDS = ["license", "licence", "copyright", "lizenz", "licenza", "licencia", "licença", "licentie", "licencja", "lisenssi", "licens", "lisens", "licenc"]
+#: Heads of addresses that no page has, and that no link to follow has.
+NO_PAGE = ["#", "mailto:", "javascript:"]
+NO_HOP = [*NO_PAGE, "tel:"]
+#: The columns of a scanned site's row.
+SCAN_COLUMNS = ["composer_id", "name_display", "birth_year", "death_year", "eu_pd_status", "homepage_url", "final_url", "fetch_status", "pages_fetched", "licences", "licence_evidence", "n_pdf", "n_midi", "n_musicxml", "n_mei", "n_lilypond", "n_musescore", "n_other_notation", "score_pages", "hop_urls", "candidate", "source", "search_rank", "search_title", "name_on_page"]
 #: Types of a page.
 PAGE_TYPES = ["text/html", "application/xhtml+xml"]
 #: Marks at the head of a file, in hex, with their charsets.
@@ -158,16 +171,29 @@ def absolute(base, href) -> Column:
 # What a page tells.
 
 
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def _attribute(tag: Column, name: str) -> Column:
-    """Value of a tag's attribute, quoted or bare; '' if it has none."""
-    told = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", 1)
-    return F.trim(F.replace(F.regexp_replace(told, "^[\"']|[\"']$", ""), F.lit("&amp;"), F.lit("&")))
+    """Value of a tag's attribute without white space around it; '' if it has none."""
+    return _stripped(F.coalesce(tag["attributes"][name], F.lit("")))
+
+
+def _relations(tag: Column) -> Column:
+    return F.split(F.lower(_attribute(tag, "rel")), r"\s+")
+
 
+def _starts(c: Column, heads: list[str]) -> Column:
+    found = F.lit(False)
+    for head in heads:
+        found = found | c.startswith(head)
+    return found
 
-def plain_text(html) -> Column:
-    """A page's text without tags, scripts and styles, spaces in a row as one."""
-    bare = F.regexp_replace(text(html), r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " ")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?s)<[^>]+>", " "), r"\s+", " "))
+
+def _trigger() -> str:
+    joined = [r"\s+".join(x.split()) if x != "cc by" else r"[\s-]+".join(x.split()) for x in STATEMENTS]
+    return "|".join(rf"\b{x}\b" if x.startswith("cc") else x for x in joined)
 
 
 def _statements(words: Column) -> Column:
@@ -175,12 +201,14 @@ def _statements(words: Column) -> Column:
 
     The text is cut at those places once; nothing is searched from every position.
     """
-    pieces = F.split(F.regexp_replace(words, rf"(?i)({TRIGGER})", "\u0001$1"), "\u0001")
+    trigger = _trigger()
+    pieces = F.split(F.regexp_replace(words, rf"(?i)({trigger})", "\u0001$1"), "\u0001")
 
     def at(piece, i):
-        most = F.char_length(F.regexp_extract(piece, rf"(?i)^{TRIGGER}", 0)) + 160
+        most = F.char_length(F.regexp_extract(piece, rf"(?i)^(?:{trigger})", 0)) + 160
         on = F.array_join(F.slice(pieces, i + 1, F.lit(60)), "")  # 160 characters hold no more than 60 pieces of three or more
-        return F.struct(F.right(F.element_at(pieces, F.greatest(i, F.lit(1))), F.lit(40)).alias("before"), F.left(piece, most).alias("own"), F.left(on, most).alias("full"))
+        back = F.array_join(F.slice(pieces, F.greatest(i - 13, F.lit(1)), F.least(i, F.lit(14))), "")  # and 40 no more than 14
+        return F.struct(F.right(back, F.lit(40)).alias("before"), F.left(piece, most).alias("own"), F.left(on, most).alias("full"))
 
     return F.when(F.size(pieces) > 1, F.filter(F.transform(pieces, lambda piece, i: F.when(i > 0, at(piece, i))), lambda x: x.isNotNull())).otherwise(F.array().cast("array<struct<before:string,own:string,full:string>>"))
 
@@ -191,29 +219,37 @@ def _told(statement: Column) -> Column:
     return let(both, lambda s: F.when(~s["own"].rlike(r"\d") & (s["full"] != "") & s["full"].startswith(s["own"]), s["full"]).otherwise(s["own"]))
 
 
-def evidence(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
-    """(key, place, spdx, kind, detail): each thing that tells a licence on a page, once; kinds ``rel_license``, ``cc_link``, ``cc_badge``, ``cc_text``.
+def _escaped(address: Column) -> Column:
+    return F.replace(F.replace(address, F.lit("|"), F.lit("%7C")), F.lit("="), F.lit("%3D"))
 
-    ``place`` orders links before badges before wording, each as on the page. Pages that tell none have no row.
-    """
-    tags = lambda p: F.regexp_extract_all(text(html), F.lit(p), F.lit(0))
-    struct = lambda spdx, kind, detail: F.struct(spdx.alias("spdx"), kind.alias("kind"), detail.alias("detail"))
-    escaped = lambda u: F.replace(F.replace(u, F.lit("|"), F.lit("%7C")), F.lit("="), F.lit("%3D"))
+
+def told(url, tags, words) -> Column:
+    """array<struct<spdx, kind, detail>>: each thing that tells a licence on a page, once: links, then badges, then wording, each as on the page."""
+    tags, found = F.col(tags), lambda spdx, kind, detail: F.struct(spdx.alias("spdx"), kind.alias("kind"), detail.alias("detail"))
 
     def link(tag):
-        licence = F.arrays_overlap(F.split(F.lower(_attribute(tag, "rel")), r"\s+"), F.array(F.lit("license"), F.lit("licence")))
-        return let(absolute(url, _attribute(tag, "href")), lambda to: struct(spdx_from_url(to), F.when(licence, "rel_license").otherwise("cc_link"), escaped(to)))
+        licence = F.arrays_overlap(_relations(tag), F.array(F.lit("license"), F.lit("licence")))
+        return let(absolute(url, _attribute(tag, "href")), lambda to: found(spdx_from_url(to), F.when(licence, "rel_license").otherwise("cc_link"), _escaped(to)))
 
     def badge(tag):
-        return let(absolute(url, _attribute(tag, "src")), lambda src: struct(spdx_from_url(src), F.lit("cc_badge"), escaped(src)))
+        return let(absolute(url, _attribute(tag, "src")), lambda src: found(spdx_from_url(src), F.lit("cc_badge"), _escaped(src)))
 
     def wording(s):
-        return struct(_told(s), F.lit("cc_text"), F.translate(F.substring(F.trim(F.concat(s["before"], s["full"])), 1, 200), "|=", "  "))
+        near = F.left(F.concat(s["before"], s["full"]), F.lit(200))
+        return found(_told(s), F.lit("cc_text"), F.translate(F.trim(F.regexp_replace(near, r"\s+", " ")), "|=", "  "))
 
-    worded = let(plain_text(html), lambda words: F.transform(_statements(words), wording))
-    links, badges = F.transform(tags(r"(?i)<[a-z][^>]*\shref\s*=[^>]*>"), link), F.transform(tags(r"(?i)<img\b[^>]*\ssrc\s*=[^>]*>"), badge)
-    found = F.array_distinct(F.filter(F.concat(links, badges, worded), lambda e: e["spdx"] != ""))
-    return pages.select(key, F.posexplode(found).alias("place", "e")).select(key, "place", "e.*")
+    links = F.transform(F.filter(tags, lambda tag: _attribute(tag, "href") != ""), link)
+    badges = F.transform(F.filter(tags, lambda tag: (tag["name"] == "img") & (_attribute(tag, "src") != "")), badge)
+    return F.array_distinct(F.filter(F.concat(links, badges, F.transform(_statements(F.col(words)), wording)), lambda e: e["spdx"] != ""))
+
+
+def evidence(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
+    """(key, place, spdx, kind, detail): what tells a licence on each page; kinds ``rel_license``, ``cc_link``, ``cc_badge``, ``cc_text``.
+
+    ``place`` orders what a page tells. Comments, scripts and styles tell nothing; a null or empty page has no row.
+    """
+    read = read_pages(pages.select(key, url, html), html)
+    return read.select(key, F.posexplode(told(url, "tags", "words")).alias("place", "e")).select(key, "place", "e.*")
 
 
 def score_format(url, label) -> Column:
@@ -221,18 +257,67 @@ def score_format(url, label) -> Column:
     name = F.substring_index(F.lower(F.regexp_replace(F.regexp_replace(text(url), r"(?s)[?#].*$", ""), r"^[a-z]+://[^/]*", "")), "/", -1)
     stem, ext = F.regexp_replace(name, r"\.[^.]*$", ""), F.regexp_extract(name, r"\.([^.]*)$", 1)
     table = F.create_map(*(F.lit(x) for kv in SCORE_KINDS.items() for x in kv))
-    xml = F.when(~stem.isin(*XML_FEEDS) & F.concat(stem, F.lit(" "), text(label)).rlike(XML_WORDS), "musicxml")
+    cues = F.lower(F.concat(stem, F.lit(" "), text(label)))
+    cue = F.array_contains(F.split(cues, r"[^\p{L}\p{N}_]+"), XML_WORD)
+    for part in XML_PARTS:
+        cue = cue | F.contains(cues, F.lit(part))
+    xml = F.when(~stem.isin(*XML_FEEDS) & cue, "musicxml")
     return F.coalesce(F.when(ext == "xml", xml).otherwise(F.try_element_at(table, ext)), F.lit(""))
 
 
+def scores(url, tags) -> Column:
+    """array<struct<format, address>>: the distinct scores that a page links to, by its anchors."""
+
+    def score(tag):
+        address = without_fragment(absolute(url, _attribute(tag, "href")))
+        return let(address, lambda to: F.struct(score_format(to, tag["label"]).alias("format"), to.alias("address")))
+
+    anchors = F.filter(F.col(tags), lambda tag: (tag["name"] == "a") & (_attribute(tag, "href") != "") & ~_starts(_attribute(tag, "href"), NO_PAGE))
+    return F.array_distinct(F.filter(F.transform(anchors, score), lambda s: s["format"] != ""))
+
+
 def score_links(pages: DataFrame, key: str, url: str, html: str) -> DataFrame:
     """(key, format, address): the distinct scores that a page links to."""
-    anchors = F.regexp_extract_all(text(html), F.lit(r"(?is)<a\b[^>]*\shref\s*=[^>]*>.*?</a\s*>"), F.lit(0))
-    one = pages.select(key, url, F.explode(anchors).alias("a"))
-    href = _attribute(F.regexp_extract("a", r"(?s)^(<[^>]*>)", 1), "href")
-    label = F.trim(F.regexp_replace(F.regexp_replace("a", r"(?s)<[^>]+>", " "), r"\s+", " "))
-    told = one.where((href != "") & ~href.rlike("(?i)^(#|mailto:|javascript:)")).select(key, without_fragment(absolute(url, href)).alias("address"), label.alias("label"))
-    return told.select(key, score_format(F.col("address"), F.col("label")).alias("format"), "address").where("format <> ''").distinct()
+    return read_pages(pages.select(key, url, html), html).select(key, F.explode(scores(url, "tags")).alias("s")).select(key, "s.*").distinct()
+
+
+def hops(url, tags, most: int = 8) -> Column:
+    """Addresses of the same site to read next: links to a licence as on the page, then those whose path or label holds the most ``HOP_WORDS``, by address.
+
+    An address counts by its first link that qualifies; the page itself and files of scores are left out.
+    """
+    page = without_fragment(url)
+
+    def link(tag, i):
+        label = F.when(tag["name"] == "link", "").otherwise(tag["label"])
+        words = F.split(F.lower(label), r"[^\p{L}\p{N}_]+")
+        licence = F.arrays_overlap(_relations(tag), F.array(*map(F.lit, LICENCE_RELATIONS))) | F.arrays_overlap(words, F.array(*map(F.lit, LICENCE_WORDS)))
+
+        def judged(to):
+            path = F.regexp_replace(F.regexp_replace(to, r"(?s)[?#].*$", ""), r"^[a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]*)?", "")
+            cues = F.lower(F.concat(path, F.lit(" "), label))
+            held = F.size(F.filter(F.array(*map(F.lit, HOP_WORDS)), lambda w: F.contains(cues, w)))
+            worth = F.when(licence, 0).otherwise(F.when(tag["name"].isin("a", "area"), -held).otherwise(0))
+            fits = same_site(url, to) & (to != page) & (score_format(to, label) == "") & (licence | (worth < 0))
+            return F.when(fits, F.struct(F.when(licence, 0).otherwise(1).alias("kind"), F.when(licence, i).otherwise(worth).alias("worth"), to.alias("url")))
+
+        return let(without_fragment(absolute(url, _attribute(tag, "href"))), judged)
+
+    linked = F.filter(F.col(tags), lambda tag: (_attribute(tag, "href") != "") & ~_starts(_attribute(tag, "href"), NO_HOP))
+    fit = F.array_compact(F.transform(linked, link))
+    return let(fit, lambda all_: F.transform(F.slice(F.array_sort(_firsts(all_)), 1, most), lambda s: s["url"]))
+
+
+def _firsts(found: Column) -> Column:
+    """Of structs with a ``url``, the first of each."""
+    urls = F.transform(found, lambda s: s["url"])
+    return F.transform(F.array_distinct(urls), lambda u: F.element_at(found, F.array_position(urls, u).cast("int")))
+
+
+def pages_to_follow(pages: DataFrame, key: str, url: str, html: str, most: int = 8) -> DataFrame:
+    """(key, place, url): the pages to read next of each page, in order."""
+    read = read_pages(pages.select(key, url, html), html)
+    return read.select(key, F.posexplode(hops(url, "tags", most)).alias("place", "url"))
 
 
 def folded(c) -> Column:
@@ -246,48 +331,63 @@ def surname(name) -> Column:
     return folded(F.element_at(F.split(F.trim(text(name)), r"\s+"), -1))
 
 
-def names_person(html, name) -> Column:
-    """Whether a page's text holds the person's surname, accents aside."""
-    return (surname(name) != "") & F.contains(folded(plain_text(html)), surname(name))
+def names_person(words, name) -> Column:
+    """Whether a page's text (``words``) holds the person's surname, accents aside."""
+    return (surname(name) != "") & F.contains(folded(words), surname(name))
 
 
 def scan_sites(jobs: DataFrame, pages: DataFrame) -> DataFrame:
     """One row per job: what its start page and the pages reached from it tell together.
 
-    jobs: job, name. pages: job, place (0: the start page), url, html, status (null: fetched in vain, see ``error``), error.
-    Pages outside 200..299, with an error or without text tell nothing. A candidate tells a licence and links to a score.
-    Everything is aggregated from rows per page; lists hold the few pages of one job.
+    jobs: job, name and any other columns. pages: job, place (0: the start page), url, html, status (null: fetched in vain, see
+    ``error``), error. Pages outside 200..299, with an error or without text tell nothing. A candidate tells a licence and
+    links to a score. Each page is read once; its findings meet those of the job's few other pages in one group.
     """
     good = text("error") == ""
     ok = good & F.coalesce(F.col("status").between(200, 299), F.lit(False)) & (text("html") != "")
     state = F.when(~good, F.col("error")).when(F.col("status").between(200, 299), F.when(text("html") == "", "not_html").otherwise("ok")).when(F.col("status") > 0, F.concat(F.lit("http_"), F.col("status"))).otherwise("error:Unknown")
-    page = F.struct("job", "place")
-    read = pages.where(ok).select("job", "place", "url", "html", page.alias("page"))
-    told = evidence(read, "page", "url", "html").select("page.job", F.col("page.place").alias("at"), "place", "spdx", "kind", "detail").join(read.select("job", F.col("place").alias("at"), "url"), ["job", "at"])
-    line = F.concat("kind", F.lit("@"), "url", F.lit("="), "detail")
-    said = told.groupBy("job").agg(
-        F.array_join(F.array_sort(F.collect_set("spdx")), "|").alias("licences"),
-        F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(F.struct("at", "place", line.alias("e")))), lambda x: x["e"])), "|").alias("licence_evidence"),
-    )
-    linked = score_links(read, "page", "url", "html").select("page.*", "format", "address").join(read.select("job", "place", "url"), ["job", "place"])
-    counted = linked.groupBy("job").agg(
-        *(F.count_distinct(F.when(F.col("format") == k, F.col("address"))).alias(f"n_{k}") for k in KINDS),
-        F.array_join(F.transform(F.array_sort(F.collect_set(F.struct("place", "url"))), lambda x: x["url"]), "|").alias("score_pages"),
+    named = jobs.select("job", surname("name").alias("surname")).where("surname <> ''").distinct()
+    judged = pages.select("job", "place", "url", F.when(ok, F.col("html")).alias("html"), state.alias("state"), ok.alias("ok"))
+    read = read_pages(judged, "html").join(named, "job", "left")
+    line = lambda e: F.concat(e["kind"], F.lit("@"), F.col("url"), F.lit("="), e["detail"])
+    one = read.select(
+        "job",
+        *("place", "url", "state", "ok"),
+        F.transform(told("url", "tags", "words"), lambda e: F.struct(e["spdx"].alias("spdx"), line(e).alias("line"))).alias("told"),
+        scores("url", "tags").alias("scores"),
+        F.coalesce(F.contains(folded("words"), F.col("surname")), F.lit(False)).alias("named"),
     )
-    fetched = pages.groupBy("job").agg(
-        F.max(F.when(F.col("place") == 0, state)).alias("fetch_status"),
-        F.max(F.when(F.col("place") == 0, F.col("url"))).alias("final_url"),
-        F.count_if(ok).alias("pages_fetched"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("place") > 0, F.struct("place", "url")))), lambda x: x["url"]), "|").alias("hop_urls"),
+    grouped = one.groupBy("job").agg(F.array_sort(F.collect_list(F.struct("place", "url", "state", "ok", "told", "scores", "named"))).alias("p"))
+    p = F.coalesce("p", F.array().cast(dict(grouped.dtypes)["p"]))
+    start = F.try_element_at(F.filter(p, lambda x: x["place"] == 0), F.lit(1))
+    all_of = lambda field: F.flatten(F.transform(p, lambda x: x[field]))
+    urls_of = lambda held: F.array_join(F.transform(F.filter(p, held), lambda x: x["url"]), "|")
+    licences = F.array_sort(F.array_distinct(F.transform(all_of("told"), lambda e: e["spdx"])))
+    count = lambda kind: F.size(F.array_distinct(F.filter(all_of("scores"), lambda x: x["format"] == kind))).cast("long")
+    out = jobs.join(grouped, "job", "left").withColumns(
+        {
+            "fetch_status": F.coalesce(start["state"], F.lit("error:Unknown")),
+            "final_url": F.coalesce(start["url"], F.lit("")),
+            "pages_fetched": F.size(F.filter(p, lambda x: x["ok"])).cast("long"),
+            "hop_urls": urls_of(lambda x: x["place"] > 0),
+            "licences": F.array_join(licences, "|"),
+            "licence_evidence": F.array_join(F.array_distinct(F.transform(all_of("told"), lambda e: e["line"])), "|"),
+            "score_pages": urls_of(lambda x: F.size(x["scores"]) > 0),
+            "name_on_page": F.exists(p, lambda x: x["named"]),
+        }
+        | {f"n_{k}": count(k) for k in KINDS}
     )
-    named = read.join(jobs.select("job", "name"), "job").groupBy("job").agg(F.max(names_person("html", "name")).alias("name_on_page"))
-    out = jobs
-    for part in (fetched, said, counted, named):
-        out = out.join(part, "job", "left")
-    zero = {f"n_{k}": F.coalesce(f"n_{k}", F.lit(0)).cast("long") for k in KINDS} | {"pages_fetched": F.coalesce("pages_fetched", F.lit(0)).cast("long")}
-    empty = {c: text(c) for c in ("licences", "licence_evidence", "score_pages", "hop_urls", "final_url")}
-    whole = out.withColumns(zero | empty | {"fetch_status": F.coalesce("fetch_status", F.lit("error:Unknown")), "name_on_page": F.coalesce("name_on_page", F.lit(False))})
-    return whole.withColumn("candidate", (F.col("licences") != "") & (sum((F.col(f"n_{k}") for k in KINDS), F.lit(0)) > 0))
+    return out.drop("p").withColumn("candidate", (F.col("licences") != "") & (sum((F.col(f"n_{k}") for k in KINDS), F.lit(0)) > 0))
+
+
+def scan_rows(scanned: DataFrame) -> DataFrame:
+    """Scanned sites as rows of ``SCAN_COLUMNS``: booleans as words, what is not known as ''; a job without a source was stated by its entity."""
+    flag = lambda c: F.when(F.col(c), "true").otherwise("false")
+    given = set(scanned.columns)
+    made = {c: text(c) if c in given else F.lit("") for c in SCAN_COLUMNS}
+    made |= {"name_display": text("name"), "candidate": flag("candidate"), "name_on_page": flag("name_on_page"), "source": F.coalesce(F.nullif(made["source"], F.lit("")), F.lit("p856"))}
+    made |= {c: F.col(c) for c in ("pages_fetched", *(f"n_{k}" for k in KINDS))}
+    return scanned.select(*(made[c].alias(c) for c in SCAN_COLUMNS))
 
 
 # Which pages to read.

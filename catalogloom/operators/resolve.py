@@ -149,11 +149,14 @@ def match_category(people: DataFrame, existing: DataFrame, name: str, stated: st
 def suspects(people: DataFrame, listed: DataFrame, key: str, url: str, least: int) -> DataFrame:
     """(key, gap, signals) of the people whose listed years are ``least`` years off or who carry a flag of identity.
 
-    Lists are joined by the title in the address. People: birth, death, flags; listed: url, list_birth, list_death.
+    Lists are joined by the title in the address; of several rows of a title the nearest counts, so the order of the list
+    does not matter. People: birth, death, flags, one row for each ``key``; listed: url, list_birth, list_death.
     """
-    rows = listed.select(page_key(page_title(F.col("url"))).alias("_k"), "list_birth", "list_death").where("_k <> ''").dropDuplicates(["_k"])
-    joined = people.withColumn("_k", page_key(page_title(F.col(url)))).join(rows, "_k", "left")
-    gap = F.array_max(F.array_compact(F.array(F.abs(F.col("birth") - F.col("list_birth")), F.abs(F.col("death") - F.col("list_death")))))
+    rows = listed.select(page_key(page_title(F.col("url"))).alias("_k"), "list_birth", "list_death").where("_k <> ''").distinct()
+    off = F.array_max(F.array_compact(F.array(F.abs(F.col("birth") - F.col("list_birth")), F.abs(F.col("death") - F.col("list_death")))))
+    years = people.select(key, page_key(page_title(F.col(url))).alias("_k"), "birth", "death").join(rows, "_k").groupBy(key).agg(F.min(off).alias("_gap"))
+    joined = people.join(years, key, "left")
+    gap = F.col("_gap")
     own = F.filter(F.array(F.lit("not_human"), F.lit("no_composer_occupation")), lambda f: F.array_contains(F.split(text("flags"), r"\|"), f))
     signals = F.concat(F.when(gap >= least, F.array(F.concat(F.lit("list_years_gap_"), gap.cast("string")))).otherwise(F.array().cast("array<string>")), own)
     return joined.select(key, gap.alias("gap"), F.array_join(signals, "|").alias("signals")).where("signals <> ''")

@@ -119,3 +119,24 @@ def release_errors(tables: dict[str, DataFrame], keys: dict[str, str], row_count
         rows = F.explode(F.array(*(F.struct(F.lit(name).alias("table"), F.lit(e).alias("error"), F.col(f"r{i}").alias("n")) for i, e in enumerate(rules))))
         out.append(flat.select(rows.alias("x")).select("x.*").where("n > 0"))
     return reduce(DataFrame.unionByName, out)
+
+
+def spot_rules(categories: str = "imslp_genre_categories", family: str = "force_family") -> list[tuple[str, Column]]:
+    """Rules that no work of a release may break: an opera is no concerto, an orchestra's symphony or overture no piano ensemble (fixed values)."""
+    told, force = F.coalesce(F.col(categories), F.lit("")), F.coalesce(F.col(family), F.lit(""))
+    orchestra = told.contains("For orchestra") & ~told.contains("For orchestra (arr)") & (told.contains("Symphonies") | told.contains("Overtures"))
+    return [("opera as concerto", told.contains("Operas") & (force == "concerto")), ("orchestra as piano ensemble", orchestra & (force == "piano_ensemble"))]
+
+
+def living_without_year(status: str = "eu_pd_status", died: str = "death_year") -> tuple[str, Column]:
+    """A rule for persons: 'living' is a status of those with a year of death alone (fixed values)."""
+    return "living without death year", (F.coalesce(F.col(status), F.lit("")) == "living") & (F.trim(F.coalesce(F.col(died).cast("string"), F.lit(""))) == "")
+
+
+def manifest_errors(manifest: dict[str, int], told_id: str, dump_id: str, tables: dict[str, DataFrame]) -> DataFrame:
+    """(error, n): a manifest of another snapshot, and counts that differ from the tables' rows (by how many); zeros leave."""
+    spark = next(iter(tables.values())).sparkSession
+    out = spark.createDataFrame([("manifest of another snapshot", int(told_id != dump_id))], "error string, n long")
+    for name, df in tables.items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f"count of {name}").alias("error"), F.abs(F.col("n") - F.lit(manifest.get(name, -1))).alias("n")))
+    return out.where("n > 0")

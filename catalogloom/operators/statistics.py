@@ -44,15 +44,57 @@ def hash_order(seed: str, *keys: str) -> Column:
     return F.md5(F.concat_ws(":", F.lit(seed), *keys))
 
 
-def stratified_sample(df: DataFrame, stratum: str, key: str, total: int, minimum: int, seed: str) -> DataFrame:
-    """Allocated numbers of rows per stratum in hash order, with stratum size, sample size and weight (a sampling operator)."""
-    sizes = {r[stratum]: r["n"] for r in df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).collect()}  # strata, not rows
+def first_by_hash(df: DataFrame, stratum: str, key: str, wanted: DataFrame, seed: str, digits: int = 3) -> DataFrame:
+    """Of each stratum the first rows in hash order, as many as ``wanted`` (stratum, _wanted) says; ties by key.
+
+    Rows are counted by stratum and the hash's first hex digits, with a map-side combine. A stratum's counts tell the
+    bucket in which its last row lies: buckets before it are taken whole, those after it not read again, and only rows
+    of that one bucket are ordered, 1 / 16**digits of the stratum.
+    """
+    hashed = df.withColumn("_h", hash_order(seed, key)).withColumn("_b", F.substring("_h", 1, digits))
+    counts = hashed.groupBy(F.col(stratum).alias("_s"), F.col("_b").alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("_s").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    buckets = counts.withColumn("_before", before).join(wanted.withColumnRenamed(stratum, "_s"), "_s").where("_before < _wanted").withColumn("_left", F.col("_wanted") - F.col("_before"))
+    held = hashed.join(buckets, F.col(stratum).eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_c")))
+    whole = held.where("_n <= _left")
+    rank = F.row_number().over(Window.partitionBy("_s", "_c").orderBy("_h", key))
+    edge = held.where("_n > _left").withColumn("_rank", rank).where("_rank <= _left").drop("_rank")
+    return whole.unionByName(edge).drop("_h", "_b", "_s", "_c", "_n", "_before", "_wanted", "_left")
+
+
+def systematic_within(df: DataFrame, stratum: str, spread: str, key: str, given: dict[str, tuple[int, int]], seed: str, start: float = 0.5) -> DataFrame:
+    """Of each stratum every (N/n)-th row in the order of ``spread``, equal values in hash order; ``given`` maps strata to (N, n).
+
+    All rows are placed at once in the order (stratum, spread, hash) over ranges; a stratum's places begin after those of the strata before it.
+    """
+    placed, _ = places(df.withColumn("_h", hash_order(seed, key)), [stratum, spread, "_h", key])
+    rows, before = [], 0
+    for name in sorted(given, key=lambda x: x.encode()):
+        size, n = given[name]
+        rows.append((name, before, size / n if n else 0.0, n))
+        before += size
+    table = df.sparkSession.createDataFrame(rows, "_s string, _first long, _step double, _take long")
+    held = placed.join(F.broadcast(table), F.col(stratum) == F.col("_s"))
+    place = F.col("_place") - F.col("_first")
+    nth = F.ceil((place - start * F.col("_step")) / F.col("_step"))
+    fits = (place == F.floor(start * F.col("_step") + nth * F.col("_step"))) & nth.between(0, F.col("_take") - 1)
+    return held.where(fits).drop("_place", "_h", "_s", "_first", "_step", "_take")
+
+
+def stratified_sample(df: DataFrame, stratum: str, key: str, total: int, minimum: int, seed: str, spread: str | None = None) -> DataFrame:
+    """Allocated numbers of rows per stratum, with stratum size, sample size and weight (a sampling operator).
+
+    The rows are the first in hash order or, with ``spread``, systematic in its order. No task holds a stratum.
+    """
+    sizes = {r[stratum]: r["n"] for r in df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).orderBy(stratum).collect()}  # strata, not rows
     given = allocate(sizes, total, minimum)
     rows = [(h, sizes[h], given[h]) for h in sizes]
     table = df.sparkSession.createDataFrame(rows, f"{stratum} string, stratum_size long, stratum_sample long")
-    w = Window.partitionBy(stratum).orderBy(hash_order(seed, key), key)
-    picked = df.withColumn("_rn", F.row_number().over(w)).join(F.broadcast(table), stratum).where(F.col("_rn") <= F.col("stratum_sample"))
-    return picked.drop("_rn").withColumn("weight", F.col("stratum_size") / F.col("stratum_sample"))
+    if spread:
+        picked = systematic_within(df, stratum, spread, key, {h: (sizes[h], given[h]) for h in sizes}, seed)
+    else:
+        picked = first_by_hash(df, stratum, key, table.select(stratum, F.col("stratum_sample").alias("_wanted")), seed)
+    return picked.join(F.broadcast(table), stratum).withColumn("weight", F.col("stratum_size") / F.col("stratum_sample"))
 
 
 def places(df: DataFrame, order: list[str], parts: int | None = None) -> tuple[DataFrame, int]:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import cells
-from ..operators import audits, entities, facets, gold, markup, resolve, snapshots, status, works
+from ..functions.html_tokens import read_pages
+from ..operators import audits, entities, facets, gold, homepages, markup, resolve, snapshots, status, works
 from .catalogue_d import pick, sql_list, sql_pick
 from .registry import query, t
 
@@ -197,12 +198,6 @@ def annotator_subset(spark, sf):
     return out.select("c_custkey", "c_mktsegment", "stratum_size", F.round("weight", 6).alias("weight"))
 
 
-@query(None)
-def gold_sheets(spark, sf):
-    rows = t(spark, sf, "customer").select("c_mktsegment", F.col("c_custkey").cast("string").alias("id"))
-    return gold.build_sheets(rows, "c_mktsegment", "id", 60, 5, 3, 10, "gold")
-
-
 _SHEET = "SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN '' WHEN o_orderkey % 4 = 1 THEN 'maybe' ELSE 'yes' END AS files, CASE WHEN o_orderkey % 6 = 0 THEN '' ELSE o_orderstatus END AS kind FROM orders"
 
 
@@ -475,8 +470,11 @@ def period_scores(spark, sf):
 def page_scan(spark, sf):
     k = F.col("page_id")
     more = F.concat(F.col("html"), F.when(k % 4 != 0, '<a href="/x.pdf">score</a>').otherwise(""), F.when(k % 3 == 0, '<a href="https://creativecommons.org/licenses/by/4.0/">free</a>').otherwise(""))
-    out = markup.page_scan(t(spark, sf, "pages").withColumn("html", more), "page_id", "url", "html")
-    return out.select("page_id", "site", "n_links", "n_score", "licences", "candidate")
+    read = read_pages(t(spark, sf, "pages").withColumn("html", more), "html")
+    links = F.size(F.filter("tags", lambda tag: (tag["name"] == "a") & tag["attributes"]["href"].isNotNull())).cast("long")
+    licences = F.array_join(F.array_sort(F.array_distinct(F.transform(homepages.told("url", "tags", "words"), lambda e: e["spdx"]))), "|")
+    out = read.select("page_id", markup.site(F.col("url")).alias("site"), links.alias("n_links"), F.size(homepages.scores("url", "tags")).cast("long").alias("n_score"), licences.alias("licences"))
+    return out.withColumn("candidate", (F.col("licences") != "") & (F.col("n_score") > 0))
 
 
 @query("SELECT 'works' AS part, '' AS transition, count(*) AS n FROM orders WHERE o_custkey % 4 <> 0 UNION ALL SELECT 'report', 'matched → rejected_p839', count(*) FILTER (c_custkey % 4 = 0) FROM customer")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import homepages, overlay, persons
+from ..functions.html_tokens import read_pages
+from ..operators import homepages, markup, overlay, persons
+from ..sources import html_tables
 from .catalogue_d import pick, sql_list, sql_pick
 from .catalogue_f import WORKS, _entities
 from .registry import query, t
@@ -40,12 +42,13 @@ _ADDED = f"SELECT page_id, regexp_replace(url, '[?#].*$', '') AS page, {sql_pick
 
 def _with_tags(spark, sf):
     k, code = F.col("page_id"), pick(BY, "page_id")
-    link = F.concat(F.lit('<a rel="x license" href="https://creativecommons.org/licenses/'), code, F.lit('/4.0/">l</a>'))
-    plain = F.concat(F.lit("<link href='//creativecommons.org/licenses/"), code, F.lit("/3.0/'>"))
+    trap = '<!-- <a href="https://creativecommons.org/licenses/by/1.0/">CC BY 1.0</a> <a href="/s/trap.pdf">x</a> --><script>var s = "<a href=\'/trap.pdf\'>CC BY 1.0</a>";</script>'
+    link = F.concat(F.lit('<a title="x > y" rel="x license" href="&#104;ttps://creativecommons.org/licenses/'), code, F.lit('/4.0/">l</a>'))
+    plain = F.concat(F.lit("<LINK HREF = '//creativecommons.org/licenses/"), code, F.lit("/3.0/' />"))
     badge = F.concat(F.lit("<img alt=c src=https://licensebuttons.net/l/"), code, F.lit("/2.0/88x31.png>"))
     worded = F.concat(F.lit("<p>CC "), F.upper(F.regexp_replace(code, "^by-?", "BY ")), F.lit(" 2.5|=</p>"))
     scores = F.concat(F.lit('<a href="/s/'), k.cast("string"), F.lit('.pdf#p">one</a><a href="/s/'), k.cast("string"), F.lit('.PDF">two</a><a href="/f.xml">Partitur</a><a href="/sitemap.xml">score</a>'))
-    added = F.concat(F.when(k % 2 == 0, link).otherwise(""), F.when(k % 3 == 0, plain).otherwise(""), F.when(k % 5 == 0, badge).otherwise(""), F.when(k % 7 == 0, worded).otherwise(""), F.when(k % 4 != 1, scores).otherwise(""))
+    added = F.concat(F.lit(trap), F.when(k % 2 == 0, link).otherwise(""), F.when(k % 3 == 0, plain).otherwise(""), F.when(k % 5 == 0, badge).otherwise(""), F.when(k % 7 == 0, worded).otherwise(""), F.when(k % 4 != 1, scores).otherwise(""))
     return t(spark, sf, "pages").withColumn("html", F.concat(F.col("html"), added))
 
 
@@ -66,6 +69,59 @@ def page_scores(spark, sf):
     return homepages.score_links(_with_tags(spark, sf), "page_id", "url", "html")
 
 
+# What the pages' own markup says.
+
+_BARE = r"regexp_replace(regexp_replace(html, '<!--.*?-->|<script.*?</script>|<style.*?</style>', chr(1), 'gs'), '<[^>]*>', chr(1), 'g')"
+
+
+@query(r"""SELECT name, count(*) AS n, count(DISTINCT page_id) AS n_pages FROM (SELECT page_id, unnest(regexp_extract_all(regexp_replace(html, '<!--.*?-->|<script.*?</script>', '', 'gs'), '<([a-z][a-z0-9]*) [^>]*>', 1)) AS name FROM pages) GROUP BY 1""")
+def page_tags(spark, sf):
+    read = read_pages(t(spark, sf, "pages").select("page_id", "html"), "html").select("page_id", F.explode("tags.name").alias("name"))
+    return read.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("page_id").alias("n_pages"))
+
+
+@query(f"SELECT page_id, md5(array_to_string(list_filter(list_transform(string_split({_BARE}, chr(1)), lambda x: trim(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&amp;', '&'), chr(32) || chr(10) || chr(9) || chr(13))), lambda x: x <> ''), ' ')) AS digest FROM pages")
+def page_words(spark, sf):
+    return read_pages(t(spark, sf, "pages").select("page_id", "html"), "html").select("page_id", F.md5("words").alias("digest"))
+
+
+@query(r"""SELECT page_id, place, href, label FROM (SELECT page_id, unnest(l).a AS href, unnest(l).b AS label, unnest(l).i AS place FROM (SELECT page_id, list_transform(x, lambda y, i: {'a': regexp_extract(y, '"([^"]*)"', 1), 'b': trim(regexp_extract(y, '>([^<]*)<', 1)), 'i': CAST(i - 1 AS INTEGER)}) AS l FROM (SELECT page_id, regexp_extract_all(regexp_replace(html, '<!--.*?-->|<script.*?</script>', '', 'gs'), '<a href="[^"]*">[^<]*</a>') AS x FROM pages)))""")
+def page_links(spark, sf):
+    return markup.links(t(spark, sf, "pages"), "page_id", "html")
+
+
+# Links to follow: a licence page, pages of works, a page of another site, a file, the page itself.
+
+
+@query(
+    f"""SELECT page_id, CAST(place - 1 AS INTEGER) AS place, {_ROOT} || path AS url FROM (SELECT page_id, url, unnest(paths) AS path, generate_subscripts(paths, 1) AS place FROM (
+    SELECT page_id, url, list_concat(CASE WHEN page_id % 3 = 0 THEN ['/terms'] ELSE [] END, CASE WHEN page_id % 2 = 0 THEN ['/sheet-music-works', '/a/work' || page_id] ELSE ['/b/noten'] END) AS paths FROM pages))"""
+)
+def pages_to_follow(spark, sf):
+    k = F.col("page_id")
+    works = F.concat(F.lit('<a href="/a/work'), k.cast("string"), F.lit('#x">list</a><a href="/sheet-music-works"><b>Sheet</b> music</a><a href="/a/work'), k.cast("string"), F.lit('">scores</a>'))
+    odd = F.lit('<a href="/b/noten">x</a><a href="https://elsewhere.test/scores">scores</a><a href="/scores.pdf">scores</a>')
+    added = F.concat(F.when(k % 2 == 0, works).otherwise(odd), F.when(k % 3 == 0, '<a href="/terms"><i>Copyright</i> notes</a>').otherwise(""), F.lit('<!-- <a href="/works">works</a> --><a href="mailto:a@b">score</a>'), F.concat(F.lit('<a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">works</a>')))
+    only = F.regexp_replace("html", "(?s)<nav>.*?</nav>", "")
+    return homepages.pages_to_follow(t(spark, sf, "pages").withColumn("html", F.concat(only, added)), "page_id", "url", "html")
+
+
+# A table for each customer, a row for each order: short and long rows, and a table within a cell.
+
+
+@query("SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS place, 'k' || o_orderkey AS name, o_orderstatus || CASE WHEN o_orderkey % 5 = 0 THEN 'no' ELSE '' END AS status, CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE o_orderpriority END AS priority, CASE WHEN o_orderkey % 3 <> 0 THEN 'https://lists.test/o/' || o_orderkey END AS url FROM orders")
+def listed_rows(spark, sf):
+    o = F.col("o_orderkey").cast("string")
+    first = F.concat(F.lit("<tr><td> k<b>"), o, F.lit("</b>"), F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("<a href='/o/"), o, F.lit("'></a><a href=/p>"))).otherwise(""), F.lit("<td>"), F.col("o_orderstatus"))
+    nested = F.lit("<table class='wikitable sortable'><tr><th>no</th><tr><td></table>")
+    last = F.when(F.col("o_orderkey") % 5 == 0, nested).otherwise(F.concat(F.lit("<td>"), F.col("o_orderpriority"), F.when(F.col("o_orderkey") % 7 == 0, "<td>more</td>").otherwise("")))
+    rows = t(spark, sf, "orders").select("o_custkey", "o_orderkey", F.concat(first, last).alias("tr"))
+    pages = rows.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "tr"))), lambda x: x["tr"]), "\n").alias("trs"))
+    page = F.concat(F.lit("<table class=other><tr><td>x</table><!-- <table class='wikitable sortable'> --><table class='wikitable sortable'><tr><th>name<th>status<th>priority</tr><tr><th>sub</tr>"), "trs", F.lit("</table>"))
+    found = html_tables.table_rows(pages.select("o_custkey", page.alias("html")), "o_custkey", "html", "https://lists.test/")
+    return found.select("o_custkey", F.col("row").alias("place"), *(html_tables.cell(c).alias(c) for c in ("name", "status", "priority")), "url")
+
+
 # Each three pages are a job: a start page and two reached from it, one of them gone.
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,14 +64,34 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def store_key(key: Column, most: int = 180) -> Column:
-    """A document's key as a name: other characters as '_', cut to ``most``."""
-    return F.substring(F.regexp_replace(key, r"[^A-Za-z0-9._-]+", "_"), 1, most)
+    """A document's key as a name of its own: each character that is no letter, digit, '.', '_' or '-' as '_', cut to ``most``; where that changed it, with 16 digits of its hash."""
+    safe = F.substring(F.regexp_replace(key, r"[^\p{L}\p{N}._-]", "_"), 1, most)
+    return F.when(safe == key, key).otherwise(F.concat(safe, F.lit("~"), F.substring(F.sha2(key, 256), 1, 16)))
 
 
 def url_key(url: Column) -> Column:
     return F.sha2(url, 256)
 
 
+def write_by_url(pages: DataFrame, path: str, hashed: Callable[[Column], Column] = url_key, mode: str = "append") -> None:
+    """(url, payload, stored_at) by hash, in folders by the hash's first two digits; the address stays beside the payload."""
+    rows = pages.select("url", "payload", "stored_at", hashed(F.col("url")).alias("hash"))
+    rows.withColumn("prefix", F.substring("hash", 1, 2)).repartition("prefix").write.mode(mode).partitionBy("prefix").parquet(path)
+
+
+def read_by_url(wanted: DataFrame, path: str, hashed: Callable[[Column], Column] = url_key) -> DataFrame:
+    """(url, payload, found) of each wanted address once: the payload stored last for it (of one time, the least).
+
+    Entries of one hash are a chain; only those whose stored address is the wanted one count, so addresses that share a
+    hash miss each other. Folders of other prefixes are not read where Spark prunes them by the wanted hashes.
+    """
+    stored = wanted.sparkSession.read.schema("url string, payload string, stored_at timestamp, hash string, prefix string").parquet(path)
+    asked = wanted.select("url").distinct().withColumn("hash", hashed(F.col("url"))).withColumn("prefix", F.substring("hash", 1, 2))
+    chain = stored.withColumnRenamed("url", "stored_url").join(asked, ["prefix", "hash"]).where(F.col("stored_url") == F.col("url"))
+    last = chain.groupBy("url").agg(F.max("stored_at").alias("stored_at")).join(chain, ["url", "stored_at"]).groupBy("url").agg(F.min("payload").alias("payload"))
+    return asked.select("url").join(last.withColumn("found", F.lit(True)), "url", "left").select("url", "payload", F.coalesce("found", F.lit(False)).alias("found"))
+
+
 def read_documents(spark: SparkSession, path: str, namespace: str) -> DataFrame:
     """(key, payload) of a namespace; payloads that are no JSON count as absent."""
     rows = spark.read.parquet(path).where(F.col("namespace") == namespace)
@@ -82,14 +103,14 @@ def pending(wanted: DataFrame, stored: DataFrame, key: str = "key") -> DataFrame
     return wanted.join(stored.select(key).distinct(), key, "left_anti")
 
 
-def resolve_titles(titles: DataFrame, redirects: DataFrame, most: int = 1000) -> DataFrame:
+def resolve_titles(titles: DataFrame, redirects: DataFrame) -> DataFrame:
     """(title, target): each title at the end of its chain of normalisations and redirects, however long.
 
     Chains are shortened to half at each round (a redirect to a redirect becomes one to its target), so a chain of n
-    takes about log2(n) rounds. A chain longer than ``most`` raises: only a cycle has no end.
+    takes about log2(n) rounds. What still moves after more rounds than the redirects allow has no end: a cycle raises.
     """
-    step = redirects.groupBy(F.col("from").alias("from")).agg(F.min("to").alias("to")).where("`from` <> `to`")
-    length = 1
+    step = checkpointed(redirects.groupBy(F.col("from").alias("from")).agg(F.min("to").alias("to")).where("`from` <> `to`"))
+    rounds = max(step.count(), 1).bit_length() + 1
     while True:
         onward = step.select(F.col("from").alias("to"), F.col("to").alias("next"))
         joined = step.join(onward, "to", "left").select("from", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved"))
@@ -97,15 +118,29 @@ def resolve_titles(titles: DataFrame, redirects: DataFrame, most: int = 1000) ->
         step = joined.select("from", "to")
         if joined.where("moved").isEmpty():
             break
-        length *= 2
-        if length > most:
+        rounds -= 1
+        if rounds < 0:
             raise ValueError("redirects form a cycle")
     return titles.select("title").join(step.withColumnRenamed("from", "title"), "title", "left").select("title", F.coalesce("to", "title").alias("target"))
 
 
-def merge_page_lists(pages: DataFrame, key: str, values: str) -> DataFrame:
-    """Continued lists of a page as one list without repeats, in order of arrival."""
-    return pages.groupBy(key).agg(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("part", values))), lambda s: s[values]))).alias(values))
+def merge_page_lists(parts: DataFrame, key: str, values: str, prefix: str = "", wanted: DataFrame | None = None) -> DataFrame:
+    """(key, title, values, missing, redirect): lists of pages that came in parts, as one list each.
+
+    parts: key, part (order of arrival), title, values and, if there are any, missing and redirect. A value counts once, at
+    its first arrival, without ``prefix``; flags hold if any part tells them; the title is the first part's. Only the least
+    place of each (page, value) is kept, combined map-side, so repeated parts cost no memory. A page of ``wanted`` without a part is missing.
+    """
+    flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in parts.columns else F.lit(False)
+    title = F.col("title") if "title" in parts.columns else F.lit("")
+    each = parts.select(key, "part", F.coalesce(title, F.lit("")).alias("title"), flag("missing").alias("missing"), flag("redirect").alias("redirect"), F.posexplode_outer(values).alias("_at", "_v"))
+    bare = F.when(F.col("_v").startswith(prefix), F.substring("_v", len(prefix) + 1, 1 << 30)).otherwise(F.col("_v"))
+    first = each.groupBy(key, bare.alias("_v")).agg(F.min(F.struct("part", "_at")).alias("at"), F.min(F.struct("part", "title")).alias("t"), F.bool_or("missing").alias("missing"), F.bool_or("redirect").alias("redirect"))
+    listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("at", F.col("_v").alias("v"))))), lambda x: x["v"])
+    pages = first.groupBy(key).agg(F.min("t")["title"].alias("title"), listed.alias(values), F.bool_or("missing").alias("missing"), F.bool_or("redirect").alias("redirect"))
+    if wanted is None:
+        return pages
+    return wanted.select(key).distinct().join(pages, key, "left").select(key, F.coalesce("title", F.lit("")).alias("title"), F.coalesce(values, F.array().cast("array<string>")).alias(values), F.coalesce("missing", F.lit(True)).alias("missing"), F.coalesce("redirect", F.lit(False)).alias("redirect"))
 
 
 def monthly_sum(items: Column) -> Column:
