@@ -4,8 +4,9 @@ A bin has three limits: tokens, segments and loss-bearing tokens. Of the open bi
 whole, it goes to the one whose free space has the largest dot product with the example's demand, both
 as shares of the limits. Examples longer than a bin give full pieces first. Where no open bin fits and
 ``max_open`` bins are open, the example is cut to fill the fullest bin exactly. What is left open at a
-task's end is dealt anew into full bins, the last one cut to lengths that are powers of two, which need
-no padding.
+task's end is dealt anew into full bins. A bin that is closed before its tokens are full, because another
+limit is reached or nothing is left, gives a sequence whose length is a power of two, which needs no padding;
+the pieces past it are packed again. So no limit costs padding, whatever the lengths.
 
 Each partition is packed on its own, in its own order, so nothing is shuffled and a task that runs again
 gives the same rows. Memory: ``max_open`` bins. A null or empty text is its end id alone. Repeated rows
@@ -88,74 +89,68 @@ class Bins:
         row, start, n = piece
         return 0 if free[1] < 1 else int(min(n, free[0], max(0, row[3] - start) + free[2]))
 
-    def close(self, k: int) -> None:
-        self.done.append(self.held[k])
-        self.held[k], self.free[k] = None, 0
+    def settle(self, pieces: list) -> list:
+        """Finish a bin: whole if its tokens are full, else its head up to a power of two. The pieces past the head."""
+        used = sum(p[2] for p in pieces)
+        left = used if used == self.limits[0] else 1 << (used.bit_length() - 1)
+        head, rest = [], []
+        for row, start, n in pieces:
+            cut = min(n, left)
+            left -= cut
+            if cut:
+                head.append((row, start, cut))
+            if cut < n:
+                rest.append((row, start + cut, n - cut))
+        self.done.append(head)
+        return rest
 
-    def put(self, k: int, piece) -> None:
-        self.held[k].append(piece)
-        self.free[k] -= self.demand(piece)
-        if self.free[k].min() < 1:
-            self.close(k)
+    def close(self, k: int) -> list:
+        pieces, self.held[k], self.free[k] = self.held[k], None, 0
+        return self.settle(pieces)
 
     def add(self, row) -> None:
-        start = 0
-        while n := row[2] - start:
-            whole = self.head((row, start, n), self.limits)
+        todo = [(row, 0, row[2])]
+        while todo:
+            row, start, n = piece = todo.pop()
+            whole = self.head(piece, self.limits)
             if whole < n:  # as much as a bin takes: a sequence of its own
-                self.done.append([(row, start, whole)])
-                start += whole
+                todo += [(row, start + whole, n - whole), *self.settle([(row, start, whole)])]
                 continue
-            piece = (row, start, n)
             need = np.array(self.demand(piece))
             score = np.where((self.free >= need).all(1), (self.free / self.limits**2) @ need, -1)
             k = int(score.argmax())
             if score[k] < 0:
-                if None in self.held:
-                    k = self.held.index(None)
-                    self.held[k], self.free[k] = [], self.limits
-                else:
+                if None not in self.held:
                     k = int(self.free[:, 0].argmin())
-                    cut = self.head(piece, self.free[k])
-                    if cut:
+                    if cut := self.head(piece, self.free[k]):
                         self.held[k].append((row, start, cut))
-                        start += cut
-                    self.close(k)
+                        piece = (row, start + cut, n - cut)
+                    todo += [*([piece] if piece[2] else []), *self.close(k)]
                     continue
-            self.put(k, piece)
-            return
+                k = self.held.index(None)
+                self.held[k], self.free[k] = [], self.limits
+            self.held[k].append(piece)
+            self.free[k] -= need
+            if self.free[k].min() < 1:
+                todo += self.close(k)
 
     def finish(self) -> None:
         """Deal what is open into full bins; the rest into lengths that are powers of two."""
         todo = [p for b in self.held if b for p in b][::-1]
-        free, bin_ = self.limits.copy(), []
         self.held = [None] * len(self.held)
-        while todo:
-            row, start, n = piece = todo.pop()
-            if not (cut := self.head(piece, free)):
-                self.done.append(bin_)
-                free, bin_ = self.limits.copy(), []
-                continue
-            bin_.append((row, start, cut))
-            free -= self.demand(bin_[-1])
-            if cut < n:
-                todo.append((row, start + cut, n - cut))
-            if free.min() < 1:
-                self.done.append(bin_)
-                free, bin_ = self.limits.copy(), []
-        left = sum(p[2] for p in bin_)
-        todo = bin_[::-1]
-        while left:
-            size, bin_ = 1 << (left.bit_length() - 1), []
-            left -= size
-            while size:
+        self.free[:] = 0
+        free, bin_ = self.limits.copy(), []
+        while todo or bin_:
+            cut = self.head(todo[-1], free) if todo else 0
+            if cut:
                 row, start, n = todo.pop()
-                cut = min(n, size)
                 bin_.append((row, start, cut))
-                size -= cut
+                free -= self.demand(bin_[-1])
                 if cut < n:
                     todo.append((row, start + cut, n - cut))
-            self.done.append(bin_)
+            if not cut or free.min() < 1:
+                todo += self.settle(bin_)[::-1]
+                free, bin_ = self.limits.copy(), []
 
 
 def pack(

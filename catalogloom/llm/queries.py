@@ -16,8 +16,8 @@ BPE_JSON, BPE_RANKS = public_tokenizers.path("byte_bpe_50k.json"), public_tokeni
 
 #: Documents with a lower score are rejected.
 QUALITY_AT = 0.3
-#: Most pieces of a sequence.
-SEGMENTS = 4
+#: Most pieces of a sequence of 1024 tokens.
+SEGMENTS = 128
 
 
 def remainder():

@@ -94,6 +94,43 @@ def test_pack_of_null_ids_repeats_and_nothing(frame):
     assert packing.pack(frame(rows).where("doc_id < 0"), queries.BPE_JSON, queries.BPE_RANKS).count() == 0
 
 
+def padding(pieces, size):
+    """Share of places without a token: sequences are as long as ``size``, or a power of two."""
+    length = defaultdict(int)
+    for p in pieces:
+        length[p["sequence_id"]] += p["length"]
+    places = [n if n == size or n & (n - 1) == 0 else size for n in length.values()]
+    return 1 - sum(length.values()) / sum(places)
+
+
+@pytest.mark.parametrize("segments", [queries.SEGMENTS, 4, 1])
+@pytest.mark.parametrize("words", [[12], [0], [3000], [0, 1, 12, 400, 2500]])
+def test_little_padding_whatever_the_lengths(frame, prose, words, segments):
+    rows = [(i, prose(i % 50, words[i % len(words)])) for i in range(400)]
+    pieces = packing.pack(frame(rows, 2), queries.BPE_JSON, queries.BPE_RANKS, max_segments=segments).collect()
+    assert padding(pieces, 1024) < 0.01
+    held = defaultdict(list)
+    for p in pieces:
+        held[p["sequence_id"]].append(p)
+    assert max(map(len, held.values())) <= segments and all(sorted(p["offset"] for p in x)[0] == 0 for x in held.values())
+    if words == [12] and segments < 100:
+        assert max(map(len, held.values())) == segments  # the limit binds
+
+
+def test_each_limit_binds(frame, prose):
+    rows = frame([(i, prose(i, 30)) for i in range(300)], 2).withColumn("prompt", F.lit(5))
+    most = {}
+    for name, segments, loss in (("tokens", 256, None), ("segments", 2, None), ("loss", 256, 100)):
+        pieces = packing.pack(rows, queries.BPE_JSON, queries.BPE_RANKS, max_tokens=256, max_segments=segments, max_loss=loss, prompt_col="prompt").collect()
+        held = defaultdict(list)
+        for p in pieces:
+            held[p["sequence_id"]].append(p)
+        most[name] = [max(f(x) for x in held.values()) for f in (lambda x: sum(p["length"] for p in x), len, lambda x: sum(p["loss_tokens"] for p in x))]
+        assert padding(pieces, 256) == 0 and sum(p["length"] for p in pieces) == sum(p["doc_tokens"] for p in pieces if p["start"] == 0)
+    assert most["tokens"][0] == 256 and most["tokens"][1] > 2 and most["tokens"][2] > 100
+    assert most["segments"][1] == 2 and 64 < most["loss"][2] <= 100
+
+
 def test_ids_equal_the_tokenizer_on_a_whole_table(spark):
     t = Tokenizer.from_file(queries.BPE_JSON)
     coder = packing.ByteBpe(queries.BPE_JSON, queries.BPE_RANKS)
