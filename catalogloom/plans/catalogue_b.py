@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.canonical import input_hash
 from ..functions import cells
 from ..operators import facets, ledger, markup, resolve, rollups, snapshots, statistics
 from .registry import query, t
@@ -56,9 +57,15 @@ def ledger_votes(spark, sf):
     return ledger.votes(_latest(spark, sf).withColumn("tags", F.array_sort("tags")), "user_id", "event_type", "tags")
 
 
-@query("SELECT user_id FROM events GROUP BY user_id HAVING count(DISTINCT event_type) = 5")
+# What each labeller was shown: for every third user the clicks' labeller had a lead text too.
+
+
+@query("""SELECT user_id FROM (SELECT user_id, event_type, sha256('{"prompt_version":"p1","record":{"composer_id":"Q' || user_id || '","wikipedia_lead":' || CASE WHEN user_id % 3 = 0 AND event_type = 'click' THEN '"A \\"lead\\""' ELSE 'null' END || '}}') AS h FROM events) GROUP BY user_id HAVING count(DISTINCT event_type) = 5 AND count(DISTINCT h) = 1""")
 def answered_by_all(spark, sf):
-    return ledger.answered_by_all(t(spark, sf, "events").withColumn("input", F.lit("x")), "user_id", "event_type", "input", 5)
+    u = F.col("user_id")
+    lead = F.when((u % 3 == 0) & (F.col("event_type") == "click"), 'A "lead"')
+    rows = t(spark, sf, "events").withColumn("record", F.struct(lead.alias("wikipedia_lead"), F.concat(F.lit("Q"), u).alias("composer_id")))
+    return ledger.answered_by_all(rows.withColumn("input", input_hash(F.col("record"), rows.schema["record"].dataType, "p1")), "user_id", "event_type", "input", 5)
 
 
 @query("SELECT DISTINCT c_custkey AS user_id FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)")

@@ -12,14 +12,20 @@ from pyspark.sql.types import StringType, StructField, StructType
 LEDGER = "composer_id string, condition string, backend string, model string, effort string, prompt_version string, input_hash string, styles array<string>, primary_period string, confidence double, run_id string, batch_id string, created_at string"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder of ``spark.checkpoint.dir``, which cuts its lineage; a local session without one gets a temporary folder."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; a local session without one gets a temporary folder, on a cluster that is an error."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = sc.getConf().get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="catalogloom-"))
+    return sc.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder, which cuts its lineage."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

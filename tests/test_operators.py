@@ -216,7 +216,7 @@ def test_stream_merges_into_latest(spark, tmp_path):
     for i, rows in enumerate([[("a", "2024-01-01 00:00:00", 1)], [("a", "2024-01-02 00:00:00", 2), ("b", "2024-01-01 00:00:00", 3)]]):
         spark.createDataFrame(rows, "k string, at string, v int").selectExpr("k", "cast(at as timestamp) at", "v").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in/{i}")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
-    q = stream.writeStream.foreachBatch(intake.merge_latest(f"{tmp_path}/state", ["k"], "at")).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    q = stream.writeStream.foreachBatch(intake.merge_latest(f"{tmp_path}/state", ["k"], "at", "v")).option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     q.awaitTermination(120)
     last = max(int(p.name.split("=")[1]) for p in (tmp_path / "state").glob("batch=*"))
     got = {r["k"]: r["v"] for r in spark.read.schema(schema).parquet(f"{tmp_path}/state/batch={last}").collect()}
