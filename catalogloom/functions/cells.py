@@ -89,8 +89,15 @@ def page_key(title) -> Column:
 
 
 def category_url(name, base: str) -> Column:
-    """The address of a category."""
-    return F.concat(F.lit(base), F.replace(text(name), F.lit(" "), F.lit("_")))
+    """The address of a category, its prefix put before it if it is missing."""
+    bare = F.trim(text(name))
+    return F.concat(F.lit(base), F.replace(F.when(bare.startswith("Category:"), bare).otherwise(F.concat(F.lit("Category:"), bare)), F.lit(" "), F.lit("_")))
+
+
+def without_composer(title) -> Column:
+    """A work's title without the composer in brackets at its end: 'Sonata (Bell, Ann)' as 'Sonata'."""
+    whole = text(title)
+    return F.trim(F.when(whole.endswith(")") & F.contains(whole, F.lit("(")), F.regexp_replace(whole, r"(?s)\([^(]*$", "")).otherwise(whole))
 
 
 def sort_name(category, display) -> Column:

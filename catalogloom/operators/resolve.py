@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import page_key, page_title, text
+from ..functions.cells import page_key, page_title, split_cell, text
 from .rules import ladder
 
 ACTIVE = ["matched", "unverified_heuristic"]
@@ -94,6 +94,35 @@ def merge_duplicates(df: DataFrame, keys: list[str], primary: list[Column], firs
     return out.select(*keys, "p.*", *lows, *highs, "aliases", "n_merged")
 
 
+def merge_people(df: DataFrame, key: str, order: list[Column], name: str = "name_display", aliases: str = "name_aliases", url: str = "wikipedia_url", birth: str = "birth_year", death: str = "death_year") -> DataFrame:
+    """One row per key: the first row by ``order`` (best unique), with the least birth, the largest death and all aliases.
+
+    An address that joins two people ('and_' in it) stands for the pair: the last such row's address, and the last such
+    row's name, replace those of the first row. Aliases are the other rows' names and all aliases, sorted, without the name
+    that stays. The first row's own name is one of them only if a row behind the first pair has it. Everything is a
+    mergeable aggregate, over rows and then over distinct names, so a repeated key gathers no rows.
+    """
+    place = F.struct(*(c.alias(f"o{i}") for i, c in enumerate(order)))
+    pair = F.contains(F.lower(text(url)), F.lit("and_"))
+    rest = [c for c in df.columns if c != key]
+    rows = df.select("*", place.alias("_o"), pair.alias("_pair"), text(name).alias("_name"))
+    one = rows.groupBy(key).agg(F.min_by(F.struct(*rest), "_o").alias("p"), F.min(birth).alias("_birth"), F.max(death).alias("_death"), F.max_by(F.when(F.col("_pair"), text(url)), F.when(F.col("_pair"), F.col("_o"))).alias("_url"), F.count(F.lit(1)).alias("n_merged"))
+    named = rows.groupBy(key, "_name").agg(F.max("_o").alias("last"), F.min(F.when(F.col("_pair"), F.col("_o"))).alias("first_pair"), F.max(F.when(F.col("_pair"), F.col("_o"))).alias("last_pair")).where("_name <> ''")
+    names = named.groupBy(key).agg(F.collect_list(F.struct(F.col("_name").alias("name"), "last", "first_pair", "last_pair")).alias("names"))
+    listed = rows.select(key, F.explode(split_cell(aliases)).alias("a")).groupBy(key).agg(F.collect_set("a").alias("listed"))
+    own = text(F.col("p")[name])
+    pairs = F.filter(F.coalesce("names", F.array().cast(dict(names.dtypes)["names"])), lambda x: x["last_pair"].isNotNull())
+    by_place = F.array_sort(F.transform(pairs, lambda x: F.struct(x["last_pair"].alias("o"), x["name"].alias("name"))))
+    final = F.coalesce(F.try_element_at(by_place, F.lit(-1))["name"], own)
+    begun = F.array_min(F.transform(F.filter(pairs, lambda x: x["name"] != own), lambda x: x["first_pair"]))
+    seen = F.filter(F.coalesce("names", F.array().cast(dict(names.dtypes)["names"])), lambda x: (x["name"] != own) | F.coalesce(x["last"] > begun, F.lit(False)))
+    joined = one.join(names, key, "left").join(listed, key, "left")
+    all_ = F.array_sort(F.filter(F.array_distinct(F.concat(F.transform(seen, lambda x: x["name"]), F.coalesce("listed", F.array().cast("array<string>")))), lambda a: a != final))
+    changed = {name: final, aliases: F.array_join(all_, "|"), url: F.coalesce("_url", F.col("p")[url]), birth: F.col("_birth"), death: F.col("_death")}
+    one_only = F.col("n_merged") == 1
+    return joined.select(key, *(F.when(one_only, F.col("p")[c]).otherwise(changed[c]).alias(c) if c in changed else F.col("p")[c].alias(c) for c in rest), "n_merged")
+
+
 def authority(df: DataFrame) -> DataFrame:
     """(id, own, found, death, known_death): own id, else the found one; conflict of death years flagged."""
     return df.withColumns(

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.cells import split_cell
+from ..functions.cells import split_cell, text
 
 
 def cell_changes(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -86,6 +86,68 @@ def change_report(old: DataFrame, new: DataFrame, key: str, status: str, src: st
     return violations(both, list(measures.items())).withColumnRenamed("rule", "measure")
 
 
+#: Columns whose changes are none of the data's, and heads of names of such columns.
+IGNORED, IGNORED_HEADS = ["dump_date", "fetched_at"], ("pageviews_",)
+
+
+def diff_report(old: DataFrame, new: DataFrame, keys: list[str], statuses: list[str] = (), years: list[str] = (), transitions: list[str] = (), by_model: dict[str, Column] | None = None, flags: str | None = None, owner: str | None = None, ignored: list[str] = IGNORED) -> DataFrame:
+    """(section, name, value, n): everything that a snapshot's report tells of one table, from one join of both versions.
+
+    ``rows``: rows of either and those added, removed or changed; ``column``: columns added or removed; ``cells``: cells that differ, by column;
+    ``flip``: changes of ``statuses`` as 'from → to'; ``years``: rows in which any of ``years`` changed; ``transition``: changes of those columns;
+    ``by_model``: rows of either version that fulfil each condition; ``flag added`` and ``flag removed``; ``added by`` and ``removed by``:
+    rows by owner. Null equals ''. Columns in ``ignored``, or whose name begins as in ``IGNORED_HEADS``, do not count. Sections without anything have no row.
+    """
+    counts = lambda c: c not in ignored and not c.startswith(IGNORED_HEADS)
+    shared = [c for c in old.columns if c in new.columns and c not in keys]
+    there = [c for c in shared if counts(c)]
+    conditions = by_model or {}
+    side = lambda df, p: df.select(
+        F.struct(*(text(k).alias(k) for k in keys)).alias(f"{p}_key"),
+        F.struct(*(text(c).alias(c) for c in shared)).alias(p),
+        F.array_compact(F.array(*(F.when(held, F.lit(name)) for name, held in conditions.items()), F.lit(None).cast("string"))).alias(f"{p}_model"),
+        (text(owner) if owner else F.lit("")).alias(f"{p}_owner"),
+    )
+    both = side(old, "o").join(side(new, "n"), F.col("o_key") == F.col("n_key"), "full_outer")
+    has_old, has_new = F.col("o_key").isNotNull(), F.col("n_key").isNotNull()
+    kept = has_old & has_new
+    fact = lambda section, name, value="": F.struct(F.lit(section).alias("section"), (F.lit(name) if isinstance(name, str) else name).alias("name"), (F.lit(value) if isinstance(value, str) else value).alias("value"))
+    a, b = (lambda c: F.col("o")[c]), (lambda c: F.col("n")[c])
+    differs = lambda c: kept & (a(c) != b(c))
+    moved = lambda c: F.concat_ws(" → ", F.when(a(c) == "", "(empty)").otherwise(a(c)), F.when(b(c) == "", "(empty)").otherwise(b(c)))
+    any_of = lambda columns: reduce(lambda x, y: x | y, (differs(c) for c in columns), F.lit(False))
+    one = [
+        F.when(has_old, fact("rows", "old")),
+        F.when(has_new, fact("rows", "new")),
+        F.when(~has_old, fact("rows", "added")),
+        F.when(~has_new, fact("rows", "removed")),
+        F.when(any_of(there), fact("rows", "changed")),
+        *(F.when(differs(c), fact("cells", c)) for c in there),
+        *(F.when(differs(c), fact("flip", c, moved(c))) for c in statuses),
+        F.when(any_of(years), fact("years", "changed")),
+        *(F.when(differs(c), fact("transition", c, moved(c))) for c in transitions),
+    ]
+    if owner:
+        one += [F.when(~has_old, fact("added by", F.col("n_owner"))), F.when(~has_new, fact("removed by", F.col("o_owner")))]
+    none = F.array().cast("array<string>")
+    many = [F.transform(F.coalesce(f"{p}_model", none), _named(fact, "by_model", v)) for p, v in (("o", "old"), ("n", "new"))]
+    if flags:
+        before, after = (F.coalesce(split_cell(F.col(p)[flags]), none) for p in ("o", "n"))
+        many += [F.transform(F.array_except(after, before), _named(fact, "flag added", "")), F.transform(F.array_except(before, after), _named(fact, "flag removed", ""))]
+    told = both.select(F.explode(F.concat(F.array_compact(F.array(*one)), *many)).alias("x")).groupBy("x.section", "x.name", "x.value").agg(F.count(F.lit(1)).alias("n"))
+    columns = [("column", c, kind, 1) for kind, names in schema_changes(old, new).items() for c in names if counts(c)]
+    return told.unionByName(old.sparkSession.createDataFrame(columns, "section string, name string, value string, n long"))
+
+
+def _named(fact, section: str, value: str):
+    return lambda x: fact(section, x, value)
+
+
+def has_changes(report: DataFrame) -> bool:
+    """Whether a report tells of any change of data: rows or columns added or removed, or cells that differ."""
+    return not report.where("section IN ('cells', 'column') OR (section = 'rows' AND name IN ('added', 'removed'))").isEmpty()
+
+
 def coverage_gates(old: DataFrame, new: DataFrame, columns: dict[str, float]) -> DataFrame:
     """(column, old, new, ok): shares of filled cells; none may fall by more than its points."""
     share = {c: F.avg((F.coalesce(F.col(c).cast("string"), F.lit("")) != "").cast("double")) for c in columns}

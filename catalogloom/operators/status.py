@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.cells import split_cell, text, year
@@ -188,3 +188,46 @@ def remap_styles(people: DataFrame, table: DataFrame, key: str, styles: str, src
     safe = text(src).rlike("^(llm|override)")
     fill = (F.coalesce("_tags", F.lit("")) != "") & (~held | (F.lit(overwrite) & ~safe))
     return joined.select(*(F.when(fill, F.col("_tags")).otherwise(F.col(c)).alias(c) if c == styles else F.when(fill, "wikidata").otherwise(F.col(c)).alias(c) if c == src else F.col(c) for c in people.columns))
+
+
+def band_order(reference: int, canada: int = 1971) -> list[str]:
+    """All bands of years of death, the earliest first."""
+    last = reference - TERM
+    return [f"≤ {last}", f"{last + 1}–{canada}", f"{canada + 1}–1999", "2000+", "unknown"]
+
+
+def basis_report(works: DataFrame, band: Column, basis: Column, hosts: Column, reference: int, canada: int = 1971) -> DataFrame:
+    """(section, row, col, n) over works, all off one cube of their bands, bases and hosts, zeros filled in.
+
+    ``basis``: band by basis; ``warned`` and ``works``: those with a warning and all of a band; ``unflagged``: without a basis, by
+    band (those out of protection and unknown ones aside) and hosts; ``hosts``: hosts by band.
+    """
+    bands, keys = band_order(reference, canada), [*(k for k, _ in BASIS), "none"]
+    cube = works.select(band.alias("b"), basis.alias("k"), hosts.alias("h")).groupBy("b", "k", "h").agg(F.count(F.lit(1)).alias("n"))
+    fact = lambda section, row, col: F.struct(F.lit(section).alias("section"), row.alias("row"), col.alias("col"))
+    b, k, h, none = F.col("b"), F.col("k"), F.col("h"), F.lit("")
+    facts = F.array_compact(
+        F.array(fact("basis", b, k), fact("works", b, none), F.when(k == "eu_warning", fact("warned", b, none)), F.when((k == "none") & ~b.isin(bands[0], "unknown"), fact("unflagged", b, h)), fact("hosts", h, b))
+    )
+    told = cube.select("n", F.explode(facts).alias("x")).groupBy("x.section", "x.row", "x.col").agg(F.sum("n").alias("n"))
+    spark = works.sparkSession
+    grid = [("basis", x, y) for x in bands for y in keys] + [(s, x, "") for s in ("works", "warned") for x in bands]
+    wanted = spark.createDataFrame(grid, "section string, row string, col string")
+    seen = told.where("section = 'hosts'").select("section", "row").distinct().select("section", "row", F.explode(F.array(*map(F.lit, bands))).alias("col"))
+    zeros = wanted.unionByName(seen).join(told, ["section", "row", "col"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return zeros.unionByName(told.where("section = 'unflagged'"))
+
+
+def residual_queue(works: DataFrame, key: str, owner: str, label: str, context: str, title: str, weak: list[str], protected: DataFrame, head: int, shown: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The queue of works to judge again, and (owner, titles, n) of the owners in it.
+
+    Works with a ``weak`` label whose key is not ``protected``; those with a context first, then by key, the first ``head`` (a
+    queue's head, taken by partial sorts). An owner shows its first ``shown`` titles by key, kept as a bounded list.
+    """
+    open_ = works.where(text(label).isin(weak)).join(protected.select(key).distinct(), key, "left_anti")
+    queue = open_.withColumn("has_context", text(context) != "").orderBy(F.desc("has_context"), key).limit(head)
+    rank = F.row_number().over(Window.partitionBy(owner).orderBy(key))
+    few = open_.select(owner, key, title).withColumn("_r", rank).where(F.col("_r") <= shown)
+    titles = few.groupBy(owner).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", title))), lambda x: x[title]).alias("titles"))
+    counts = open_.groupBy(owner).agg(F.count(F.lit(1)).alias("n"))
+    return queue, titles.join(counts, owner).select(owner, F.array_join("titles", "|").alias("titles"), "n")

@@ -84,7 +84,7 @@ _PARTS = "SELECT l_orderkey AS k, l_linenumber AS part, unnest(['s' || (l_suppke
 
 
 @query(f"""WITH f AS (SELECT k, v, min(part * 10 + pos) AS first FROM ({_PARTS}) GROUP BY 1, 2) SELECT o_orderkey, coalesce('t' || (SELECT min(l_linenumber) FROM lineitem WHERE l_orderkey = o_orderkey), '') AS title, coalesce(l, '') AS categories, n IS NULL OR coalesce(m, false) AS missing, coalesce(r, false) AS redirect
-    FROM orders LEFT JOIN (SELECT k, string_agg(v, '|' ORDER BY first) AS l, count(*) AS n FROM f GROUP BY 1) ON k = o_orderkey LEFT JOIN (SELECT l_orderkey, bool_or(l_linenumber = 3 AND l_orderkey % 5 = 0) AS m, bool_or(l_linenumber = 2) AS r FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
+    FROM orders LEFT JOIN (SELECT k, string_agg(v, '|' ORDER BY first, v) AS l, count(*) AS n FROM f GROUP BY 1) ON k = o_orderkey LEFT JOIN (SELECT l_orderkey, bool_or(l_linenumber = 3 AND l_orderkey % 5 = 0) AS m, bool_or(l_linenumber = 2) AS r FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""")
 def page_lists_merged(spark, sf):
     n, named = F.col("l_linenumber"), lambda c: F.concat(F.lit("Category:"), c)
     mode = F.concat(F.lit("s"), F.col("l_suppkey") % 4)

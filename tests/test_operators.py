@@ -155,6 +155,10 @@ def test_blocks_of_nested_and_open_templates():
     got = markup.blocks(page)
     assert [(b["name"], b["section"], dict(b["fields"])) for b in got] == [("x", "A", {}), ("box", "B", {"One": "again", "Two": "c}} d more"}), ("never", "B", {"K": "v"})]
     assert markup.blocks("") == [] and markup.blocks("{ } text") == []
+    page = "= A =\n{{wrap|x=\n= B =\n{{#fte:imslpfile\n|Copyright=CC {{x}}\n more\n{{#fte:inner\n|K=v}}\n}}\n}}\n{{#fte:imslpaudio\n|Copyright=PD"
+    got = markup.blocks(page)
+    assert [(b["name"], b["section"]) for b in got] == [("wrap", "A"), ("#fte:imslpfile", "B"), ("#fte:inner", "B"), ("#fte:imslpaudio", "B")]
+    assert dict(got[1]["fields"])["Copyright"].startswith("CC {{x}} more") and dict(got[3]["fields"]) == {"Copyright": "PD"}
 
 
 def test_places_of_every_partitioning(spark):

@@ -32,6 +32,24 @@ def test_templates(spark):
     assert got[8] == ("person", None, None, "", [])
 
 
+def test_trees_of_pages():
+    source = "a {{b|c={{d|e}}|[[f|g]]}} [[h|{{i}} | j]] }} ]] [[open {{k|[[l}} m"
+    tree = persons.tree(source)
+    assert persons.source_of(tree.parts[0]) == source
+    assert [n.source() for n in persons.nodes(tree.parts[0], "{{")] == ["{{b|c={{d|e}}|[[f|g]]}}", "{{d|e}}", "{{i}}", "{{k|[[l}}"]
+    assert persons.source_of(persons.tree("x<!-- {{a}} <!-- -->y<!-- z").parts[0]) == "xy"
+    assert persons.tree("").parts == [[]]
+
+
+def test_odd_templates():
+    p = persons.person
+    assert p("{{wrap|{{#FTE : Composer x|Born Year=1700}}}}") == ("composer", 1700, None, "", [])
+    assert p("{{#fte:person|Born Year={{y|1700}}|Died Year=17000|Biography Link={{wp|de:A}}|Alternate Names=[[a|b|c]], {{other|x}}<BR>N"  ) == ("person", None, None, "", ["b", "c", "{{other", "x}}", "N"])
+    assert p("{{#fte:person|Biography Link=[[b]] [[W : En:A_b]] [[wikipedia:c]]|Alternate Names={{AltNames|{{RFNspace|A| |B}}|[[c]]}}}}") == ("person", None, None, "A_b", ["A B", "c"])
+    assert p("{{#fte:person|Biography Link=[[w:de:A]] {{wp|B}}}}")[3] == "" and p("{{#fte:person|Biography Link={{wp| B c |d}}}}")[3] == "B c"
+    assert p("{{#fte:person|Biography Link=//en.wikipedia.org/wiki/A_(b) x}}")[3] == "A_(b)"
+
+
 def test_overrides_in_order(spark):
     people = spark.createDataFrame([("a", "1900", "f", "x", 0, -1, "", "C1"), ("Q2", "1990", "", "x", 0, -1, "", "C2"), ("c", "", "", "x", 0, -1, "", "C3"), ("d", "1", "", "x", 0, -1, "", "C4")], "id string, death_year string, qa_flags string, eu_pd_status string, eu_pd_year int, n_works long, present string, category string")
     works = spark.createDataFrame([("a", "F"), ("a", "O"), ("old2", "P"), ("Q2", "F"), ("d", "F"), ("e", "F")], "id string, category string")
