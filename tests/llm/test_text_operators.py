@@ -72,10 +72,50 @@ def test_automaton_replaceable(text, n):
     assert license_scan.TemplateAutomaton("a <<var:2>> z").accepts_at(text.split(), 0) == n
 
 
-def test_full_license_text(frame):
-    mit = next(x for label, x in license_scan.TEMPLATES if label == "mit" and "<<var:60>>" in x).replace("<<optional>>", "").replace("<</optional>>", "").replace("<<var:60>>", "The above copyright notice shall be included.")
-    got = {r["doc_id"]: r for r in license_scan.license_scan(frame([(1, f"x {mit}."), (2, mit.replace("free of charge", "at a price"))])).collect()}
-    assert got[1]["labels"] == "mit" and got[1]["n_base"] == 0 and got[2]["labels"] == ""
+def test_altered_terms_are_refused(frame):
+    text = {label: plain(x, "Acme") for label, x in reversed(license_scan.TEXTS)}
+    notice = {label: plain(x, "Acme") for label, x in license_scan.NOTICES if len(x) > 300}
+    paid = "you must pay the author one hundred dollars a year and may never use it commercially "
+    rows = [
+        (1, f"x {text['mit']}."),
+        (2, text["mit"].replace("free of charge", "at a price")),
+        (3, text["mit"].replace("the above copyright notice", f"{paid} the above copyright notice")),
+        (4, re.sub("the above copyright notice.*portions of the software", paid, text["mit"])),
+        (5, text["mit"].replace("in no event", "but the author is liable for everything in no event")),
+        (6, notice["apache-2"].replace("you may obtain", "unless you are my friend you may obtain")),
+        (7, notice["gpl-3"].replace("any later version", "any later version but never for money")),
+        (8, notice["gpl-3"] + " but see below"),
+        (9, text["bsd-3"].upper()),
+        (10, text["bsd-2"].replace("this software is provided", f"{paid} this software is provided")),
+        (11, re.sub(" in no event shall.*", "", text["isc"])),
+    ]
+    got = {r["doc_id"]: (r["labels"], r["text_labels"]) for r in license_scan.license_scan(frame(rows)).collect()}
+    assert got[1] == ("mit", "mit") and got[8] == ("gpl-3", "") and got[9] == ("bsd-3", "bsd-3") and got[6] == ("apache-2", "")  # the mention alone
+    assert {got[i] for i in (2, 3, 4, 5, 7, 10, 11)} == {("", "")}
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_automaton_equals_a_regexp(seed):
+    import random
+
+    r = random.Random(seed)
+    word = lambda: r.choice("abc")
+    markup, pattern = word(), ""
+    pattern = markup
+    for _ in range(r.randint(1, 6)):
+        kind = r.choice(["word", "var", "optional"])
+        n = r.randint(1, 3)
+        if kind == "var":
+            markup, pattern = f"{markup} <<var:{n}>>", f"{pattern}(?: \\w){{0,{n}}}"
+        else:
+            words = [word() for _ in range(n)]
+            markup += f" <<optional>>{' '.join(words)}<</optional>>" if kind == "optional" else f" {' '.join(words)}"
+            pattern += f"(?:{''.join(f' {w}' for w in words)})?" if kind == "optional" else "".join(f" {w}" for w in words)
+    automaton = license_scan.TemplateAutomaton(markup)
+    for _ in range(60):
+        words = [word() for _ in range(r.randint(1, 14))]
+        fits = [n for n in range(1, len(words) + 1) if re.fullmatch(pattern, " ".join(words[:n]))]
+        assert automaton.accepts_at(words, 0) == min(fits, default=0), (markup, words)
 
 
 def plain(markup, fill):
@@ -88,7 +128,7 @@ def test_every_template_accepts_its_own_text(frame):
     got = {r["doc_id"]: set(r["labels"].split(",")) for r in license_scan.license_scan(frame(rows)).collect()}
     for i, (label, _) in enumerate(license_scan.TEMPLATES):
         assert label in got[i], label
-        if label in ("isc", "zlib", "lgpl", "unlicense", "mpl-2") and 100 + i in got:
+        if label in ("isc", "zlib", "lgpl-3", "unlicense", "mpl-2") and 100 + i in got:
             assert label not in got[100 + i], label
 
 
@@ -117,10 +157,15 @@ def test_mixture_equals_a_plain_one():
     assert np.allclose(language_id.expect_maximise(like, counts.astype(float), rounds=400, tol=1e-12)[0], twice, atol=1e-9)
 
 
-def test_junk_labels_are_bounded(frame, prose):
-    rows = [(i, prose(i % 2, 30)) for i in range(40)]
-    docs = frame(rows).withColumn("lang", F.when(F.col("doc_id") < 20, F.concat(F.lit("junk"), "doc_id")).otherwise("xx"))
-    assert list(language_id.fit(docs, max_langs=3)) == ["junk0", "junk1", "xx"]
+def test_every_label_is_learned(frame, spark):
+    """300 labels of four rows each, every label with words of its own."""
+    text = lambda k, j: " ".join(f"{chr(97 + k % 26)}{chr(97 + k // 26)}{chr(97 + (k * 7 + w) % 26)}x" for w in range(j, j + 12))
+    rows = [(4 * k + j, text(k, j)) for k in range(300) for j in range(4)]
+    docs = frame(rows).withColumn("lang", F.format_string("l%03d", F.floor(F.col("doc_id") / 4).cast("int")))
+    tables = language_id.fit(docs)
+    assert list(tables) == [f"l{k:03d}" for k in range(300)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(frame([(k, text(k, 2)) for k in (0, 55, 299)]), tables).collect()}
+    assert got == {0: "l000", 55: "l055", 299: "l299"}
 
 
 def scalar_ftrl(rows, size, epochs, alpha, beta, l1, l2):
