@@ -140,3 +140,29 @@ def pilot_sample(df: DataFrame, groups: list[tuple[str, Column, int]], key: str,
     for head in heads[1:]:
         out = out.unionByName(head)
     return out
+
+
+#: Flags that keep a person out of a pilot sample, and how many of each group it has.
+PILOT_EXCLUDED = ["not_human", "no_composer_occupation"]
+PILOT_SIZES = {"wikidata": 40, "pd": 40, "other": 20}
+
+
+def pilot_of_people(people: DataFrame, key: str, seed: str) -> DataFrame:
+    """(key, group): a pilot sample of people without an excluding flag (a sampling operator), in hash order.
+
+    ``wikidata``: styles by that source; ``pd``: out of protection, with works and without styles; ``other``: with an article, those of
+    neither pool before others. A person is in one group only. Raises if a group cannot be filled.
+    """
+    flagged = F.arrays_overlap(F.split(text("qa_flags"), r"\|"), F.array(*map(F.lit, PILOT_EXCLUDED)))
+    first = text("style_tags_src") == "wikidata"
+    second = (text("eu_pd_status") == "pd") & (F.coalesce(F.expr("try_cast(imslp_works_count AS double)"), F.lit(0.0)) > 0) & (text("style_tags") == "")
+    pool = people.where(~flagged).select(key, first.alias("wikidata"), second.alias("pd"), (text("wikipedia_url") != "").alias("other"), hash_order(seed, key).alias("_h"))
+    out = None
+    for group, n in PILOT_SIZES.items():
+        rest = pool if out is None else pool.join(out, key, "left_anti")
+        order = [F.asc("_h"), F.asc(key)] if group != "other" else [(F.col("wikidata") | F.col("pd")).asc(), F.asc("_h"), F.asc(key)]
+        head = rest.where(F.col(group)).orderBy(*order).limit(n).select(key, F.lit(group).alias("group"))
+        if (got := head.count()) < n:
+            raise ValueError(f"{group}: {n} wanted, the pool has {got}")
+        out = head if out is None else out.unionByName(head)
+    return out

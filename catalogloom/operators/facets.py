@@ -43,10 +43,19 @@ def run(query: FacetQuery, parents: DataFrame, children: DataFrame, key: str, ch
     counts = fitting.groupBy(F.col(child_key).alias(key)).agg(F.count(F.lit(1)).alias("n_matches"))
     need = query.with_children or any(query.child_in.values())
     found = found.join(counts, key, "inner" if need else "left").withColumn("n_matches", F.coalesce("n_matches", F.lit(0)).cast("long"))
-    if query.sort:
-        way = F.col(query.sort).desc_nulls_last() if query.descending else F.col(query.sort).asc_nulls_last()
-        found = found.orderBy(way, F.asc(name), F.asc(key))
-    return found
+    return found.orderBy(*_order(query, key, name)) if query.sort else found
+
+
+def _order(query: FacetQuery, key: str, name: str) -> list[Column]:
+    way = F.col(query.sort).desc_nulls_last() if query.descending else F.col(query.sort).asc_nulls_last()
+    return [way, F.asc(name), F.asc(key)]
+
+
+def run_numbered(query: FacetQuery, parents: DataFrame, children: DataFrame, key: str, child_key: str, name: str) -> DataFrame:
+    """``run`` with ``place`` from 0 in its order, so that a page of results is a range of places."""
+    found = run(FacetQuery(**{**query.__dict__, "sort": ""}), parents, children, key, child_key, name)
+    placed, _ = places(found, _order(query, key, name))
+    return placed.withColumnRenamed("_place", "place")
 
 
 def _each(facets: dict[str, Column]) -> Column:

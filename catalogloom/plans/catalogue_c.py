@@ -6,42 +6,44 @@ from pyspark.sql import functions as F
 
 from ..operators import audits
 from .catalogue_b import _LATEST, _latest
-from .registry import inline, query, t
+from .catalogue_d import pick, sql_pick
+from .registry import query, t
 
-REGISTRY = [
-    ("Q1", "CC-BY-4.0", "https://a.org/x", "12"),
-    ("Q2", "PD-note", "ftp://a.org/x", "3"),
-    ("Q2", "CC0-1.0", "http://b.org", "-1"),
-    (" ", "CC0-1.0", "http://b.org", "1"),
-    ("Q3", "", "", "many"),
-]
+# A registry of one row for each supplier, with faults by its key.
+
+LICENCES, URLS, COUNTS = ["CC-BY-4.0", "PD-note", "CC0-1.0", ""], ["https://a.org/x", "ftp://a.org/x", "http://b.org", ""], ["12", "-1", "many"]
+_ROWS = f"SELECT CASE WHEN s_suppkey % 13 = 0 THEN '' WHEN s_suppkey % 10 = 1 THEN 'Q' || (s_suppkey // 20) ELSE 'S' || s_suppkey END AS id, {sql_pick(LICENCES, 's_suppkey')} AS l, {sql_pick(URLS, 's_suppkey // 4')} AS u, {sql_pick(COUNTS, 's_suppkey')} AS n FROM supplier"
 
 
 @query(
-    """SELECT * FROM (VALUES ('Q2', 'licence is not open', 'licence'), ('Q2', 'not an http url', 'url'), ('Q2', 'not a count', 'n_links'), ('Q2', 'duplicate key', 'id'), ('', 'missing key', 'id'),
-    ('Q3', 'missing field', 'licence'), ('Q3', 'missing field', 'url'), ('Q3', 'not a count', 'n_links')) AS v(id, error, "column")"""
+    f"""WITH r AS ({_ROWS}), k AS (SELECT * FROM r WHERE id <> '') SELECT '' AS id, 'missing key' AS error, 'id' AS "column" FROM r WHERE id = '' UNION ALL SELECT id, 'missing field', 'licence' FROM k WHERE l = '' UNION ALL SELECT id, 'missing field', 'url' FROM k WHERE u = ''
+    UNION ALL SELECT id, 'licence is not open', 'licence' FROM k WHERE l = 'PD-note' UNION ALL SELECT id, 'not an http url', 'url' FROM k WHERE u LIKE 'ftp%' UNION ALL SELECT id, 'not a count', 'n_links' FROM k WHERE n <> '12' UNION ALL SELECT id, 'duplicate key', 'id' FROM k GROUP BY id HAVING count(*) > 1"""
 )
 def registry_errors(spark, sf):
-    return audits.registry_errors(inline(spark, REGISTRY, "id string, licence string, url string, n_links string"), "id", ["licence", "url"], "licence", ["url"], ["n_links"])
+    k = F.col("s_suppkey")
+    key = F.when(k % 13 == 0, " ").when(k % 10 == 1, F.concat(F.lit("Q"), F.expr("s_suppkey div 20"))).otherwise(F.concat(F.lit("S"), k))
+    rows = t(spark, sf, "supplier").select(key.alias("id"), pick(LICENCES, "s_suppkey").alias("licence"), pick(URLS, "s_suppkey div 4").alias("url"), pick(COUNTS, "s_suppkey").alias("n_links"))
+    return audits.registry_errors(rows, "id", ["licence", "url"], "licence", ["url"], ["n_links"])
+
 
+# A crosswalk of one row for each part, against a vocabulary of the parts' types and the nations' names.
 
-CROSSWALK = [
-    ("form", "sonata", "x", "exactMatch", "Sonatas", "http://x.org/gf0000000001"),
-    ("form", "suite", "", "", "", ""),
-    ("form", "march", "", "closeMatch", "", ""),
-    ("form", "polka", "x", "sameAs", "", "http://y.org/gf0000000001"),
-    ("mood", "sad", "x", "exactMatch", "Sad", "http://x.org/gf0000000002"),
-    ("form", "song", "z", "exactMatch", "Songs", "http://z.org/1"),
-]
+SCHEMES, RELATIONS, URIS = ["x", "", "z"], ["exactMatch", "sameAs", "", "closeMatch"], ["http://x.org/gf0000000001", "http://y.org/gf0000000001", "http://x.org/1", ""]
+_CROSS = f"SELECT CASE WHEN p_partkey % 5 = 0 THEN 'mood' ELSE 'type' END AS facet, p_type || CASE WHEN p_partkey % 7 = 0 THEN '?' ELSE '' END AS value, {sql_pick(SCHEMES, 'p_partkey')} AS s, {sql_pick(RELATIONS, 'p_partkey')} AS r, CASE WHEN p_partkey % 11 = 0 THEN '' ELSE 'L' END AS l, {sql_pick(URIS, 'p_partkey // 3')} AS u FROM part"
 
 
 @query(
-    """SELECT * FROM (VALUES ('form', 'march', 'filled without a scheme', 'scheme'), ('form', 'polka', 'unknown value', 'value'), ('form', 'polka', 'unknown relation', 'relation'), ('form', 'polka', 'uri of another scheme', 'uri'),
-    ('form', 'polka', 'empty label', 'label'), ('mood', 'sad', 'unknown facet', 'facet'), ('form', 'song', 'unknown scheme', 'scheme'), ('form', 'opera', 'unmapped value', 'value')) AS v(facet, value, error, "column")"""
+    f"""WITH c AS ({_CROSS}), f AS (SELECT * FROM c WHERE facet = 'type') SELECT facet, value, 'unknown facet' AS error, 'facet' AS "column" FROM c WHERE facet = 'mood' UNION ALL SELECT facet, value, 'unknown value', 'value' FROM f WHERE value LIKE '%?' UNION ALL SELECT facet, value, 'filled without a scheme', 'scheme' FROM f WHERE s = '' AND r || l || u <> ''
+    UNION ALL SELECT facet, value, 'unknown scheme', 'scheme' FROM f WHERE s = 'z' UNION ALL SELECT facet, value, 'unknown relation', 'relation' FROM f WHERE s = 'x' AND r NOT LIKE '%Match' UNION ALL SELECT facet, value, 'uri of another scheme', 'uri' FROM f WHERE s = 'x' AND u <> 'http://x.org/gf0000000001' UNION ALL SELECT facet, value, 'empty label', 'label' FROM f WHERE s = 'x' AND l = ''
+    UNION ALL SELECT DISTINCT 'type', v, 'unmapped value', 'value' FROM (SELECT n_name AS v FROM nation UNION ALL SELECT p_type FROM part) WHERE v NOT IN (SELECT value FROM f)"""
 )
 def crosswalk_errors(spark, sf):
-    vocabulary = inline(spark, [("form", x) for x in ("sonata", "suite", "march", "song", "opera")], "facet string, value string")
-    rows = inline(spark, CROSSWALK, "facet string, value string, scheme string, relation string, label string, uri string")
+    k, parts = F.col("p_partkey"), t(spark, sf, "part")
+    vocabulary = parts.select(F.lit("type").alias("facet"), F.col("p_type").alias("value")).unionByName(t(spark, sf, "nation").select(F.lit("type").alias("facet"), F.col("n_name").alias("value")))
+    rows = parts.select(
+        F.when(k % 5 == 0, "mood").otherwise("type").alias("facet"), F.concat("p_type", F.when(k % 7 == 0, "?").otherwise("")).alias("value"), pick(SCHEMES, "p_partkey").alias("scheme"), pick(RELATIONS, "p_partkey").alias("relation"),
+        F.when(k % 11 == 0, "").otherwise("L").alias("label"), pick(URIS, "p_partkey div 3").alias("uri"),
+    )
     return audits.crosswalk_errors(rows, vocabulary, {"x": "http://x.org/"}, ["exactMatch", "closeMatch"], r"(?:mp|gf)\d{10}")
 
 

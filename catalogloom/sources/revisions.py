@@ -35,6 +35,27 @@ def check_schema(old: list[str], new: list[str], may_add: list[str], preserve: b
         raise ValueError(f"columns lost: {lost}; not allowed: {wrong}")
 
 
+def with_columns_after(df: DataFrame, anchor: str, columns: dict) -> DataFrame:
+    """``df`` with columns put right behind ``anchor`` (at the end if it is not there); those that stand elsewhere move."""
+    rest = [c for c in df.columns if c not in columns]
+    at = rest.index(anchor) + 1 if anchor in rest else len(rest)
+    made = [F.lit(v).alias(c) if not hasattr(v, "alias") else v.alias(c) for c, v in columns.items()]
+    return df.select(*rest[:at], *made, *rest[at:])
+
+
+def prepared(df: DataFrame, source: list[str], dump_id: str, may_add: list[str] = (), preserve: bool = False) -> DataFrame:
+    """A result under the contract of its source's columns: checked, in the source's order with additions behind, ``dump_date`` stamped if it is there."""
+    check_schema(source, df.columns, list(may_add), preserve)
+    ordered = df.select(*source, *(c for c in df.columns if c not in source))
+    return ordered.withColumn("dump_date", F.lit(dump_id)) if "dump_date" in ordered.columns else ordered
+
+
+def merged_meta(meta: dict, base: str, output: str, stages: list[dict], columns: dict[str, list[str]], reference_year: int | None = None) -> dict:
+    """A result's lineage: what its last stage told, whence it comes, its stages and columns; the reference year is the given one, else the source's."""
+    year = reference_year or meta.get("pd_reference_year")
+    return meta | {"dump_id": output, "derived_from_dump_id": base, "stages": stages, "pd_reference_year": year} | {f"{k}_columns": v for k, v in columns.items()}
+
+
 def promote(tables: dict[str, DataFrame], root: str, meta: dict, revision: str | None = None) -> str:
     """Write all tables and the lineage to a staging folder of this call's own, then rename it to the revision; nothing is left on failure."""
     spark = next(iter(tables.values())).sparkSession

@@ -37,6 +37,24 @@ def read_tsv(spark: SparkSession, path: str, columns: list[str] | None = None) -
     return reader.csv(path).na.fill("")
 
 
+def typed(cells: DataFrame, schema: str, keep: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Text cells under an explicit schema ('' is null), and (keep, column, cell) of the cells that are not of their type; nothing is inferred.
+
+    Whole numbers may be written with '.0'. Columns that the cells lack are null, others than the schema's are left out.
+    """
+    kinds = cells.sparkSession.createDataFrame([], schema).schema
+    given = {c: F.trim(F.coalesce(F.col(c), F.lit(""))) for c in cells.columns}
+
+    def read(field):
+        cell, kind = given.get(field.name, F.lit("")), field.dataType.simpleString()
+        bare = F.regexp_replace(cell, r"^([+-]?\d+)\.0+$", "$1") if kind in ("int", "bigint") else cell
+        return F.when(cell != "", bare.try_cast(field.dataType))
+
+    wrong = [F.when((given[f.name] != "") & read(f).isNull(), F.struct(F.lit(f.name).alias("column"), given[f.name].alias("cell"))) for f in kinds if f.name in given]
+    faults = cells.select(*keep, F.explode(F.array_compact(F.array(*wrong))).alias("x")).select(*keep, "x.*")
+    return cells.select(*(read(f).alias(f.name) for f in kinds)), faults
+
+
 def write_tsv(df: DataFrame, path: str) -> None:
     """Text cells to ``path``, refusing to overwrite."""
     cells = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns))
@@ -152,3 +170,21 @@ def merge_page_lists(parts: DataFrame, key: str, values: str, prefix: str = "",
 def monthly_sum(items: Column) -> Column:
     """Sum of a list of monthly views; null if the list is."""
     return F.aggregate(F.transform(items, lambda m: m["views"].cast("long")), F.lit(0).cast("long"), lambda a, v: a + F.coalesce(v, F.lit(0).cast("long")))
+
+
+VIEWS = "struct<items:array<struct<views:bigint>>>"
+
+
+def page_views(url, status, body) -> Column:
+    """Views of an article by a stored answer: 0 if it is unknown (404), not a number without an article or after any other failure."""
+    read = F.from_json(body, VIEWS)
+    total = F.coalesce(monthly_sum(read["items"]), F.lit(0)).cast("double")
+    good = status.between(200, 299) & F.try_parse_json(body).isNotNull()
+    return F.when(~F.contains(F.coalesce(url, F.lit("")), F.lit("/wiki/")), float("nan")).when(status == 404, 0.0).when(F.coalesce(good, F.lit(False)), total).otherwise(float("nan"))
+
+
+def entities_of(answers: DataFrame, body: str) -> DataFrame:
+    """(id, entity, missing): each entity of stored answers once, as JSON text; one that an answer marks as missing is told apart, and one that any answer has is there."""
+    each = answers.select(F.explode(F.from_json(F.get_json_object(body, "$.entities"), "map<string,string>")).alias("id", "entity"))
+    gone = F.get_json_object("entity", "$.missing").isNotNull()
+    return each.groupBy("id").agg(F.max(F.when(~gone, F.col("entity"))).alias("entity")).withColumn("missing", F.col("entity").isNull())
