@@ -35,6 +35,27 @@ def test_token_counts(frame, prose):
         assert row["n_tokens"] == sum(n * brute_count(scores, w.encode(), unknown) for w, n in Counter(words).items())
 
 
+def test_long_words_and_ties(prose):
+    import time
+
+    scores = token_counts.read_scores(queries.BPE_RANKS)
+    trie = token_counts.PrefixTrie(scores)
+    unknown = trie.unknown
+    word = (prose(4, 400).replace(" ", "") + "é§").encode()
+    assert len(word) > token_counts.LONG and trie.insert(word) == brute_count(scores, word, unknown) and len(trie) == 1
+    start = time.process_time()
+    assert trie.insert(word * (2_000_000 // len(word))) > 0
+    assert time.process_time() - start < 60
+    tied = token_counts.PrefixTrie({b"a": -1.0, b"b": -1.0, b"ab": -2.0})  # one piece and two have the same score
+    assert tied.insert(b"abab") == 2 and tied.insert(b"aab") == 2 and tied.insert(b"") == 0 and tied.insert(b"xx") == 2
+
+
+def test_small_tries_change_no_count(frame, prose):
+    rows = frame([(i, prose(i, 60)) for i in range(20)])
+    want = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(rows, queries.BPE_RANKS).collect()}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(rows, queries.BPE_RANKS, max_nodes=30).collect()} == want
+
+
 def test_empty_tables(frame, spark):
     none = frame([(1, "x")]).where("doc_id > 1")
     assert token_counts.token_counts(none, queries.BPE_RANKS).count() == 0
