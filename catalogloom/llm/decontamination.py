@@ -197,7 +197,7 @@ def _searcher(rows, window: int, stride: int, edits: float, short: int):
     return fn
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 100, stride: int = 25, edits: float = 0.08, short: int = 50, block_bytes: int = 8 << 20, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, str]:
+def find_hits(docs: DataFrame, benchmark: DataFrame, window: int = 100, stride: int = 25, edits: float = 0.08, short: int = 20, block_bytes: int = 8 << 20, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> tuple[DataFrame, str]:
     """``docs`` with the hits of each row, and the name of that column.
 
     Hits: each benchmark item found, with the place of its best region among the normal form's characters.

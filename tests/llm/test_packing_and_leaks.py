@@ -79,6 +79,31 @@ def test_leaks(frame, spark, prose):
     assert decontamination.find_hits(frame(rows), benchmark.where("item_id > 50"))[0].where(F.size("hits_") > 0).count() == 0
 
 
+def test_short_items_with_edits(frame, spark, prose):
+    items = {1: "the quick brown fox jumps over lazy dogs", 2: "a question of forty chars", 3: "only exact here"}
+    benchmark = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    around = lambda x, i: f"{prose(i, 40)} {x} {prose(i + 1, 40)}"
+    rows = [(1, around(items[1].replace("brown", "brawn"), 1)), (2, around(items[1].replace("quick brown", "quik brwn").replace("dogs", "dog"), 3)), (3, around(items[2].replace("forty", "fort"), 5)), (4, around("onli exact here", 7)), (5, around(items[3], 9)), (6, around("the slow brown fox sleeps under lazy cats", 11))]
+    found, hits = decontamination.find_hits(frame(rows), benchmark)
+    assert {r["doc_id"]: [(h["item_id"], h["edits"]) for h in r[hits]] for r in found.collect()} == {1: [(1, 1)], 2: [(1, 3)], 3: [(2, 1)], 4: [], 5: [(3, 0)], 6: []}
+
+
+def test_edited_passages_are_found(frame, spark, prose):
+    """200 items of 100 characters or more, each in a document with 0, 4 or 8 edits in a window's worth of text: all are found, by their documents alone."""
+    import random
+
+    r = random.Random(2)
+    items = [(i, prose(3000 + i, 60)[:106].strip()) for i in range(200)]
+    rows = []
+    for i, text in items:
+        x = list(text)
+        for at in r.sample(range(2, len(x) - 2), (0, 4, 8)[i % 3]):
+            x[at] = r.choice("bcfgjkmpqvwxyz")
+        rows.append((i, f"{prose(i, 30)} {''.join(x)} {prose(i + 500, 30)}"))
+    found, hits = decontamination.find_hits(frame(rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert all(r["doc_id"] in {h["item_id"] for h in r[hits]} for r in found.collect())
+
+
 def test_banded_alignment():
     r = np.random.default_rng(1)
     for _ in range(40):
