@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogloom.llm import decontamination, line_dedup, packing, quality, queries, simhash
-from catalogloom.llm.common import cut, table
+from catalogloom.llm.common import cut, drop_written, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +56,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages; what a stage has written is deleted once the next one's result is."""
+    docs, written = table(spark, sf_dir, "documents"), None
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs if k == 0 else cut(docs), sf_dir)
+        if k:
+            docs, before = cut(docs), written
+            written = docs
+            if before is not None:
+                drop_written(before)
+        docs = stage(spark, docs, sf_dir)
     return docs
