@@ -52,7 +52,9 @@ def prepared(df: DataFrame, source: list[str], dump_id: str, may_add: list[str]
 
 def merged_meta(meta: dict, base: str, output: str, stages: list[dict], columns: dict[str, list[str]], reference_year: int | None = None) -> dict:
     """A result's lineage: what its last stage told, whence it comes, its stages and columns; the reference year is the given one, else the source's."""
-    year = reference_year or meta.get("pd_reference_year")
+    from ..operators.status import reference_year as stated
+
+    year = reference_year or stated(meta, datetime.now(timezone.utc).year)
     return meta | {"dump_id": output, "derived_from_dump_id": base, "stages": stages, "pd_reference_year": year} | {f"{k}_columns": v for k, v in columns.items()}
 
 
