@@ -15,9 +15,8 @@ from ..functions.cells import text
 from ..operators.statistics import places
 from .tables import checkpointed
 
-#: The forms of a ranked line and of a numbered link.
-RANKED = r"^(Q\d+)\t(\d+)\t(\S*)\t?(.*)$"
-LINK = r"^\d+\.\s+\[(.*)\]\((https?://\S+)\)\s*$"
+#: Fixed value: how a key looks.
+KEY = r"^Q\d+$"
 HEADER = r"^#\s*([a-z_]+)=(.*)$"
 #: The header that begins a session, and the one that lists keys without an answer.
 HEAD, MISSING = "tokens_used", "missing"
@@ -50,12 +49,15 @@ def sessions(lines: DataFrame, head: Column) -> DataFrame:
 
 def parsed(lines: DataFrame) -> DataFrame:
     """Lines with their session and parts: ``name``/``told`` of headers, ``key``, ``rank``, ``url``, ``title`` of ranked lines; ``kind`` is header, row, blank or other."""
-    part = lambda p, i: F.regexp_extract("value", p, i)
-    head = (part(HEADER, 1) == HEAD) & F.col("value").rlike(HEADER)
-    kind = F.when(F.trim("value") == "", "blank").when(F.col("value").rlike(HEADER), "header").when(F.col("value").rlike(RANKED), "row").otherwise("other")
-    rows = sessions(lines, head).withColumn("kind", kind)
+    part = lambda i: F.regexp_extract("value", HEADER, i)
+    cells = F.split("value", "\t", 4)
+    cell = lambda i: F.coalesce(F.try_element_at(cells, F.lit(i)), F.lit(""))
+    is_header = F.col("value").rlike(HEADER)
+    is_row = (F.size(cells) > 2) & cell(1).rlike(KEY) & cell(2).rlike(r"^\d+$") & ~cell(3).rlike(r"\s")
+    kind = F.when(F.trim("value") == "", "blank").when(is_header, "header").when(is_row, "row").otherwise("other")
+    rows = sessions(lines, is_header & (part(1) == HEAD)).withColumn("kind", kind)
     of = lambda k, c: F.when(F.col("kind") == k, c)
-    return rows.withColumns({"name": of("header", part(HEADER, 1)), "told": of("header", F.trim(part(HEADER, 2))), "key": of("row", part(RANKED, 1)), "rank": of("row", F.expr(f"try_cast(regexp_extract(value, r'{RANKED}', 2) AS int)")), "url": of("row", part(RANKED, 3)), "title": of("row", F.trim(part(RANKED, 4)))})
+    return rows.withColumns({"name": of("header", part(1)), "told": of("header", F.trim(part(2))), "key": of("row", cell(1)), "rank": of("row", cell(2).try_cast("int")), "url": of("row", cell(3)), "title": of("row", F.trim(cell(4)))})
 
 
 def answers(lines: DataFrame, asked: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -95,10 +97,18 @@ def numbered_links(chunk: Column) -> Column:
     lines = F.split(F.coalesce(chunk, F.lit("")), r"\r\n|\r|\n")
     at = F.array_position(F.transform(lines, lambda x: F.trim(x)), "Links:")
     below = F.when(at > 0, F.slice(lines, at.cast("int") + 1, F.size(lines))).otherwise(F.array().cast("array<string>"))
-    fits = F.transform(below, lambda x: F.trim(x).rlike(LINK))
-    n = F.array_position(fits, False)
-    block = F.when(n > 0, F.slice(below, F.lit(1), n.cast("int") - 1)).otherwise(below)
-    return F.transform(block, lambda x: F.struct(F.regexp_extract(F.trim(x), LINK, 2).alias("url"), F.trim(F.regexp_replace(F.regexp_extract(F.trim(x), LINK, 1), r"\s+", " ")).alias("title")))
+    numbered = r"^\d+\.\s+\["
+
+    def link(line: Column) -> Column:
+        """The parts of a line '1. [title](address)'; null for another."""
+        end = F.substring_index(line, "](", -1)
+        title = F.regexp_replace(F.left(line, F.char_length(line) - F.char_length(end) - 2), numbered, "")
+        fits = line.rlike(numbered) & F.contains(line, F.lit("](")) & end.rlike(r"^https?://\S+\)$")
+        return F.when(fits, F.struct(F.left(end, F.char_length(end) - 1).alias("url"), F.trim(F.regexp_replace(title, r"\s+", " ")).alias("title")))
+
+    found = F.transform(below, lambda x: link(F.trim(x)))
+    stop = F.array_position(F.transform(found, lambda x: x.isNull()), True)
+    return F.when(stop > 0, F.slice(found, F.lit(1), stop.cast("int") - 1)).otherwise(found)
 
 
 def search_events(events: DataFrame, queries: DataFrame, top: int = 10) -> tuple[DataFrame, DataFrame]:
