@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
 from .byte_terms import LETTERS, Terms
-from .common import cut, sliced
+from .common import cut, drop_written, sliced
 
 COUNTED = "lang string, term string, entries array<struct<source:string,n:bigint,docs:bigint>>"
 FOUND = "lang string, source string, part string, item string, value long"
@@ -202,6 +202,8 @@ def divergences(df: DataFrame, lang_col: str = "lang", source_col: str = "source
     dealt = kept.join(langs.select("lang", "blocks"), "lang").select("lang", "term", "entries", F.expr("pmod(xxhash64(term), blocks)").alias("block"))
     found = dealt.groupBy("lang", "block").cogroup(groups.drop("blocks").groupBy("lang", "block")).applyInArrow(_of_block(top, scale), FOUND)
     found = cut(found)
+    for done in (kept, langs):
+        drop_written(done)
     sums = found.where("part = 'pair'").groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     ranked = [x.withColumn("rank", F.row_number().over(order)) for x in (sums, found.where("part = 'term'"))]
