@@ -6,11 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogloom.functions import styles
-from catalogloom.operators import derive, gold, snapshots, status
+from catalogloom.operators import derive, gold, snapshots, statistics, status
 from catalogloom.sources import revisions, tables
 from catalogloom.streaming import ledger as intake
 
 
+@pytest.mark.parametrize(("n", "take"), [(24, 18), (48, 21), (40, 15), (50, 7), (9, 9)])
+def test_systematic_places_are_all_taken(spark, n, take):
+    """Sizes at which the division that finds a place's number is off by a last digit."""
+    want = {int(0.5 * (n / take) + j * (n / take)) for j in range(take)}
+    rows = spark.range(n).select(F.lit("s").alias("s"), F.lit("x").alias("v"), "id")
+    assert {r.id for r in statistics.systematic(rows, "v", "id", take).collect()} == want
+    ordered = rows.withColumn("v", F.lpad(F.col("id").cast("string"), 3, "0"))
+    assert {r.id for r in statistics.systematic_within(ordered, "s", "v", "id", {"s": (n, take)}, "seed").collect()} == want
+
+
 def test_reference_years():
     assert status.reference_year({"pd_reference_year": "2025", "created_at_utc": "2024-01-01"}, 2026) == 2025
     assert status.reference_year({"created_at_utc": "2024-05-01T00:00:00Z"}, 2026) == 2024 and status.reference_year({}, 2026) == 2026
