@@ -200,10 +200,15 @@ def proposals(found: DataFrame, candidates: DataFrame, key: str) -> DataFrame:
 
 
 def unique_authority(people: DataFrame, records: DataFrame, name: str, key: str) -> DataFrame:
-    """(key, id) where one record of the name was born in the same year, did not die in another, and died in it or has the profession."""
-    found = people.join(records, name).where("born = birth and (died is null or death is null or died = death)")
+    """(key, id) where one record of the name was born in the same year, did not die in another, and died in it or has the profession.
+
+    Records alike in name, years and profession are told by their least and greatest id, which are one where a person has a
+    single record: a common name costs a person as many rows as it has different years, not as it has records.
+    """
+    alike = records.groupBy(name, F.col("born").alias("birth"), "died", "composes").agg(F.min("id").alias("_least"), F.max("id").alias("_most"))
+    found = people.join(alike, [name, "birth"]).where("died is null or death is null or died = death")
     close = found.where((F.coalesce(F.col("died") == F.col("death"), F.lit(False))) | F.col("composes"))
-    return close.groupBy(key).agg(F.count_distinct("id").alias("n"), F.min("id").alias("id")).where("n = 1").select(key, "id")
+    return close.groupBy(key).agg(F.min("_least").alias("id"), F.max("_most").alias("_most")).where("id = _most").select(key, "id")
 
 
 def remap_matches(people: DataFrame, works: DataFrame, key: str, before: str, after: str) -> tuple[DataFrame, DataFrame]:

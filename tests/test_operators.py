@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from catalogloom.functions import cells
-from catalogloom.operators import facets, forces, ledger, markup, overlay, rollups, snapshots, statistics, status
+from catalogloom.operators import facets, forces, ledger, markup, overlay, resolve, rollups, snapshots, statistics, status
 from catalogloom.sources import revisions, tables
 from catalogloom.streaming import ledger as intake
 
@@ -234,3 +234,13 @@ def test_deal_takes_turns_in_hash_order(spark):
     got = {r["k"]: r["package"] for r in statistics.deal(spark.createDataFrame(rows, "k long, s string").repartition(5), "s", "k", 7, "seed").collect()}
     order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or "", hashlib.md5(f"seed:{r[0]}".encode()).hexdigest(), r[0]))
     assert got == {k: i % 7 + 1 for i, (k, _) in enumerate(order)}
+
+
+def test_common_names_meet_alike_records_once(spark):
+    """A name of many records costs a person one row for each kind of them; repeated rows of one id are one record."""
+    people = spark.createDataFrame([(1, "n", 1900, 1950), (2, "n", 1900, None), (3, "n", 1901, 1950), (4, None, 1900, 1950), (5, "m", 1900, 1950)], "k int, name string, birth int, death int")
+    many = [(i, "n", 1901, 1950, True) for i in range(1000)]
+    records = spark.createDataFrame([*many, (5000, "n", 1900, 1950, False), (5000, "n", 1900, 1950, True), (5001, "n", 1900, 1960, True), (5002, "m", 1900, None, None)], "id int, name string, born int, died int, composes boolean")
+    found = resolve.unique_authority(people, records, "name", "k")
+    assert sorted(map(tuple, found.collect())) == [(1, 5000)]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") > 1
