@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 from ..functions import cells, licences
 from ..operators import forces, overlay, resolve, status
 from ..sources import tables
+from ..sources.tables import spread
 from .registry import query, t
 
 
+def _parts(spark, sf):
+    return spread(t(spark, sf, "part"), "p_partkey")
+
+
 def pick(values: list[str], key: str):
     """One of ``values`` by a whole number."""
     return F.element_at(F.array(*map(F.lit, values)), (F.expr(key) % len(values) + 1).cast("int"))
@@ -54,7 +59,7 @@ _TITLE_FAMILY = f"SELECT p_partkey, title, w, CASE WHEN title = '' THEN 'unclass
 @query(f"SELECT p_partkey, family, CASE WHEN title = '' THEN 'empty' WHEN family = 'unclassified' THEN 'title_unmapped' ELSE 'title' END AS src FROM ({_TITLE_FAMILY})")
 def force_from_title(spark, sf):
     found = forces.from_title(_title())
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
+    return _parts(spark, sf).select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
 
 
 # Instrumentation: up to three parts with numbers.
@@ -87,7 +92,7 @@ _SUNG = f"SELECT *, regexp_replace(s, '\\b(double bass|contrabass|(soprano|alto|
 )
 def force_from_instrumentation(spark, sf):
     found = forces.from_instrumentation(_instruments())
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
+    return _parts(spark, sf).select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
 
 
 # Categories: two 'For …' cells of up to two parts, a plain name, and arrangements.
@@ -131,7 +136,7 @@ _FAMILY = f"""SELECT *, CASE WHEN name = '' AND NOT (has_for AND NOT arr) THEN '
 @query(f"SELECT p_partkey, family, src FROM ({_FAMILY})")
 def force_from_categories(spark, sf):
     found = forces.from_categories(_cell())
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
+    return _parts(spark, sf).select("p_partkey", found.alias("found")).select("p_partkey", "found.family", "found.src")
 
 
 @query(
@@ -141,7 +146,7 @@ def force_from_categories(spark, sf):
 def rule_ladder_with_provenance(spark, sf):
     held = F.col("p_partkey") % 3 == 0
     found = forces.with_provenance(_cell(), _title(), F.lit(""), F.when(held, "orchestral").otherwise(""), F.when(held, "llm").otherwise(""))
-    return t(spark, sf, "part").select("p_partkey", found.alias("found")).select("p_partkey", "found.family", "found.src")
+    return _parts(spark, sf).select("p_partkey", found.alias("found")).select("p_partkey", "found.family", "found.src")
 
 
 _FORM_RULES = " ".join(
@@ -155,13 +160,13 @@ _FORM_RULES = " ".join(
     FROM (SELECT f.*, ' ' || array_to_string(list_filter(regexp_split_to_array(lower((CASE WHEN has_for THEN 'For ' || s1 || CASE WHEN single THEN '' ELSE ' and ' || s2 END ELSE '' END) || ' ' || f.name || ' ' || title), '[^\\p{{L}}\\p{{N}}_]+'), lambda x: x <> ''), ' ') || ' ' AS line FROM ({_FORCES}) f JOIN ({_TITLES}) d ON f.p_partkey = d.p_partkey)"""
 )
 def genre_ladder_first_match(spark, sf):
-    return t(spark, sf, "part").select("p_partkey", forces.genre_form(_cell(), _title()).alias("form"), forces.n_players(_cell()).alias("n_players"))
+    return _parts(spark, sf).select("p_partkey", forces.genre_form(_cell(), _title()).alias("form"), forces.n_players(_cell()).alias("n_players"))
 
 
 @query(f"SELECT c.p_partkey, CASE WHEN weak_cell AND titled THEN tf ELSE cf END AS family, CASE WHEN weak_cell AND titled THEN 'title' ELSE cs END AS src FROM (SELECT c.p_partkey, c.family AS cf, c.src AS cs, d.family AS tf, c.family IN ('unclassified', 'other') AS weak_cell, d.title <> '' AND d.family <> 'unclassified' AS titled FROM ({_FAMILY}) c JOIN ({_TITLE_FAMILY}) d ON c.p_partkey = d.p_partkey) c")
 def crawl_labels(spark, sf):
     found = forces.crawl_labels(_cell(), _title())
-    return t(spark, sf, "part").select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
+    return _parts(spark, sf).select("p_partkey", found["family"].alias("family"), found["src"].alias("src"))
 
 
 # Licences.

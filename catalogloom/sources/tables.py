@@ -97,6 +97,11 @@ def url_key(url: Column) -> Column:
     return F.sha2(url, 256)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` to as many tasks as a shuffle has: a small file's rows, or a few tasks' after a join, are not the work of one core where they are costly to read."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def write_by_url(pages: DataFrame, path: str, hashed: Callable[[Column], Column] = url_key, mode: str = "append") -> None:
     """(url, payload, stored_at) by hash, in folders by the hash's first two digits; the address stays beside the payload."""
     rows = pages.select("url", "payload", "stored_at", hashed(F.col("url")).alias("hash"))
