@@ -6,6 +6,7 @@ who are few; everything else is counted by aggregates.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -59,8 +60,10 @@ def period_confusion(rows: DataFrame, references: DataFrame, unit: str, by: list
 def shared_units(rows: DataFrame, unit: str, labeller: str, condition: str, input_hash: str, labellers: list[str]) -> DataFrame:
     """(condition, unit, shared) of the units that any of the labellers answered; ``shared`` where all did, from one input."""
     among = rows.where(F.col(labeller).isin(*labellers)).groupBy(condition, unit)
+    # Labellers are bits: two sets of distinct values in one group would write every row three times.
+    bit = reduce(lambda rest, i: F.when(F.col(labeller) == labellers[i], 1 << i).otherwise(rest), range(len(labellers)), F.lit(0))
     same = F.count_distinct(F.coalesce(input_hash, F.lit(""))) == 1
-    return among.agg(((F.count_distinct(labeller) == len(labellers)) & same).alias("shared"))
+    return among.agg(((F.bit_or(bit.cast("long")) == (1 << len(labellers)) - 1) & same).alias("shared"))
 
 
 def equal_terms(rows: DataFrame, unit: str, labeller: str, condition: str, input_hash: str, labellers: list[str]) -> tuple[DataFrame, DataFrame]:
