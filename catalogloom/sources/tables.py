@@ -158,11 +158,12 @@ def merge_page_lists(parts: DataFrame, key: str, values: str, prefix: str = "",
 
     parts: key, part (order of arrival), title, values and, if there are any, missing and redirect. A value counts once, at
     its first arrival, without ``prefix``; flags hold if any part tells them; the title is the first part's. Only the least
-    place of each (page, value) is kept, combined map-side, so repeated parts cost no memory. A page of ``wanted`` without a part is missing.
+    place of each (page, value) is kept, so repeated parts cost no memory: parts are dealt by page before their values
+    stand in rows of their own, and nothing is shuffled after. A page of ``wanted`` without a part is missing.
     """
     flag = lambda c: F.coalesce(F.col(c), F.lit(False)) if c in parts.columns else F.lit(False)
     title = F.col("title") if "title" in parts.columns else F.lit("")
-    each = parts.select(key, "part", F.coalesce(title, F.lit("")).alias("title"), flag("missing").alias("missing"), flag("redirect").alias("redirect"), F.posexplode_outer(values).alias("_at", "_v"))
+    each = parts.repartition(key).select(key, "part", F.coalesce(title, F.lit("")).alias("title"), flag("missing").alias("missing"), flag("redirect").alias("redirect"), F.posexplode_outer(values).alias("_at", "_v"))
     bare = F.when(F.col("_v").startswith(prefix), F.substring("_v", len(prefix) + 1, 1 << 30)).otherwise(F.col("_v"))
     first = each.groupBy(key, bare.alias("_v")).agg(F.min(F.struct("part", "_at")).alias("at"), F.min(F.struct("part", "title")).alias("t"), F.bool_or("missing").alias("missing"), F.bool_or("redirect").alias("redirect"))
     listed = F.transform(F.array_sort(F.collect_list(F.when(F.col("_v").isNotNull(), F.struct("at", F.col("_v").alias("v"))))), lambda x: x["v"])

@@ -229,6 +229,13 @@ def test_search_events(spark):
 # Lists in parts, and stores.
 
 
+def test_lists_in_parts_are_dealt_once(spark):
+    """Whole parts are dealt by page; their values are not dealt again, nor the lists."""
+    parts = spark.createDataFrame([(1, 1, ["a", "b"]), (1, 2, ["b", "c"])], "k int, part int, v array<string>")
+    plan = tables.merge_page_lists(parts, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_lists_in_parts(spark):
     rows = [(1, 2, "late", ["Category:c", "a"], None, True), (1, 1, "first", ["b", "Category:a", "b"], None, None), (1, 2, "late", ["c", "Category:c"], None, None), (2, 1, "gone", None, True, None), (3, 1, None, [], None, None)]
     parts = spark.createDataFrame(rows, "k int, part int, title string, v array<string>, missing boolean, redirect boolean").repartition(4)
