@@ -33,3 +33,9 @@ def test_view_sums_gather_no_rows(spark):
 @pytest.mark.parametrize("name", sorted(set(plans.QUERIES) - set(plans.ORACLES)))
 def test_runs(spark, name):
     assert plans.QUERIES[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("name", ["crawl_labels", "force_from_categories", "entity_fields", "shared_inputs"])
+def test_rows_of_a_file_are_dealt(spark, name):
+    plan = plans.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "Expand" not in plan
