@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.cells import text
+from ..functions.cells import let, text
 from ..operators.statistics import places
 from .tables import checkpointed
 
@@ -94,9 +94,6 @@ def plain_query(c) -> Column:
 
 def numbered_links(chunk: Column) -> Column:
     """array<struct<url, title>> of the numbered lines right below a line 'Links:'."""
-    lines = F.split(F.coalesce(chunk, F.lit("")), r"\r\n|\r|\n")
-    at = F.array_position(F.transform(lines, lambda x: F.trim(x)), "Links:")
-    below = F.when(at > 0, F.slice(lines, at.cast("int") + 1, F.size(lines))).otherwise(F.array().cast("array<string>"))
     numbered = r"^\d+\.\s+\["
 
     def link(line: Column) -> Column:
@@ -106,9 +103,37 @@ def numbered_links(chunk: Column) -> Column:
         fits = line.rlike(numbered) & F.contains(line, F.lit("](")) & end.rlike(r"^https?://\S+\)$")
         return F.when(fits, F.struct(F.left(end, F.char_length(end) - 1).alias("url"), F.trim(F.regexp_replace(title, r"\s+", " ")).alias("title")))
 
-    found = F.transform(below, lambda x: link(F.trim(x)))
-    stop = F.array_position(F.transform(found, lambda x: x.isNull()), True)
-    return F.when(stop > 0, F.slice(found, F.lit(1), stop.cast("int") - 1)).otherwise(found)
+    # Each step is a lambda's variable, so that what later steps name again is computed once.
+    def below(lines: Column) -> Column:
+        return let(F.array_position(lines, "Links:"), lambda at: F.when(at > 0, F.slice(lines, at.cast("int") + 1, F.size(lines))).otherwise(F.array().cast("array<string>")))
+
+    def unbroken(found: Column) -> Column:
+        return let(F.array_position(F.transform(found, lambda x: x.isNull()), True), lambda stop: F.when(stop > 0, F.slice(found, F.lit(1), stop.cast("int") - 1)).otherwise(found))
+
+    trimmed = F.transform(F.split(F.coalesce(chunk, F.lit("")), r"\r\n|\r|\n"), lambda x: F.trim(x))
+    return let(F.transform(let(trimmed, below), link), unbroken)
+
+
+def tool_calls(events: DataFrame) -> DataFrame:
+    """(batch, place, call): the tool calls that succeeded. An event is read once: filters on what was read do not pass an outer generator, so none reads it again."""
+    completed = F.filter(F.array(F.from_json("value", EVENT)), lambda e: (e["type"] == "tool_call") & (e["subtype"] == "completed"))
+    read = events.select("batch", "place", F.explode_outer(completed).alias("e")).where("e IS NOT NULL")
+    return read.select("batch", "place", F.element_at(F.map_entries("e.tool_call"), 1).alias("call")).where(F.col("call.value.result.success").isNotNull())
+
+
+def names_held(terms: DataFrame, asked: DataFrame) -> DataFrame:
+    """(batch, term, n, named) of the terms that hold names of their batch: how many rows of ``asked`` they hold, and the least key of these.
+
+    terms: batch, term, each once; asked: batch, key, name. Parts of a term as long as some name is join names by equality, so
+    the rows are as many as a term has such parts, whatever the number of names: no term meets every name.
+    """
+    names = asked.where("name <> ''").groupBy("batch", "name").agg(F.count(F.lit(1)).alias("_n"), F.min("key").alias("_key"))
+    sizes = asked.agg(F.collect_set(F.char_length("name")).alias("_sizes"))
+    long = F.char_length("term")
+    sized = terms.crossJoin(F.broadcast(sizes)).select("batch", "term", F.explode("_sizes").alias("_size")).where((F.col("_size") > 0) & (F.col("_size") <= long))
+    parts = sized.select("batch", "term", "_size", F.explode(F.sequence(F.lit(1), long - F.col("_size") + 1)).alias("_at")).select("batch", "term", F.substr("term", "_at", "_size").alias("name"))
+    held = parts.join(names, ["batch", "name"]).groupBy("batch", "term", "name").agg(F.max("_n").alias("_n"), F.min("_key").alias("_key"))
+    return held.groupBy("batch", "term").agg(F.sum("_n").alias("n"), F.min("_key").alias("named"))
 
 
 def search_events(events: DataFrame, queries: DataFrame, top: int = 10) -> tuple[DataFrame, DataFrame]:
@@ -117,15 +142,13 @@ def search_events(events: DataFrame, queries: DataFrame, top: int = 10) -> tuple
     events: batch, place, value (JSON). queries: batch, key, query, name. A search's key is that of its query or, if the term is no
     query, of the one name that it holds. Faults: ``no key`` for terms of no or several keys, ``tool`` for other tools that succeeded.
     """
-    read = events.select("batch", "place", F.from_json("value", EVENT).alias("e")).where((F.col("e.type") == "tool_call") & (F.col("e.subtype") == "completed"))
-    calls = read.select("batch", "place", F.element_at(F.map_entries("e.tool_call"), 1).alias("call")).where(F.col("call.value.result.success").isNotNull())
+    calls = tool_calls(events)
     breach = calls.where(~F.col("call.key").isin(SEARCH_TOOL, *HARMLESS_TOOLS)).select("batch", "place", F.lit("tool").alias("fault"), F.col("call.key").alias("term"))
     done = checkpointed(calls.where(F.col("call.key") == SEARCH_TOOL).select("batch", "place", plain_query("call.value.args.searchTerm").alias("term"), F.transform(F.coalesce("call.value.result.success.references", F.array().cast("array<struct<chunk:string>>")), lambda r: r["chunk"]).alias("chunks")))
-    asked = queries.select("batch", "key", plain_query("query").alias("term"), plain_query("name").alias("name"))
+    asked = checkpointed(queries.select("batch", "key", plain_query("query").alias("term"), plain_query("name").alias("name")))
     direct = asked.groupBy("batch", "term").agg(F.max("key").alias("direct"))
-    named = done.select("batch", "place", "term").join(direct, ["batch", "term"], "left_anti").join(asked.select("batch", "key", "name"), "batch").where((F.col("name") != "") & F.contains("term", F.col("name")))
-    one = named.groupBy("batch", "place").agg(F.count(F.lit(1)).alias("_n"), F.min("key").alias("named"))
-    keyed = done.join(direct, ["batch", "term"], "left").join(one, ["batch", "place"], "left").withColumn("key", F.coalesce("direct", F.when(F.col("_n") == 1, F.col("named"))))
+    named = names_held(done.select("batch", "term").join(direct, ["batch", "term"], "left_anti").distinct(), asked)
+    keyed = done.join(direct, ["batch", "term"], "left").join(named, ["batch", "term"], "left").withColumn("key", F.coalesce("direct", F.when(F.col("n") == 1, F.col("named"))))
     first = keyed.where("key IS NOT NULL").groupBy("batch", "key").agg(F.min_by("chunks", "place").alias("chunks"))
     links = F.slice(F.flatten(F.transform("chunks", numbered_links)), 1, top)
     rows = first.select("batch", "key", F.posexplode_outer(links).alias("at", "link")).select("batch", "key", F.coalesce(F.col("at") + 1, F.lit(0)).alias("rank"), text("link.url").alias("url"), text("link.title").alias("title"))

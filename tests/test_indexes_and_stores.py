@@ -226,6 +226,31 @@ def test_search_events(spark):
     assert sorted((x.place, x.fault, x.term) for x in faults.collect()) == [(5, "no key", "nobody"), (6, "no key", "dee and cy"), (8, "tool", "shellToolCall")]
 
 
+def test_an_event_is_read_once(spark):
+    events = spark.createDataFrame([("b", 1, "{}")], "batch string, place int, value string")
+    assert search_answers.tool_calls(events)._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+
+
+def test_terms_meet_no_name_that_they_do_not_hold(spark):
+    """Names join parts of terms by equality, also where the batch is a constant; a key asked twice by a name counts twice, a name held twice once."""
+    r = random.Random(5)
+    word = lambda n: "".join(r.choice("abé ") for _ in range(n)).strip()
+    asked = [(r.choice("xy"), f"Q{i}", word(r.randint(0, 5))) for i in range(40)] + [("x", "Q7", "abab"), ("x", "Q7", "abab")]
+    terms = sorted({(r.choice("xyz"), word(r.randint(0, 12))) for _ in range(80)} | {("x", "c abab abab")})
+    want = {}
+    for batch, term in terms:
+        keys = [key for b, key, name in asked if b == batch and name and name in term]
+        if keys:
+            want[batch, term] = (len(keys), min(keys))
+    got = search_answers.names_held(spark.createDataFrame(terms, "batch string, term string"), spark.createDataFrame(asked, "batch string, key string, name string"))
+    assert {(x.batch, x.term): (x.n, x.named) for x in got.collect()} == want
+
+    events = spark.createDataFrame([(1, "{}")], "place int, value string").withColumn("batch", F.lit("b"))
+    queries = spark.createDataFrame([("Q1", "a", "a")], "key string, query string, name string").withColumn("batch", F.lit("b"))
+    plan = search_answers.search_events(events, queries)[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(term" not in plan
+
+
 # Lists in parts, and stores.
 
 
