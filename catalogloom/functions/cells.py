@@ -41,6 +41,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def whole_number(digits: Column) -> Column:
+    """A number from digits, as a pattern found them; null if it found none or they are too many. '' is never cast: a cast that fails costs an exception for each row."""
+    return F.when(F.char_length(digits) > 0, digits.try_cast("int"))
+
+
 def split_cell(c) -> Column:
     """The parts of a cell, empty ones left out."""
     return F.filter(F.split(F.trim(text(c)), r"\|"), lambda x: x != "")

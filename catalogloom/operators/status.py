@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.cells import split_cell, text, year
+from ..functions.cells import split_cell, text, whole_number, year
 from .rules import ladder
 
 #: Years after death until the term ends, counted to the following new year.
@@ -121,7 +121,7 @@ def evidence(categories: Column) -> Column:
     """struct of styles, first publication year, flags and librettists from a list of categories."""
     table = F.create_map(*(x for k, v in CATEGORY_FLAGS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))))
     ending = lambda s: F.array_distinct(F.filter(F.transform(F.filter(categories, lambda c: c.endswith(s)), lambda c: F.left(c, F.char_length(c) - len(s))), lambda c: c != ""))
-    years = F.array_compact(F.transform(categories, lambda c: F.regexp_extract(c, r"^Works first published in (\d{4})$", 1).try_cast("int")))
+    years = F.array_compact(F.transform(categories, lambda c: whole_number(F.regexp_extract(c, r"^Works first published in (\d{4})$", 1))))
     flags = F.flatten(F.array_compact(F.transform(categories, lambda c: F.try_element_at(table, c))))
     return F.struct(
         F.array_join(ending(" style"), "|").alias("styles"),

@@ -244,3 +244,15 @@ def test_common_names_meet_alike_records_once(spark):
     found = resolve.unique_authority(people, records, "name", "k")
     assert sorted(map(tuple, found.collect())) == [(1, 5000)]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") > 1
+
+
+def test_labels_are_told_once_and_no_empty_text_is_cast(spark):
+    """The rules of a category stand once in the plan; numbers that a pattern did not find are not cast, for each failed cast costs an exception."""
+    df = spark.createDataFrame([(["For piano", "For piano 4 hands", "For 99999999999 players", "For player", "Operas"], ["Works first published in 1901", "x"])], "t array<string>, c array<string>")
+    told = df.select(F.transform("t", forces.family_of_forces).alias("f"), status.evidence(F.col("c"))["first_published"].alias("y"))
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("piano_ensemble") == 1 and "try_cast(regexp_extract" in plan
+    assert plan.count("try_cast(regexp_extract") == plan.count("(char_length(regexp_extract")
+    assert told.first().f == ["piano_solo", "piano_ensemble", "chamber", None, None] and told.first().y == "1901"
+    numbers = spark.createDataFrame([("",), ("012",), ("99999999999",), (None,)], "d string")
+    assert [r[0] for r in numbers.select(cells.whole_number(F.col("d"))).collect()] == [None, 12, None, None]
